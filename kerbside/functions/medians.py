@@ -2,78 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # Cells per factor of e in the first pass, and per remaining range in the second.
 LOG_CELLS = 256
 LINEAR_CELLS = 4096
 
 
-def split_median(df: DataFrame, keys: list[str], value: str, large: DataFrame) -> DataFrame:
-    """``keys, median`` of the positive, non-null ``value`` for the keys in ``large``.
+def split_median(df: DataFrame, keys: list[str], value: str, large: DataFrame, name: str = "median") -> DataFrame:
+    """``keys`` and the exact median, called ``name``, of the positive ``value`` per key in ``large``.
 
     ``large`` holds ``keys, key_rows`` as :func:`kerbside.functions.skew.large_keys` gives
-    it, and is small by construction. Two passes count values per cell and keep the range
-    of cells that holds the middle ranks; only the values inside that range are then
-    ranked. The first pass uses logarithmic cells, the second linear ones, so what is left
-    is about one millionth of the value's own size wide. Every count combines on the map
-    side, and cell numbers never decrease as values grow, so the result is exact.
+    it, for the rows that have a value; it is small by construction. Two passes count
+    values per cell and keep the range of cells that holds the middle ranks; only the
+    values inside that range are then ranked. The first pass uses logarithmic cells, the
+    second linear ones, so what is left is about one millionth of the value's own size
+    wide. Every count combines on the map side. Cell numbers never decrease as values
+    grow, so the result is exact.
     """
-    bounds = large.select(
-        *keys,
-        ((F.col("key_rows") - 1) / 2).cast("long").alias("lower_rank"),
-        (F.col("key_rows") / 2).cast("long").alias("upper_rank"),
-        F.lit(0).cast("long").alias("below"),
-        F.lit(0.0).alias("low"),
-        F.lit(float("inf")).alias("high"),
-    )
-    values = df.select(*keys, F.col(value).alias("value"))
-    logarithmic = F.floor(F.ln("value") * F.lit(float(LOG_CELLS)))
-    linear = F.when(
-        F.col("high") > F.col("low"),
-        F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * F.lit(float(LINEAR_CELLS))),
-    ).otherwise(F.lit(0).cast("long"))
-    bounds = _narrow(values, keys, bounds, logarithmic)
-    bounds = _narrow(values, keys, bounds, linear)
-    return _rank(values, keys, bounds)
-
-
-def _inside(values: DataFrame, keys: list[str], bounds: DataFrame) -> DataFrame:
-    return values.join(F.broadcast(bounds), keys).where(F.col("value").between(F.col("low"), F.col("high")))
-
-
-def _before(keys: list[str], order: str) -> Column:
-    """How many values of the key come before the row's cell or value."""
-    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.col("below") + F.coalesce(F.sum("rows").over(earlier), F.lit(0))
-
-
-def _narrow(values: DataFrame, keys: list[str], bounds: DataFrame, cell: Column) -> DataFrame:
-    ranks = ["lower_rank", "upper_rank"]
-    cells = (
-        _inside(values, keys, bounds)
-        .groupBy(*keys, *ranks, "below", cell.alias("cell"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("before", _before(keys, "cell"))
-    )
-    return (
-        cells.where(
-            (F.col("before") <= F.col("upper_rank"))
-            & (F.col("before") + F.col("rows") > F.col("lower_rank"))
+    k = ", ".join(f"`{key}`" for key in keys)
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return df.sparkSession.sql(
+        f"""
+        WITH rows AS (
+          SELECT {k}, `{value}` AS value FROM {{df}} WHERE `{value}` IS NOT NULL
+        ),
+        ranks AS (
+          SELECT {k}, (key_rows - 1) div 2 AS lower_rank, key_rows div 2 AS upper_rank FROM {{large}}
+        ),
+        rough AS (
+          SELECT /*+ BROADCAST(ranks) */ {k}, lower_rank, upper_rank, floor(ln(value) * {LOG_CELLS}) AS cell,
+                 count(*) AS cell_rows, min(value) AS low, max(value) AS high
+          FROM rows JOIN ranks USING ({k})
+          GROUP BY {k}, lower_rank, upper_rank, cell
+        ),
+        rough_range AS (
+          SELECT {k}, lower_rank, upper_rank, min(before) AS below, min(low) AS low, max(high) AS high
+          FROM (SELECT *, coalesce(sum(cell_rows) OVER (PARTITION BY {k} ORDER BY cell {earlier}), 0) AS before
+                FROM rough)
+          WHERE before <= upper_rank AND before + cell_rows > lower_rank
+          GROUP BY {k}, lower_rank, upper_rank
+        ),
+        fine AS (
+          SELECT /*+ BROADCAST(rough_range) */ {k}, lower_rank, upper_rank, below,
+                 CASE WHEN high > low THEN floor((value - low) / (high - low) * {LINEAR_CELLS}) ELSE 0 END AS cell,
+                 count(*) AS cell_rows, min(value) AS low, max(value) AS high
+          FROM (SELECT * FROM rows JOIN rough_range USING ({k}) WHERE value BETWEEN low AND high)
+          GROUP BY {k}, lower_rank, upper_rank, below, cell
+        ),
+        fine_range AS (
+          SELECT {k}, lower_rank, upper_rank, min(before) AS below, min(low) AS low, max(high) AS high
+          FROM (SELECT *, below + coalesce(sum(cell_rows) OVER (PARTITION BY {k} ORDER BY cell {earlier}), 0) AS before
+                FROM fine)
+          WHERE before <= upper_rank AND before + cell_rows > lower_rank
+          GROUP BY {k}, lower_rank, upper_rank
+        ),
+        counted AS (
+          SELECT /*+ BROADCAST(fine_range) */ {k}, lower_rank, upper_rank, below, value, count(*) AS value_rows
+          FROM rows JOIN fine_range USING ({k})
+          WHERE value BETWEEN low AND high
+          GROUP BY {k}, lower_rank, upper_rank, below, value
         )
-        .groupBy(*keys, *ranks)
-        .agg(F.min("before").alias("below"), F.min("low").alias("low"), F.max("high").alias("high"))
-    )
-
-
-def _rank(values: DataFrame, keys: list[str], bounds: DataFrame) -> DataFrame:
-    ranked = (
-        _inside(values, keys, bounds)
-        .groupBy(*keys, "lower_rank", "upper_rank", "below", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("through", _before(keys, "value") + F.col("rows"))
+        SELECT {k}, (min(value) FILTER (WHERE through > lower_rank)
+                     + min(value) FILTER (WHERE through > upper_rank)) / 2 AS `{name}`
+        FROM (SELECT *, below + sum(value_rows) OVER (PARTITION BY {k} ORDER BY value) AS through FROM counted)
+        GROUP BY {k}
+        """,
+        df=df,
+        large=large,
     )
-    lower = F.min(F.when(F.col("through") > F.col("lower_rank"), F.col("value")))
-    upper = F.min(F.when(F.col("through") > F.col("upper_rank"), F.col("value")))
-    return ranked.groupBy(*keys).agg((lower * 0.5 + upper * 0.5).alias("median"))

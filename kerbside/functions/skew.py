@@ -24,7 +24,7 @@ def large_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) ->
     reuses the same exchange.
     """
     counted = (
-        df.where(_all_present(keys))
+        df.where(all_present(keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("key_rows"))
     )
@@ -68,7 +68,8 @@ def with_time_cells(df: DataFrame, key: str, at: str, split_rows: int = SPLIT_RO
     )
 
 
-def _all_present(keys: list[str]) -> Column:
+def all_present(keys: list[str]) -> Column:
+    """Whether none of the key columns is NULL."""
     present = F.lit(True)
     for key in keys:
         present = present & F.col(key).isNotNull()

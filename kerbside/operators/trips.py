@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import METERS_PER_MILE, coordinate, miles, moment_like
 from kerbside.functions.medians import split_median
-from kerbside.functions.skew import SPLIT_ROWS, large_keys
+from kerbside.functions.skew import SPLIT_ROWS, all_present, large_keys
 from kerbside.period import ReportPeriod
 
 # Fixed values.
@@ -53,48 +53,58 @@ def trip_stats(
     """Count, mean, exact median and sample deviation of trip length in miles per ``keys``.
 
     ``length_count`` counts the trips that have a length. A NULL key forms a group, but
-    its median is NULL. One exchange serves ordinary keys; keys with more than
-    ``split_rows`` trips get their median from :func:`split_median`, since an exact median
-    would otherwise gather all their lengths in one task.
+    its median is NULL. Ordinary keys take one exchange: their lengths are sorted, which
+    spills where it must, and the middle ones picked. Keys with more than ``split_rows``
+    trips would keep one task busy that way; :func:`split_median` ranks theirs in parts.
     """
-    length = miles(F.col("distance_in_meters"), meters_per_mile)
-    median_length = miles(F.col("distance_in_meters"), median_meters_per_mile or meters_per_mile)
-    lengths = valid.select(*keys, "id", length.alias("length"), median_length.alias("median_length"))
+    present = all_present(keys)
+    lengths = valid.select(
+        *keys,
+        "id",
+        miles(F.col("distance_in_meters"), meters_per_mile).alias("length"),
+        miles(F.col("distance_in_meters"), median_meters_per_mile or meters_per_mile).alias("median_length"),
+    )
     moments = [
         F.count("id").alias("num_trips"),
         F.count("length").alias("length_count"),
         F.avg("length").alias("mean_trip_length"),
         F.stddev_samp("length").alias("std_trip_length"),
     ]
-    key_present = F.lit(True)
-    for key in keys:
-        key_present = key_present & F.col(key).isNotNull()
-    median = F.median(F.when(key_present, F.col("median_length"))).alias("median_trip_length")
-
-    # Lengths of valid trips are positive and present, as the split needs.
-    measured = lengths.where(F.col("length").isNotNull())
-    large = large_keys(measured, keys, split_rows)
-    ordinary = lengths.join(F.broadcast(large), keys, "left_anti").groupBy(*keys).agg(*moments, median)
+    large = large_keys(lengths.where(F.col("length").isNotNull()), keys, split_rows)
+    is_large = F.broadcast(large.select(*keys))
+
+    by_key = Window.partitionBy(*keys)
+    rank = F.row_number().over(by_key.orderBy(F.asc_nulls_last("median_length"))).cast("long")
+    # One row of an odd number, two of an even one.
+    is_middle = (F.col("rank") * 2).between(F.col("of"), F.col("of") + 2)
+    ordinary = (
+        lengths.where(present)
+        .join(is_large, keys, "left_anti")
+        .select("*", rank.alias("rank"))
+        .select("*", F.count("median_length").over(by_key).alias("of"))
+        .groupBy(*keys)
+        .agg(*moments, F.avg(F.when(is_middle, F.col("median_length"))).alias("median_trip_length"))
+    )
     split = (
-        lengths.join(F.broadcast(large.select(*keys)), keys)
+        lengths.join(is_large, keys)
         .groupBy(*keys)
         .agg(*moments)
-        .join(
-            split_median(measured, keys, "median_length", large)
-            .withColumnRenamed("median", "median_trip_length"),
-            keys,
-            "left",
-        )
+        .join(split_median(lengths, keys, "median_length", large, "median_trip_length"), keys, "left")
     )
-    columns = [
+    unknown = (
+        lengths.where(~present)
+        .groupBy(*keys)
+        .agg(*moments)
+        .withColumn("median_trip_length", F.lit(None).cast("double"))
+    )
+    return ordinary.unionByName(split).unionByName(unknown).select(
         *keys,
         "num_trips",
         "length_count",
         "mean_trip_length",
         "median_trip_length",
         "std_trip_length",
-    ]
-    return ordinary.select(*columns).unionByName(split.select(*columns))
+    )
 
 
 def total_trips(trips: DataFrame, period: ReportPeriod, system_id: str | None = None) -> DataFrame:
