@@ -191,8 +191,11 @@ def numbered_changes(changes: DataFrame, semantics: str = "reference") -> DataFr
     changed = (F.col("last_operationality_category") != F.col("operationality_category")).cast("long")
     flagged = changes.withColumn("changed", F.coalesce(changed, F.lit(0)))
 
-    # The default RANGE frame, which includes all rows of the same instant.
-    so_far = Window.partitionBy("vehicle_id", "system_id", "time_cell").orderBy(F.asc_nulls_last("started_at"))
+    # The default RANGE frame, which includes all rows of the same instant. The join keys
+    # come first, so that one sort serves the window and the join.
+    cell = [*unit, "time_cell"]
+    city = [name for name in ("vehicle_id", "system_id") if name not in cell]
+    so_far = Window.partitionBy(*cell, *city).orderBy(F.asc_nulls_last("started_at"))
     earlier = (
         Window.partitionBy("vehicle_id", "system_id")
         .orderBy("time_cell")
@@ -204,13 +207,13 @@ def numbered_changes(changes: DataFrame, semantics: str = "reference") -> DataFr
         .groupBy("vehicle_id", "system_id", "time_cell")
         .agg(F.sum("changed").alias("changes"))
         .withColumn("offset", F.coalesce(F.sum("changes").over(earlier), F.lit(0)))
-        .groupBy(*unit, "time_cell")
+        .groupBy(*cell)
         .agg(F.map_from_entries(F.collect_list(F.struct("system_id", "offset"))).alias("offsets"))
     )
     offset = F.coalesce(F.try_element_at("offsets", F.col("system_id")), F.lit(0))
     return (
         flagged.withColumn("period", F.sum("changed").over(so_far))
-        .join(carried, [*unit, "time_cell"], "left")
+        .join(carried, cell, "left")
         .withColumn("period", F.col("period") + offset)
         .drop("changed", "offsets")
     )

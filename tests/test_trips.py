@@ -1,0 +1,128 @@
+import statistics
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from frames import SEPTEMBER, at, records, trips, vehicles
+
+from kerbside.operators.trips import (
+    coordinate_overflows,
+    in_period,
+    total_trips,
+    trip_export,
+    trip_stats,
+    valid_trips,
+)
+from kerbside.plans.reports import USER_COLUMNS, user_trip_report
+
+MILE = 1609.34
+
+
+def test_valid_trip_rule(spark):
+    df = trips(
+        spark,
+        dict(id=1),
+        dict(id=2, charge_state=None),
+        dict(id=3, charge_state="canceled"),
+        dict(id=4, charge_state="refunded"),
+        dict(id=5, charge_state="pending"),
+        dict(id=6, price_before_discount=0.0),
+        dict(id=7, distance_in_meters=0.0),
+        dict(id=8, billable_duration_in_seconds=119),
+        dict(id=9, system_id="elsewhere"),
+        dict(id=10, system_id=None),
+        dict(id=11, price_before_discount=None),
+    )
+    assert records(valid_trips(df, "city"), "id") == [(1,), (2,), (5,)]
+    assert sorted(r.id for r in valid_trips(df).collect()) == [1, 2, 5, 9, 10]
+
+
+def test_period_is_half_open_for_dates_and_timestamps(spark):
+    df = trips(
+        spark,
+        dict(id=1, system_date=date(2020, 8, 31), system_started_at=at("2020-08-31 23:59:59.999999")),
+        dict(id=2, system_date=date(2020, 9, 1), system_started_at=at("2020-09-01 00:00:00")),
+        dict(id=3, system_date=date(2020, 9, 30), system_started_at=at("2020-09-30 23:59:59.999999")),
+        dict(id=4, system_date=date(2020, 10, 1), system_started_at=at("2020-10-01 00:00:00")),
+    )
+    assert records(in_period(df, "system_date", SEPTEMBER), "id") == [(2,), (3,)]
+    assert records(in_period(df, "system_started_at", SEPTEMBER), "id") == [(2,), (3,)]
+    assert total_trips(df, SEPTEMBER, "city").collect()[0].total_trips == 2
+
+
+@pytest.mark.parametrize("split_rows", [1, 3, 1_000_000])
+def test_stats_of_one_even_and_odd_numbers_of_trips(spark, split_rows):
+    lengths = {1: [2.0], 2: [1.0, 4.0], 3: [5.0, 1.0, 9.0], 4: [1.0, 1.0, 7.0, 8.0]}
+    rows = [
+        dict(id=user * 10 + number, user_id=user, distance_in_meters=length * MILE)
+        for user, values in lengths.items()
+        for number, length in enumerate(values)
+    ]
+    result = {r.user_id: r for r in user_trip_report(trips(spark, *rows), SEPTEMBER, "city", split_rows).collect()}
+    for user, values in lengths.items():
+        row = result[user]
+        assert row.num_trips == len(values)
+        assert row.mean_trip_length == pytest.approx(statistics.mean(values))
+        assert row.median_trip_length == pytest.approx(statistics.median(values))
+        if len(values) == 1:
+            assert row.std_trip_length is None
+        else:
+            assert row.std_trip_length == pytest.approx(statistics.stdev(values))
+    assert len(result) == 4
+
+
+@pytest.mark.parametrize("split_rows", [1, 1_000_000])
+def test_unknown_user_has_statistics_but_no_median(spark, split_rows):
+    df = trips(spark, dict(id=1, user_id=None), dict(id=2, user_id=None), dict(id=3, user_id=5))
+    rows = {r.user_id: r for r in user_trip_report(df, SEPTEMBER, "city", split_rows).collect()}
+    assert rows[None].num_trips == 2 and rows[None].mean_trip_length == pytest.approx(1.0)
+    assert rows[None].median_trip_length is None
+    assert rows[5].median_trip_length == pytest.approx(1.0)
+
+
+def test_report_of_no_trips_is_empty(spark):
+    report = user_trip_report(trips(spark, dict(system_id="elsewhere")), SEPTEMBER, "city")
+    assert report.columns == USER_COLUMNS
+    assert report.collect() == []
+
+
+def test_stats_by_several_keys(spark):
+    df = trips(spark, dict(id=1, user_id=1), dict(id=2, user_id=1, vehicle_id=2), dict(id=3, user_id=1, vehicle_id=2))
+    for split_rows in (1, 100):
+        assert records(
+            trip_stats(df, ["user_id", "vehicle_id"], split_rows=split_rows), "user_id", "vehicle_id", "num_trips"
+        ) == [(1, 1, 1), (1, 2, 2)]
+
+
+def test_export_rounds_half_away_from_zero_and_drops_unknown_vehicles(spark):
+    df = trips(
+        spark,
+        dict(id=1, start_point_lat=38.123456, start_point_lon=-77.036545, end_point_lat=0.000005, end_point_lon=-0.000005),
+        dict(id=2, vehicle_id=99),
+        dict(id=3, system_date=date(2019, 1, 1)),
+        dict(id=4, system_started_at=at("2020-10-01 00:00:00")),
+    )
+    rows = trip_export(df, vehicles(spark, dict(id=1, chassis_number="VIN1")), SEPTEMBER, "city").collect()
+    assert sorted(r.trip_id for r in rows) == [1, 3]
+    row = next(r for r in rows if r.trip_id == 1)
+    assert row.vehicle_id == "VIN1"
+    assert (row.start_lat, row.start_lon) == (Decimal("38.12346"), Decimal("-77.03655"))
+    assert (row.end_lat, row.end_lon) == (Decimal("0.00001"), Decimal("-0.00001"))
+    assert row.trip_length == pytest.approx(1.0)
+
+
+def test_coordinates_that_do_not_fit_are_null_and_counted(spark):
+    df = trips(spark, dict(id=1, start_point_lon=-122.4), dict(id=2, start_point_lon=None))
+    fleet = vehicles(spark, dict(id=1))
+    assert {r.start_lon for r in trip_export(df, fleet, SEPTEMBER).collect()} == {None}
+    wide = trip_export(df, fleet, SEPTEMBER, coordinate_type="decimal(8,5)")
+    assert {r.start_lon for r in wide.collect()} == {Decimal("-122.40000"), None}
+    assert tuple(coordinate_overflows(df).collect()[0]) == (0, 1, 0, 0)
+    assert tuple(coordinate_overflows(df, "decimal(8,5)").collect()[0]) == (0, 0, 0, 0)
+
+
+def test_export_labels_local_times_as_utc(spark):
+    row = trip_export(trips(spark, {}), vehicles(spark, dict(id=1)), SEPTEMBER).selectExpr(
+        "unix_seconds(start_time) AS start", "unix_seconds(end_time) AS end"
+    ).collect()[0]
+    assert (row.start, row.end) == (1599732000, 1599732600)

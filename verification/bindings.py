@@ -15,8 +15,19 @@ FLEET_PERIOD = ReportPeriod(date(2024, 1, 10), date(2024, 1, 20), datetime(2024,
 MONTH = ReportPeriod(date(2024, 1, 1), date(2024, 2, 1), datetime(2024, 2, 10), "2024-01")
 
 
+# Stated, so that building a query starts no job that looks for the schema.
+SAMPLE_SCHEMAS = {
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+                   l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+                   l_shipdate TIMESTAMP_NTZ""",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SAMPLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
