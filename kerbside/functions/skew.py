@@ -41,6 +41,8 @@ def with_time_cells(df: DataFrame, key: str, at: str, split_rows: int = SPLIT_RO
     its rows call for. Rows without a time get the highest cell (NULLS LAST). Equal times
     always share a cell.
     """
+    if split_rows < 1:
+        raise ValueError(f"split_rows must be positive, got {split_rows}")
     large = F.broadcast(large_keys(df, [key], split_rows))
     instant = micros(F.col(at))
     cells = F.ceil(F.col("key_rows") / F.lit(split_rows)) * F.lit(CELLS_PER_SPLIT)

@@ -38,7 +38,9 @@ def write_csv_report(
         rows = rows.select(F.lit(None).cast("string").alias(""), "*")
     if single_file:
         rows = rows.coalesce(1)
-    rows.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(target)
+    # Empty names and texts are written as nothing, not as a pair of quotes.
+    options = {"header": True, "encoding": "UTF-8", "emptyValue": ""}
+    rows.write.mode("overwrite").options(**options).csv(target)
     return target
 
 

@@ -1,0 +1,28 @@
+import json
+
+import pytest
+from frames import systems
+
+from kerbside.operators.areas import feature_collections, service_area
+
+POLYGON = {"type": "Polygon", "coordinates": [[[-77.25, 38.8], [-77, 39], [-76.5, 38.8], [-77.25, 38.8]]]}
+PARTS = {"type": "MultiPolygon", "coordinates": [POLYGON["coordinates"], [[[1, 2], [2, 3], [3, 2], [1, 2]]]]}
+
+
+def test_one_feature_per_city_with_its_text_as_property(spark):
+    texts = {"a": json.dumps(POLYGON), "b": json.dumps(PARTS)}
+    df = systems(spark, *[dict(id=name, geofence_geojson=text) for name, text in texts.items()])
+    found = {r.system_id: json.loads(r.value) for r in feature_collections(service_area(df)).collect()}
+    assert found.keys() == texts.keys()
+    for name, geometry in (("a", POLYGON), ("b", PARTS)):
+        assert found[name] == {
+            "type": "FeatureCollection",
+            "features": [{"type": "Feature", "properties": {"geofence_geojson": texts[name]}, "geometry": geometry}],
+        }
+    assert [r.system_id for r in service_area(df, "b").select("system_id").collect()] == ["b"]
+
+
+@pytest.mark.parametrize("text", ["{", '{"type":"Circle"}', '{"coordinates":[]}', "[1,2]"])
+def test_text_that_is_no_geometry_fails(spark, text):
+    with pytest.raises(Exception, match="MALFORMED_RECORD|not a GeoJSON geometry"):
+        service_area(systems(spark, dict(geofence_geojson=text))).selectExpr("to_json(geometry)").collect()

@@ -1,0 +1,114 @@
+import random
+from decimal import Decimal
+
+import pytest
+from frames import SEPTEMBER, records, spans, telemetry
+
+from kerbside.operators.telemetry import waypoints
+
+T0 = SEPTEMBER.start_ms + 86_400_000
+MINUTE = 60_000
+
+
+def test_point_on_a_shared_border_belongs_to_both_trips(spark):
+    trips = spans(
+        spark,
+        dict(rental_id=1, started_at_ms=T0, ended_at_ms=T0 + 10 * MINUTE),
+        dict(rental_id=2, started_at_ms=T0 + 10 * MINUTE, ended_at_ms=T0 + 20 * MINUTE),
+    )
+    points = telemetry(
+        spark,
+        dict(ts_ms=T0 - 1),
+        dict(ts_ms=T0),
+        dict(ts_ms=T0 + 10 * MINUTE),
+        dict(ts_ms=T0 + 20 * MINUTE),
+        dict(ts_ms=T0 + 20 * MINUTE + 1),
+    )
+    found = waypoints(trips, points, SEPTEMBER, "city").selectExpr("trip_id", "unix_millis(time) AS ms")
+    assert records(found) == [(1, T0), (1, T0 + 10 * MINUTE), (2, T0 + 10 * MINUTE), (2, T0 + 20 * MINUTE)]
+
+
+def test_which_trips_and_points_count(spark):
+    hour = dict(started_at_ms=T0, ended_at_ms=T0 + 60 * MINUTE)
+    trips = spans(
+        spark,
+        dict(rental_id=1, **hour),
+        dict(rental_id=2, is_valid_rental=0, **hour),
+        dict(rental_id=3, system_id="elsewhere", **hour),
+        dict(rental_id=4, identifier=8, **hour),
+        dict(rental_id=5, started_at_ms=SEPTEMBER.start_ms - 1, ended_at_ms=T0 + MINUTE),
+        dict(rental_id=6, started_at_ms=T0, ended_at_ms=T0 - 1),
+        dict(rental_id=7, started_at_ms=T0, ended_at_ms=None),
+        dict(rental_id=8, started_at_ms=None, ended_at_ms=T0),
+        dict(rental_id=9, started_at_ms=SEPTEMBER.end_ms - 1, ended_at_ms=SEPTEMBER.end_ms + MINUTE),
+        dict(rental_id=10, started_at_ms=SEPTEMBER.end_ms, ended_at_ms=SEPTEMBER.end_ms + MINUTE),
+    )
+    points = telemetry(
+        spark,
+        dict(ts_ms=T0),
+        dict(ts_ms=T0, msgcode="status"),
+        dict(ts_ms=T0, deviceid=None),
+        dict(ts_ms=None),
+        dict(ts_ms=SEPTEMBER.end_ms),
+    )
+    assert records(waypoints(trips, points, SEPTEMBER, "city"), "trip_id") == [(1,), (9,)]
+    assert records(waypoints(trips, points, SEPTEMBER), "trip_id") == [(1,), (3,), (9,)]
+
+
+def test_no_trips_give_no_waypoints(spark):
+    points = telemetry(spark, dict(ts_ms=T0))
+    assert waypoints(spans(spark, dict(is_valid_rental=0, started_at_ms=T0, ended_at_ms=T0)), points, SEPTEMBER).collect() == []
+
+
+def test_locations(spark):
+    cases = {
+        '{"location":[-77.036545,38.123456]}': ("38.12346", "-77.03655"),
+        '{"speed":3,"location":[-77.036544999999999999,38]}': ("38.00000", "-77.03654"),
+        '{"location":"[-77.036545, 38.5]"}': ("38.50000", "-77.03655"),
+        '{"location":["-77.5","38.5"]}': ("38.50000", "-77.50000"),
+        '{"location":[-77.5]}': (None, "-77.50000"),
+        '{"location":[-122.4,37.7]}': ("37.70000", None),
+        '{"location":[]}': (None, None),
+        '{"location":null}': (None, None),
+        '{"location":"nowhere"}': (None, None),
+        '{"place":[1,2]}': (None, None),
+        '{"location":[': (None, None),
+        "": (None, None),
+        None: (None, None),
+    }
+    points = telemetry(spark, *[dict(ts_ms=T0 + i * 1000, fields=text) for i, text in enumerate(cases)])
+    trip = spans(spark, dict(started_at_ms=T0, ended_at_ms=T0 + 60 * MINUTE))
+    found = {r.time: (r.lat, r.lon) for r in waypoints(trip, points, SEPTEMBER).collect()}
+    expected = [tuple(v and Decimal(v) for v in pair) for pair in cases.values()]
+    assert [found[time] for time in sorted(found)] == expected
+    wide = waypoints(trip, points, SEPTEMBER, coordinate_type="decimal(8,5)")
+    assert Decimal("-122.40000") in {r.lon for r in wide.collect()}
+
+
+def test_time_drops_milliseconds(spark):
+    trip = spans(spark, dict(started_at_ms=T0, ended_at_ms=T0 + MINUTE))
+    found = waypoints(trip, telemetry(spark, dict(ts_ms=T0 + 1999)), SEPTEMBER).selectExpr("unix_micros(time) AS t")
+    assert records(found) == [((T0 + 1000) * 1000,)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_bucket_width_equals_brute_force(spark, seed):
+    """Overlapping trips from milliseconds to years, one device with a third of all points."""
+    rng = random.Random(seed)
+    device = lambda: 1 if rng.random() < 0.35 else rng.randint(2, 6)
+    trips = []
+    for number in range(60):
+        start = T0 + rng.randint(0, 20 * 86_400_000)
+        length = rng.choice([0, 1, 999, 5 * MINUTE, 60 * MINUTE, 86_400_000, 60 * 86_400_000, 10**12])
+        trips.append(dict(rental_id=number, identifier=device(), started_at_ms=start, ended_at_ms=start + length))
+    points = [dict(deviceid=device(), ts_ms=T0 + rng.randint(-(10**8), 30 * 86_400_000)) for _ in range(400)]
+    points += [dict(deviceid=t["identifier"], ts_ms=t["ended_at_ms"]) for t in trips[:20]]
+    expected = sorted(
+        (t["rental_id"], p["ts_ms"] // 1000)
+        for t in trips
+        for p in points
+        if t["identifier"] == p["deviceid"] and t["started_at_ms"] <= p["ts_ms"] <= t["ended_at_ms"]
+    )
+    for bucket_ms in (1000, MINUTE, 900_000, 86_400_000):
+        found = waypoints(spans(spark, *trips), telemetry(spark, *points), SEPTEMBER, bucket_ms=bucket_ms)
+        assert sorted(tuple(r) for r in found.selectExpr("trip_id", "unix_seconds(time)").collect()) == expected
