@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import days_between, local_time
+from kerbside.functions.columns import DAY_MICROS, days_between, local_time, micros
 from kerbside.functions.skew import SPLIT_ROWS, with_time_cells
 from kerbside.operators.trips import of_system
 from kerbside.period import CORRECTED, ReportPeriod, check_semantics
@@ -87,11 +87,12 @@ def clamp_spans(
 
 def time_out(clamped: DataFrame) -> DataFrame:
     """``vehicle_id, time_out_days``: total length of a vehicle's blocked spans."""
-    span = days_between(F.col("start_block"), F.col("end_block"))
+    # Summed as whole microseconds, so the result does not depend on the order of rows.
+    span = micros(F.col("end_block")) - micros(F.col("start_block"))
     return (
         clamped.where(F.col("operationality_cleaned").ilike("blocked"))
         .groupBy("vehicle_id")
-        .agg(F.coalesce(F.sum(span), F.lit(0.0)).alias("time_out_days"))
+        .agg((F.coalesce(F.sum(span), F.lit(0)) / F.lit(float(DAY_MICROS))).alias("time_out_days"))
     )
 
 

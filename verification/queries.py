@@ -25,7 +25,8 @@ def plain(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, DoubleType):
-            column = F.round(column, 6)
+            # Seven places: whole seconds in days never end in a tie there.
+            column = F.round(column, 7)
         elif isinstance(field.dataType, DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, DateType):
