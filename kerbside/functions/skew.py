@@ -15,22 +15,22 @@ SPLIT_ROWS = 1_000_000
 LARGEST_KEYS = 100_000
 # Time cells per SPLIT_ROWS rows. Above one, because rows are not spread evenly in time.
 CELLS_PER_SPLIT = 8
+LAST_CELL = 2**62
 
 
-def large_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """``keys, key_rows`` of the keys too large for one task; NULL keys are left out.
+def large_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS, *measures: Column) -> DataFrame:
+    """``keys, key_rows`` and ``measures`` of the keys too large for one task; NULL keys are left out.
 
-    Counting combines on the map side, so a large key costs one row per task. The total
-    reuses the same exchange.
+    Counting combines on the map side, so a large key costs one row per task. Measures
+    must be aggregates of fixed size, such as a minimum.
     """
-    counted = (
-        df.where(all_present(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("key_rows"))
-    )
-    total = counted.agg(F.sum("key_rows")).scalar()
-    return counted.where(
-        (F.col("key_rows") > split_rows) & (F.col("key_rows") > total / F.lit(LARGEST_KEYS))
+    present = df.where(all_present(keys))
+    rows = F.count(F.lit(1)).alias("key_rows")
+    total = present.groupBy(*keys).agg(rows).agg(F.sum("key_rows")).scalar()
+    return (
+        present.groupBy(*keys)
+        .agg(rows, *measures)
+        .where((F.col("key_rows") > split_rows) & (F.col("key_rows") > total / F.lit(LARGEST_KEYS)))
     )
 
 
@@ -43,30 +43,19 @@ def with_time_cells(df: DataFrame, key: str, at: str, split_rows: int = SPLIT_RO
     """
     if split_rows < 1:
         raise ValueError(f"split_rows must be positive, got {split_rows}")
-    large = F.broadcast(large_keys(df, [key], split_rows))
     instant = micros(F.col(at))
     cells = F.ceil(F.col("key_rows") / F.lit(split_rows)) * F.lit(CELLS_PER_SPLIT)
-    extents = (
-        df.select(key, at)
-        .join(large, key)
-        .groupBy(key, "key_rows")
-        .agg(F.min(instant).alias("first_micros"), F.max(instant).alias("last_micros"))
-        .select(
-            key,
-            F.lit(True).alias("is_large"),
-            "first_micros",
-            (F.expr("last_micros - first_micros") / cells).cast("long").alias("span_micros"),
-        )
-        .withColumn("cell_micros", F.col("span_micros") + F.lit(1))
+    extents = large_keys(
+        df, [key], split_rows, F.min(instant).alias("first_micros"), F.max(instant).alias("last_micros")
+    ).select(
+        key,
+        F.lit(True).alias("is_large"),
+        "first_micros",
+        (((F.col("last_micros") - F.col("first_micros")) / cells).cast("long") + 1).alias("cell_micros"),
     )
-    cell = F.expr(f"(unix_micros(cast(`{at}` as timestamp)) - first_micros) div cell_micros")
-    return (
-        df.join(F.broadcast(extents), key, "left")
-        .withColumn(
-            "time_cell",
-            F.when(F.col("is_large"), F.coalesce(cell, F.lit(2**62))),
-        )
-        .drop("is_large", "first_micros", "span_micros", "cell_micros")
+    cell = F.floor((instant - F.col("first_micros")) / F.col("cell_micros"))
+    return df.join(F.broadcast(extents), key, "left").select(
+        df["*"], F.when(F.col("is_large"), F.coalesce(cell, F.lit(LAST_CELL))).alias("time_cell")
     )
 
 

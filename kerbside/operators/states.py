@@ -119,15 +119,18 @@ def state_changes(
     category looks across cities; ``corrected`` looks within one, like the period counter.
 
     A vehicle with more than ``split_rows`` transitions is cut into time cells
-    (``time_cell``; NULL for all others). The window then runs per cell, and the last
-    category of the cell before is carried in from a summary with one row per cell.
+    (``time_cell``; NULL for all others). Windows run per cell, and what they need from
+    earlier cells comes from a summary with one row per cell and city: the category before
+    the cell, and per city the number of changes (``changes_before``).
     """
     unit = _lag_unit(semantics)
     celled = with_time_cells(transitions, "vehicle_id", "started_at", split_rows)
     zones = systems.select(F.col("id").alias("system_id"), "time_zone")
     fleet = vehicles.where(F.col("vehicle_kind_name") == kind).select(F.col("id").alias("vehicle_id"))
     now_there = F.convert_timezone(F.lit("UTC"), F.col("time_zone"), local_time(period.as_of))
-    located = (
+    # The one exchange all windows use. Stated, because a shuffled join on vehicle_id
+    # would satisfy the windows too and leave a large vehicle in one task.
+    placed = (
         celled.join(zones, "system_id")
         .join(fleet, "vehicle_id")
         .select(
@@ -141,89 +144,93 @@ def state_changes(
             F.coalesce("ended_at", now_there).alias("ended_at"),
             "time_cell",
         )
+        .repartition(*unit, "time_cell")
     )
-    # The one exchange both windows use. Stated, because a shuffled join on vehicle_id
-    # would satisfy the windows too and leave a large vehicle in one task.
-    placed = located.repartition(*unit, "time_cell")
-
     in_order = Window.partitionBy(*unit, "time_cell").orderBy(F.asc_nulls_last("started_at"), F.asc("id"))
-    category = F.col("operationality_category")
-    within = placed.withColumn("first_in_cell", F.lag(F.lit(False), 1, True).over(in_order)).withColumn(
-        "last_operationality_category", F.lag(category).over(in_order)
-    )
-
-    latest = F.struct(F.col("started_at").isNull(), "started_at", "id")
-    cell_order = Window.partitionBy(*unit).orderBy("time_cell")
-    carried = (
-        located.where(F.col("time_cell").isNotNull())
-        .groupBy(*unit, "time_cell")
-        .agg(F.max_by(category, latest).alias("cell_category"))
-        .withColumn("carried_category", F.lag("cell_category").over(cell_order))
-        .drop("cell_category")
+    within = placed.select(
+        "*",
+        F.lag(F.lit(False), 1, True).over(in_order).alias("opens_cell"),
+        F.lag("operationality_category").over(in_order).alias("previous_category"),
     )
-    previous = F.when(F.col("first_in_cell"), F.col("carried_category")).otherwise(
-        F.col("last_operationality_category")
+    previous = F.when(F.col("opens_cell"), F.col("category_before")).otherwise(F.col("previous_category"))
+    return within.join(_cell_summary(within, unit), [*unit, "time_cell"], "left").select(
+        "id",
+        "vehicle_id",
+        "system_id",
+        "operationality",
+        "time_zone",
+        "operationality_category",
+        F.coalesce(previous, F.lit(NEW_VEHICLE)).alias("last_operationality_category"),
+        "started_at",
+        "ended_at",
+        "time_cell",
+        "changes_before",
     )
-    return (
-        within.join(carried, [*unit, "time_cell"], "left")
-        .withColumn("last_operationality_category", F.coalesce(previous, F.lit(NEW_VEHICLE)))
-        .select(
-            "id",
-            "vehicle_id",
-            "system_id",
-            "operationality",
-            "time_zone",
-            "operationality_category",
-            "last_operationality_category",
-            "started_at",
-            "ended_at",
-            "time_cell",
+
+
+def _cell_summary(within: DataFrame, unit: list[str]) -> DataFrame:
+    """Per time cell of a large vehicle: ``category_before``, and ``changes_before`` as a map by city."""
+    u = ", ".join(unit)
+    return within.sparkSession.sql(
+        f"""
+        WITH per_city AS (
+          SELECT {u}, time_cell, system_id AS city,
+                 count_if(NOT opens_cell
+                          AND coalesce(previous_category, '{NEW_VEHICLE}') != operationality_category) AS changes,
+                 max(CASE WHEN opens_cell THEN struct(operationality_category AS category) END) AS opening,
+                 max(struct(started_at IS NULL AS undated, started_at, id,
+                            operationality_category AS category)) AS closing
+          FROM {{within}} WHERE time_cell IS NOT NULL
+          GROUP BY {u}, time_cell, system_id
+        ),
+        per_cell AS (
+          SELECT {u}, time_cell, max(closing).category AS closing_category, max(opening) AS opening,
+                 max(city) FILTER (WHERE opening IS NOT NULL) AS opening_city,
+                 collect_list(struct(city, changes)) AS cities
+          FROM per_city GROUP BY {u}, time_cell
+        ),
+        linked AS (
+          SELECT *, lag(closing_category) OVER (PARTITION BY {u} ORDER BY time_cell) AS category_before
+          FROM per_cell
+        ),
+        counted AS (
+          SELECT {u}, time_cell, category_before, c.city,
+                 c.changes + CASE WHEN c.city = opening_city
+                                   AND coalesce(category_before, '{NEW_VEHICLE}') != opening.category
+                                  THEN 1 ELSE 0 END AS changes
+          FROM linked LATERAL VIEW explode(cities) AS c
+        ),
+        accumulated AS (
+          SELECT *, coalesce(sum(changes) OVER (PARTITION BY vehicle_id, city ORDER BY time_cell
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM counted
         )
+        SELECT {u}, time_cell, first(category_before) AS category_before,
+               map_from_entries(collect_list(struct(city, before))) AS changes_before
+        FROM accumulated GROUP BY {u}, time_cell
+        """,
+        within=within,
     )
 
 
-def numbered_changes(changes: DataFrame, semantics: str = "reference") -> DataFrame:
+def numbered_changes(changes: DataFrame) -> DataFrame:
     """Add ``period``: how often the vehicle has changed category in its city so far.
 
-    Transitions that start at one instant share the number. For a vehicle cut into time
-    cells, the changes of earlier cells are added from a summary with one row per cell.
+    Transitions that start at one instant share the number.
     """
-    unit = _lag_unit(semantics)
-    changed = (F.col("last_operationality_category") != F.col("operationality_category")).cast("long")
-    flagged = changes.withColumn("changed", F.coalesce(changed, F.lit(0)))
-
-    # The default RANGE frame, which includes all rows of the same instant. The join keys
-    # come first, so that one sort serves the window and the join.
-    cell = [*unit, "time_cell"]
-    city = [name for name in ("vehicle_id", "system_id") if name not in cell]
-    so_far = Window.partitionBy(*cell, *city).orderBy(F.asc_nulls_last("started_at"))
-    earlier = (
-        Window.partitionBy("vehicle_id", "system_id")
-        .orderBy("time_cell")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # A map per cell, so that this join has the keys of the placement and moves no rows.
-    carried = (
-        flagged.where(F.col("time_cell").isNotNull())
-        .groupBy("vehicle_id", "system_id", "time_cell")
-        .agg(F.sum("changed").alias("changes"))
-        .withColumn("offset", F.coalesce(F.sum("changes").over(earlier), F.lit(0)))
-        .groupBy(*cell)
-        .agg(F.map_from_entries(F.collect_list(F.struct("system_id", "offset"))).alias("offsets"))
-    )
-    offset = F.coalesce(F.try_element_at("offsets", F.col("system_id")), F.lit(0))
-    return (
-        flagged.withColumn("period", F.sum("changed").over(so_far))
-        .join(carried, cell, "left")
-        .withColumn("period", F.col("period") + offset)
-        .drop("changed", "offsets")
+    changed = F.coalesce(
+        (F.col("last_operationality_category") != F.col("operationality_category")).cast("long"), F.lit(0)
     )
+    # The default RANGE frame, which includes all rows of the same instant.
+    so_far = Window.partitionBy("vehicle_id", "time_cell", "system_id").orderBy(F.asc_nulls_last("started_at"))
+    before = F.coalesce(F.try_element_at("changes_before", F.col("system_id")), F.lit(0))
+    return changes.select("*", (F.sum(changed).over(so_far) + before).alias("period"))
 
 
-def state_periods(changes: DataFrame, semantics: str = "reference") -> DataFrame:
+def state_periods(changes: DataFrame) -> DataFrame:
     """Consecutive transitions of one category merged into one period with its first start and last end."""
     return (
-        numbered_changes(changes, semantics)
+        numbered_changes(changes)
         .groupBy("vehicle_id", "system_id", "time_zone", "operationality_category", "period")
         .agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"))
     )

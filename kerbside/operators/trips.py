@@ -57,53 +57,53 @@ def trip_stats(
     spills where it must, and the middle ones picked. Keys with more than ``split_rows``
     trips would keep one task busy that way; :func:`split_median` ranks theirs in parts.
     """
-    present = all_present(keys)
     lengths = valid.select(
         *keys,
         "id",
         miles(F.col("distance_in_meters"), meters_per_mile).alias("length"),
         miles(F.col("distance_in_meters"), median_meters_per_mile or meters_per_mile).alias("median_length"),
     )
-    moments = [
-        F.count("id").alias("num_trips"),
-        F.count("length").alias("length_count"),
-        F.avg("length").alias("mean_trip_length"),
-        F.stddev_samp("length").alias("std_trip_length"),
-    ]
     large = large_keys(lengths.where(F.col("length").isNotNull()), keys, split_rows)
-    is_large = F.broadcast(large.select(*keys))
-
-    by_key = Window.partitionBy(*keys)
-    rank = F.row_number().over(by_key.orderBy(F.asc_nulls_last("median_length"))).cast("long")
-    # One row of an odd number, two of an even one.
-    is_middle = (F.col("rank") * 2).between(F.col("of"), F.col("of") + 2)
-    ordinary = (
-        lengths.where(present)
-        .join(is_large, keys, "left_anti")
-        .select("*", rank.alias("rank"))
-        .select("*", F.count("median_length").over(by_key).alias("of"))
-        .groupBy(*keys)
-        .agg(*moments, F.avg(F.when(is_middle, F.col("median_length"))).alias("median_trip_length"))
-    )
-    split = (
-        lengths.join(is_large, keys)
-        .groupBy(*keys)
-        .agg(*moments)
-        .join(split_median(lengths, keys, "median_length", large, "median_trip_length"), keys, "left")
-    )
-    unknown = (
-        lengths.where(~present)
-        .groupBy(*keys)
-        .agg(*moments)
-        .withColumn("median_trip_length", F.lit(None).cast("double"))
-    )
-    return ordinary.unionByName(split).unionByName(unknown).select(
-        *keys,
-        "num_trips",
-        "length_count",
-        "mean_trip_length",
-        "median_trip_length",
-        "std_trip_length",
+    medians = split_median(lengths, keys, "median_length", large, "median_trip_length")
+    k = ", ".join(f"`{key}`" for key in keys)
+    present = " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
+    moments = """count(id) AS num_trips, count(length) AS length_count, avg(length) AS mean_trip_length,
+                 stddev_samp(length) AS std_trip_length"""
+    return valid.sparkSession.sql(
+        f"""
+        WITH ranked AS (
+          SELECT /*+ BROADCAST(large) */ *,
+                 row_number() OVER (PARTITION BY {k} ORDER BY median_length NULLS LAST) AS rank
+          FROM {{lengths}} LEFT ANTI JOIN {{large}} AS large USING ({k})
+          WHERE {present}
+        ),
+        placed AS (
+          SELECT *, count(median_length) OVER (PARTITION BY {k}) AS of FROM ranked
+        ),
+        -- The middle row of an odd number, both middle rows of an even one.
+        ordinary AS (
+          SELECT {k}, {moments},
+                 avg(median_length) FILTER (WHERE rank * 2L BETWEEN of AND of + 2) AS median_trip_length
+          FROM placed GROUP BY {k}
+        ),
+        split AS (
+          SELECT /*+ BROADCAST(large) */ {k}, {moments}
+          FROM {{lengths}} LEFT SEMI JOIN {{large}} AS large USING ({k})
+          GROUP BY {k}
+        ),
+        unknown AS (
+          SELECT {k}, {moments} FROM {{lengths}} WHERE NOT ({present}) GROUP BY {k}
+        )
+        SELECT {k}, num_trips, length_count, mean_trip_length, median_trip_length, std_trip_length FROM ordinary
+        UNION ALL
+        SELECT {k}, num_trips, length_count, mean_trip_length, median_trip_length, std_trip_length
+        FROM split LEFT JOIN {{medians}} USING ({k})
+        UNION ALL
+        SELECT {k}, num_trips, length_count, mean_trip_length, NULL, std_trip_length FROM unknown
+        """,
+        lengths=lengths,
+        large=large,
+        medians=medians,
     )
 
 

@@ -37,7 +37,7 @@ def write_monthly_reports(
     )
     # Two reports need the city's blocked periods of the month: few rows, computed once.
     blocked = states.blocked_in_period(
-        states.state_periods(changes, semantics), period, system_id, semantics
+        states.state_periods(changes), period, system_id, semantics
     ).persist(StorageLevel.MEMORY_AND_DISK)
     users = reports.user_trip_report(tables["trips"], period, system_id)
     vehicles = reports.vehicle_report(

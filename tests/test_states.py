@@ -183,7 +183,7 @@ def test_vehicle_that_moves_between_cities(spark, split_rows):
     cities = ({}, dict(id="other", time_zone="UTC"))
     numbers = lambda semantics: records(
         states.numbered_changes(
-            _changes(spark, rows, cities=cities, semantics=semantics, split_rows=split_rows), semantics
+            _changes(spark, rows, cities=cities, semantics=semantics, split_rows=split_rows)
         ),
         "id",
         "period",
@@ -295,9 +295,9 @@ def test_numbers_equal_brute_force_however_vehicles_are_split(spark, seed, seman
             semantics=semantics,
             split_rows=split_rows,
         )
-        numbered = states.numbered_changes(changes, semantics)
+        numbered = states.numbered_changes(changes)
         assert sorted((r.id, r.period) for r in numbered.select("id", "period").collect()) == expected
-        periods.append(Counter(tuple(r) for r in states.state_periods(changes, semantics).collect()))
+        periods.append(Counter(tuple(r) for r in states.state_periods(changes).collect()))
     assert periods[0] == periods[1] == periods[2]
 
 

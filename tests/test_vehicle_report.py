@@ -15,9 +15,7 @@ MILE, VEHICLE_MILE = 1609.34, 1607.34
 def _report(spark, trip_rows, transition_rows, fleet, semantics="reference", split_rows=1_000_000):
     log = transitions(spark, *transition_rows)
     dimension = vehicles(spark, *fleet)
-    periods = states.state_periods(
-        states.state_changes(log, systems(spark), dimension, SEPTEMBER, semantics), semantics
-    )
+    periods = states.state_periods(states.state_changes(log, systems(spark), dimension, SEPTEMBER, semantics))
     return vehicle_report(
         trips(spark, *trip_rows), log, dimension, periods, SEPTEMBER, "city", semantics, split_rows
     )

@@ -44,7 +44,7 @@ def _changes(spark: SparkSession, sf: str, **options) -> DataFrame:
 
 
 def _periods(spark: SparkSession, sf: str, semantics: str = "reference", **options) -> DataFrame:
-    return states.state_periods(_changes(spark, sf, semantics=semantics, **options), semantics)
+    return states.state_periods(_changes(spark, sf, semantics=semantics, **options))
 
 
 def _vehicle_report(spark: SparkSession, sf: str, semantics: str = "reference", system_id: str | None = None) -> DataFrame:
@@ -128,11 +128,11 @@ def days_in_service(spark, sf):
 
 
 def state_changes(spark, sf):
-    return _changes(spark, sf).drop("time_cell")
+    return _changes(spark, sf).drop("time_cell", "changes_before")
 
 
 def state_changes_split(spark, sf):
-    return _changes(spark, sf, split_rows=SMALL_SPLIT).drop("time_cell")
+    return _changes(spark, sf, split_rows=SMALL_SPLIT).drop("time_cell", "changes_before")
 
 
 def state_periods(spark, sf):
