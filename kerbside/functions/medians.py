@@ -44,10 +44,11 @@ def split_median(df: DataFrame, keys: list[str], value: str, large: DataFrame, n
           GROUP BY {k}, lower_rank, upper_rank
         ),
         fine AS (
-          SELECT /*+ BROADCAST(rough_range) */ {k}, lower_rank, upper_rank, below,
+          SELECT {k}, lower_rank, upper_rank, below,
                  CASE WHEN high > low THEN floor((value - low) / (high - low) * {LINEAR_CELLS}) ELSE 0 END AS cell,
                  count(*) AS cell_rows, min(value) AS low, max(value) AS high
-          FROM (SELECT * FROM rows JOIN rough_range USING ({k}) WHERE value BETWEEN low AND high)
+          FROM (SELECT /*+ BROADCAST(rough_range) */ *
+                FROM rows JOIN rough_range USING ({k}) WHERE value BETWEEN low AND high)
           GROUP BY {k}, lower_rank, upper_rank, below, cell
         ),
         fine_range AS (

@@ -82,6 +82,24 @@ def test_ordinary_users_take_one_exchange_of_trips(stored):
     assert "Window" in first_branch
 
 
+def test_splitting_never_shuffles_rows_by_their_large_key(spark, stored):
+    """Only one join is left to Spark: statistics with medians, one row per large key each."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(user_trip_report(stored["trips"], SEPTEMBER, "city")).split("===== Subqueries")[0]
+        assert len(re.findall(r"(?m)^\(\d+\) SortMergeJoin", text)) == 1
+        changes = states.state_changes(stored["transitions"], stored["systems"], stored["vehicles"], SEPTEMBER)
+        text = plan(states.state_periods(changes)).split("===== Subqueries")[0]
+        joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]", text)
+        # Dimensions by their own key before the placement, the summary by cell after it.
+        assert sorted(re.sub(r"#\d+L?", "", keys) for keys in joins) == sorted(
+            ["vehicle_id, time_cell"] + ["system_id", "vehicle_id"] * 2
+        )
+        assert text.count("REPARTITION_BY_COL") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_both_state_windows_share_one_exchange(stored):
     changes = states.state_changes(stored["transitions"], stored["systems"], stored["vehicles"], SEPTEMBER)
     text = io.StringIO()
