@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose data and
-cores. Each query is built and run to a sink that discards rows: once to warm up, then
-BENCH_RUNS times (default 3), of which the median counts.
+cores. Each query is built and run to a sink that discards rows. One round warms up, then
+BENCH_RUNS rounds (default 3) are timed, of which the median counts.
 """
 
 from __future__ import annotations
@@ -40,14 +40,14 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry()
-    seconds = {}
-    for name in HEADLINES:
-        times = []
-        for _ in range(runs + 1):
+    times = {name: [] for name in HEADLINES}
+    for number in range(runs + 1):
+        for name in HEADLINES:
             began = time.perf_counter()
             queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - began)
-        seconds[name] = round(statistics.median(times[1:]), 3)
+            if number:
+                times[name].append(time.perf_counter() - began)
+    seconds = {name: round(statistics.median(measured), 3) for name, measured in times.items()}
     spark.stop()
     print(
         json.dumps(

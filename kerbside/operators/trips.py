@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import METERS_PER_MILE, coordinate, miles, moment_like
 from kerbside.functions.medians import split_median
-from kerbside.functions.skew import SPLIT_ROWS, all_present, large_keys
+from kerbside.functions.skew import SPLIT_ROWS, large_keys
 from kerbside.period import ReportPeriod
 
 # Fixed values.
@@ -57,42 +57,47 @@ def trip_stats(
     spills where it must, and the middle ones picked. Keys with more than ``split_rows``
     trips would keep one task busy that way; :func:`split_median` ranks theirs in parts.
     """
-    lengths = valid.select(
-        *keys,
-        "id",
-        miles(F.col("distance_in_meters"), meters_per_mile).alias("length"),
-        miles(F.col("distance_in_meters"), median_meters_per_mile or meters_per_mile).alias("median_length"),
+    median_meters_per_mile = median_meters_per_mile or meters_per_mile
+    # Meters are exchanged and turned into miles afterwards: one number per trip, not two.
+    measured = valid.select(*keys, "id", F.col("distance_in_meters").alias("meters"))
+    large = large_keys(measured.where(F.col("meters").isNotNull()), keys, split_rows)
+    medians = split_median(
+        measured.select(*keys, miles(F.col("meters"), median_meters_per_mile).alias("length")),
+        keys,
+        "length",
+        large,
+        "median_trip_length",
     )
-    large = large_keys(lengths.where(F.col("length").isNotNull()), keys, split_rows)
-    medians = split_median(lengths, keys, "median_length", large, "median_trip_length")
     k = ", ".join(f"`{key}`" for key in keys)
     present = " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
-    moments = """count(id) AS num_trips, count(length) AS length_count, avg(length) AS mean_trip_length,
-                 stddev_samp(length) AS std_trip_length"""
+    moments = f"""count(id) AS num_trips, count(meters) AS length_count,
+                  avg(meters / {meters_per_mile}D) AS mean_trip_length,
+                  stddev_samp(meters / {meters_per_mile}D) AS std_trip_length"""
     return valid.sparkSession.sql(
         f"""
         WITH ranked AS (
           SELECT /*+ BROADCAST(large) */ *,
-                 row_number() OVER (PARTITION BY {k} ORDER BY median_length NULLS LAST) AS rank
-          FROM {{lengths}} LEFT ANTI JOIN {{large}} AS large USING ({k})
+                 row_number() OVER (PARTITION BY {k} ORDER BY meters NULLS LAST) AS rank
+          FROM {{measured}} LEFT ANTI JOIN {{large}} AS large USING ({k})
           WHERE {present}
         ),
         placed AS (
-          SELECT *, count(median_length) OVER (PARTITION BY {k}) AS of FROM ranked
+          SELECT *, count(meters) OVER (PARTITION BY {k}) AS of FROM ranked
         ),
         -- The middle row of an odd number, both middle rows of an even one.
         ordinary AS (
           SELECT {k}, {moments},
-                 avg(median_length) FILTER (WHERE rank * 2L BETWEEN of AND of + 2) AS median_trip_length
+                 avg(meters / {median_meters_per_mile}D)
+                   FILTER (WHERE rank * 2L BETWEEN of AND of + 2) AS median_trip_length
           FROM placed GROUP BY {k}
         ),
         split AS (
           SELECT /*+ BROADCAST(large) */ {k}, {moments}
-          FROM {{lengths}} LEFT SEMI JOIN {{large}} AS large USING ({k})
+          FROM {{measured}} LEFT SEMI JOIN {{large}} AS large USING ({k})
           GROUP BY {k}
         ),
         unknown AS (
-          SELECT {k}, {moments} FROM {{lengths}} WHERE NOT ({present}) GROUP BY {k}
+          SELECT {k}, {moments} FROM {{measured}} WHERE NOT ({present}) GROUP BY {k}
         )
         SELECT {k}, num_trips, length_count, mean_trip_length, median_trip_length, std_trip_length FROM ordinary
         UNION ALL
@@ -101,7 +106,7 @@ def trip_stats(
         UNION ALL
         SELECT {k}, num_trips, length_count, mean_trip_length, NULL, std_trip_length FROM unknown
         """,
-        lengths=lengths,
+        measured=measured,
         large=large,
         medians=medians,
     )

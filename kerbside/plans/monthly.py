@@ -14,6 +14,7 @@ from kerbside.operators.trips import trip_export
 from kerbside.period import ReportPeriod
 from kerbside.plans import reports
 from kerbside.schemas import INPUTS
+from kerbside.session import configure
 from kerbside.sinks.files import write_csv_report, write_feature_collection
 from kerbside.sources.tables import load_table
 
@@ -32,6 +33,7 @@ def write_monthly_reports(
     semantics: str = "reference",
 ) -> dict[str, str]:
     """Write the reports below ``path`` and return where each one is."""
+    configure(spark)
     changes = states.state_changes(
         tables["transitions"], tables["systems"], tables["vehicles"], period, semantics
     )
