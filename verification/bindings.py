@@ -34,7 +34,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table, as the trip facts are; the scan shows which filters reach it."""
     rows = _read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey * 8 + l_linenumber AS id",
-        "l_partkey AS user_id",
+        "l_partkey div 10 AS user_id",
         "l_suppkey AS vehicle_id",
         "concat('S', cast(l_partkey % 5 AS string)) AS system_id",
         "l_extendedprice - 2000D AS distance_in_meters",
