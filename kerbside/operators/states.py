@@ -146,7 +146,10 @@ def state_changes(
         )
         .repartition(*unit, "time_cell")
     )
-    in_order = Window.partitionBy(*unit, "time_cell").orderBy(F.asc_nulls_last("started_at"), F.asc("id"))
+    # A total order up to equal rows: the summary and the windows must see the same one.
+    in_order = Window.partitionBy(*unit, "time_cell").orderBy(
+        F.asc_nulls_last("started_at"), "id", "operationality_category"
+    )
     within = placed.select(
         "*",
         F.lag(F.lit(False), 1, True).over(in_order).alias("opens_cell"),

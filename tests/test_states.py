@@ -313,3 +313,16 @@ def test_a_large_vehicle_is_cut_into_small_cells(spark):
     assert max(r["count"] for r in per_cell) <= 100
     assert cells.where("vehicle_id <> 0 AND time_cell IS NOT NULL").count() == 0
     assert cells.count() == 30_000
+
+
+def test_repeated_rows_with_one_id_give_the_same_numbers_when_split(spark):
+    start = at("2020-09-01 00:00:00")
+    rows = [
+        dict(id=i % 7, started_at=start + timedelta(hours=i // 6), **(BLOCKED if i % 3 else DISCHARGED if i % 2 else {}))
+        for i in range(90)
+    ]
+    found = [
+        Counter(tuple(r) for r in states.state_periods(_changes(spark, rows, split_rows=n)).collect())
+        for n in (1, 5, 1_000_000)
+    ]
+    assert found[0] == found[1] == found[2]
