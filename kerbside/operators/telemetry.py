@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import location_axis
+from kerbside.functions.skew import LARGEST_KEYS
 from kerbside.operators.trips import of_system
 from kerbside.period import ReportPeriod
 
@@ -23,15 +24,17 @@ def waypoints(
     system_id: str | None = None,
     bucket_ms: int = QUARTER_HOUR_MS,
     coordinate_type: str = "decimal(7,5)",
+    most_listed: int = LARGEST_KEYS,
 ) -> DataFrame:
     """``trip_id, lat, lon, time``: location points sent during valid trips begun in the period.
 
     A point on the border of two trips belongs to both. Matching is by device and time
     bucket, so a busy device spreads over many tasks and a point is compared only with
     trips of its device near its time; AQE splits a bucket that is still too large. A trip
-    is listed under the few buckets it spans at the level that suits its length; points
-    are listed once per level that occurs, which is one as long as no trip exceeds
-    LEVEL_FACTOR buckets.
+    is listed under the few buckets it spans at the level that suits its length. Points
+    are listed at the lowest level, and at those of longer trips of their own device. The
+    list of devices with longer trips is broadcast if it has at most ``most_listed`` rows;
+    otherwise all points are listed at every level that occurs.
     """
     widths = F.array(*[F.lit(bucket_ms * LEVEL_FACTOR**level).cast("long") for level in range(LEVELS)])
     trips = (
@@ -58,9 +61,14 @@ def waypoints(
         "level",
         F.explode(F.sequence(F.expr("started_at_ms div width"), F.expr("ended_at_ms div width"))).alias("bucket"),
     )
+    longer = trips.where(F.col("level") > 0)
+    by_device = longer.groupBy("identifier").agg(F.collect_set("level").alias("levels"))
+    few = by_device.agg(F.count(F.lit(1)) <= most_listed).scalar()
+    # Either the whole list or nothing, so the broadcast is bounded.
+    listed = by_device.where(few).select(F.col("identifier").alias("deviceid"), "levels")
+    unlisted = F.when(few, F.array().cast("array<int>")).otherwise(longer.agg(F.collect_set("level")).scalar())
     # No point before the period or after the last trip's end can match: both limits
     # reach the telemetry scan, the second one once the trips have been read.
-    levels = trips.agg(F.collect_set("level")).scalar()
     last_end = trips.agg(F.max("ended_at_ms")).scalar()
     points = (
         telemetry.where(
@@ -68,13 +76,14 @@ def waypoints(
             & (F.col("ts_ms") >= period.start_ms)
             & (F.col("ts_ms") <= last_end)
         )
+        .join(F.broadcast(listed), "deviceid", "left")
         # Parsed before the join, so that two numbers are shuffled and not the JSON text.
         .select(
             "deviceid",
             "ts_ms",
             location_axis(F.col("fields"), 1, coordinate_type).alias("lat"),
             location_axis(F.col("fields"), 0, coordinate_type).alias("lon"),
-            levels.alias("levels"),
+            F.concat(F.array(F.lit(0)), F.coalesce("levels", unlisted)).alias("levels"),
         )
         .select("deviceid", "ts_ms", "lat", "lon", F.explode("levels").alias("level"))
         .withColumn("width", F.element_at(widths, F.col("level") + 1))
