@@ -10,7 +10,10 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events"
+    " documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def _row(values) -> tuple:
