@@ -71,15 +71,15 @@ def slices(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
-def by_chunk(work: Callable, out: pa.Schema) -> Callable:
-    """A function for mapInArrow: ``work(ids, texts)`` gives the other columns of a chunk as arrays."""
+def by_chunk(work: Callable, names: list[str]) -> Callable:
+    """A function for mapInArrow: the id, and what ``work(texts)`` gives as further arrays of a chunk."""
 
     def run(batches):
         for batch in batches:
             texts = text_bytes(batch)
             for begin, end in slices(texts):
                 ids = batch.column(0).slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays([ids, *work(ids, texts[begin:end])], schema=out)
+                yield pa.RecordBatch.from_arrays([ids, *work(texts[begin:end])], names=["doc_id", *names])
 
     return run
 

@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
+from kerbside.llm.quality import apply_rules, classify
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +20,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_quality_classifier": op7_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
