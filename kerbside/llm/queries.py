@@ -7,9 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
+from kerbside.llm.decontaminate import decontaminate
 from kerbside.llm.quality import apply_rules, classify
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -25,9 +31,36 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality_classifier": op7_quality_classifier,
 }
 
-ORACLES: dict[str, str] = {}
+#: ASCII capitals to small letters only, as the contract has it.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": f"""
+        WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        gram AS (
+            SELECT DISTINCT item_id, array_to_string(w[i : i + 9], ' ') AS gram, least(len(w), 10) AS size
+            FROM item, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS u(i) WHERE len(w) > 0),
+        doc AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+        sizes AS (SELECT DISTINCT size FROM gram),
+        place AS (
+            SELECT r, i, size, array_to_string(w[i : i + size - 1], ' ') AS gram
+            FROM doc, sizes, unnest(range(1, len(w) - size + 2)) AS u(i)),
+        found AS (SELECT r, i, size, item_id FROM place JOIN gram USING (gram, size)),
+        hit AS (
+            SELECT r, count(DISTINCT i + k) AS n_hit
+            FROM (SELECT DISTINCT r, i, size FROM found), unnest(range(0, size)) AS u(k) GROUP BY r),
+        items AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)""",
+}

@@ -1,0 +1,66 @@
+"""Windows of benchmark items in documents, against plain loops and the DuckDB SQL."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from kerbside.llm import decontaminate as module
+from kerbside.llm.decontaminate import decontaminate
+from kerbside.llm.queries import ORACLES, QUERIES
+from verification.compare import difference
+
+ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(ASCII_LOWER))
+
+
+def plain(text, items, size):
+    mine, hit, found = words(text), set(), set()
+    for item, item_text in items:
+        own = words(item_text)
+        for i in range(max(1, len(own) - size + 1) if own else 0):
+            window = own[i : i + size]
+            for at in range(len(mine) - len(window) + 1):
+                if mine[at : at + len(window)] == window:
+                    hit.update(range(at, at + len(window)))
+                    found.add("" if item is None else str(item))
+    return len(mine), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
+
+
+def rows():
+    random.seed(11)
+    make = lambda n, letters="abÇc": " ".join(random.choice(letters) for _ in range(n))
+    items = [(i, make(random.randrange(1, 9))) for i in range(20)]
+    items += [(3, make(5)), (4, None), (5, ""), (6, "-- --"), (None, "b b b"), (101, items[0][1])]
+    docs = [(i, make(random.randrange(40))) for i in range(60)]
+    docs += [(60, None), (61, ""), (62, "a" * 5000), (63, make(4000)), (63, docs[0][1]), (None, "B.b,b"), (64, "a ç A Ç")]
+    return items, docs
+
+
+@pytest.mark.parametrize("block_rows", [200_000, 7])
+def test_as_plain_loops(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(module, "BLOCK_ROWS", block_rows)
+    items, docs = rows()
+    bench = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, n_words int")
+    table = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, item string")
+    found = decontaminate(table, bench, size=4).collect()
+    expected = [(i, *plain(t, items, 4)) for i, t in docs]
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    assert sorted((tuple(r)[:6] for r in found), key=key) == sorted(expected, key=key)
+
+
+def test_empty_tables(spark):
+    bench = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert decontaminate(docs.limit(0), bench).count() == 0
+    assert [r.contaminated for r in decontaminate(docs, bench.limit(0)).collect()] == [False]
+    assert [r.contaminated for r in decontaminate(docs, bench).collect()] == [True]
+
+
+def test_query_equals_its_sql(spark):
+    assert difference(spark, "/root/testdata/sf0.001", QUERIES["op2_decontaminate"], ORACLES["op2_decontaminate"]) is None
