@@ -9,6 +9,7 @@ from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
 from kerbside.llm.quality import apply_rules, classify
+from kerbside.llm.simhash import near_duplicates
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +31,16 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality_classifier": op7_quality_classifier,
+    "op9_simhash": op9_simhash,
 }
 
 #: ASCII capitals to small letters only, as the contract has it.
