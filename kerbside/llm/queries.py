@@ -10,6 +10,11 @@ from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
 from kerbside.llm.quality import apply_rules, classify
 from kerbside.llm.simhash import near_duplicates
+from kerbside.llm.suffix_dedup import remove_repeats
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +41,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
