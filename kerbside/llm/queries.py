@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
+from kerbside.llm.packing import pack
 from kerbside.llm.quality import apply_rules, classify
+from kerbside.llm.sharding import shard_by_bytes
 from kerbside.llm.simhash import near_duplicates
 from kerbside.llm.suffix_dedup import remove_repeats
 
@@ -26,6 +28,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(read_table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +42,11 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return pack(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -44,8 +55,10 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality_rules": op3_quality_rules,
+    "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_token_packing": op8_token_packing,
     "op9_simhash": op9_simhash,
 }
 
