@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
+from kerbside.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, block_words, needed_words, scan_licenses, template_words
 from kerbside.llm.packing import pack
 from kerbside.llm.quality import apply_rules, classify
 from kerbside.llm.sharding import shard_by_bytes
@@ -51,6 +52,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -60,13 +65,54 @@ QUERIES = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_packing": op8_token_packing,
     "op9_simhash": op9_simhash,
+    "op10_license_scan": op10_license_scan,
 }
 
 #: ASCII capitals to small letters only, as the contract has it.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _rows(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+_PHRASE_WORDS = [(n, label, k, w, len(p.split())) for n, (p, label) in enumerate(PHRASES.items()) for k, w in enumerate(p.split())]
+_TEMPLATE_WORDS = [
+    (n, label, w, block_words(words), len(set(words)), needed_words(len(set(words)), THRESHOLD))
+    for n, (label, words) in enumerate((label, template_words(text)) for label, text in TEMPLATES)
+    for w in sorted(set(words))
+]
+
 ORACLES: dict[str, str] = {
+    "op10_license_scan": f"""
+        WITH phrase(phrase, label, k, word, size) AS (VALUES {_rows(_PHRASE_WORDS)}),
+        template(template, label, word, block, size, needed) AS (VALUES {_rows(_TEMPLATE_WORDS)}),
+        doc AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+        word AS (SELECT r, i - 1 AS pos, w[i] AS word FROM doc, unnest(range(1, len(w) + 1)) AS u(i)),
+        place AS (
+            SELECT r, phrase, any_value(label) AS label, pos - k AS start
+            FROM word JOIN phrase USING (word) GROUP BY r, phrase, pos - k
+            HAVING count(*) = any_value(size)),
+        base AS (SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word FROM place GROUP BY r),
+        seen AS (SELECT r, pos, word, template.* EXCLUDE (word) FROM word JOIN template USING (word)),
+        block AS (
+            SELECT a.r, a.template, a.pos, any_value(a.label) AS label, any_value(a.size) AS size,
+                   any_value(a.needed) AS needed, count(DISTINCT b.word) AS common
+            FROM seen AS a JOIN seen AS b ON a.r = b.r AND a.template = b.template AND b.pos >= a.pos AND b.pos < a.pos + a.block
+            GROUP BY a.r, a.template, a.pos),
+        hit AS (SELECT r, label, common / size AS share FROM block WHERE common >= needed),
+        best AS (SELECT r, max(share) AS best FROM hit GROUP BY r),
+        own AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT r, label FROM place) GROUP BY r),
+        every AS (
+            SELECT r, string_agg(label, ',' ORDER BY label) AS labels
+            FROM (SELECT r, label FROM place UNION SELECT r, label FROM hit) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+               CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+               coalesce(own.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+        FROM doc LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN own USING (r) LEFT JOIN every USING (r)""",
     "op2_decontaminate": f"""
         WITH item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
         gram AS (
