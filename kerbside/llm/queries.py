@@ -9,6 +9,7 @@ from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
 from kerbside.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, block_words, needed_words, scan_licenses, template_words
+from kerbside.llm.maxent import score_texts
 from kerbside.llm.packing import pack
 from kerbside.llm.quality import apply_rules, classify
 from kerbside.llm.sharding import shard_by_bytes
@@ -39,6 +40,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_packing": op8_token_packing,
     "op9_simhash": op9_simhash,
