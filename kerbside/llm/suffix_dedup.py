@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import CHUNK_BYTES, checkpointed, ragged, slices, text_bytes, two_columns
+from kerbside.llm.common import checkpointed, ragged, slices, text_bytes, two_columns
 from kerbside.llm.suffixes import Hashed, repeated_windows
 
 LENGTH = 200
@@ -41,8 +41,10 @@ LENGTH = 200
 HOT = 2000
 #: Hot anchors, and hot runs, that may be broadcast: 32 MB at most.
 LISTED = 1 << 20
+#: Text whose runs are found at once; some hundred bytes of memory go with each of its bytes.
+RUN_BYTES = 1 << 20
 #: Windows sorted at once.
-SORTED = 1 << 20
+SORTED = 1 << 18
 
 PLAIN, SALTED, DECIDED, NAMED = 0, 1, 2, 3
 COVERED, CONTESTED, CONTESTED_HOT = 0, 1, 2
@@ -52,8 +54,8 @@ def pieces(texts: list[bytes], length: int) -> list[tuple[int, int, int]]:
     """(text, first, last byte) of pieces whose windows are all windows of the texts, each once."""
     out = []
     for i, text in enumerate(texts):
-        for at in range(0, max(0, len(text) - length + 1), CHUNK_BYTES):
-            out.append((i, at, min(len(text), at + CHUNK_BYTES + length - 1)))
+        for at in range(0, max(0, len(text) - length + 1), RUN_BYTES):
+            out.append((i, at, min(len(text), at + RUN_BYTES + length - 1)))
     return out
 
 
@@ -63,7 +65,7 @@ def runs(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
     width = length - k + 1
     cut = pieces(texts, length)
     found: list[list[np.ndarray]] = [[np.zeros(0, kind)] for kind in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64)]
-    for begin, end in slices([texts[i][b:e] for i, b, e in cut]):
+    for begin, end in slices([texts[i][b:e] for i, b, e in cut], RUN_BYTES):
         part = cut[begin:end]
         data = b"".join(texts[i][b:e] for i, b, e in part)
         sizes = np.array([e - b for _, b, e in part], np.int64)

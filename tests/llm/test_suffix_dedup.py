@@ -54,7 +54,7 @@ def test_short_pieces_change_nothing(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     expected = [(str(i), *p) for i, p in enumerate(plain(texts, 16))]
     for size in (40, 333):
-        monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", size)
+        monkeypatch.setattr(suffix_dedup, "RUN_BYTES", size)
         assert rows_of(remove_repeats(docs, length=16).collect()) == sorted(expected)
 
 
