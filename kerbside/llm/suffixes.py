@@ -33,6 +33,8 @@ class Hashed:
         self.prefix = np.zeros(len(buffer) + 1, np.uint64)
         letters = (_BYTES if values is None else values)[buffer]
         np.cumsum(letters * self.power[:-1], out=self.prefix[1:])
+        # The eight bytes from each place on, as one number.
+        self.first = np.ndarray(max(0, len(buffer) - 7), ">u8", np.ascontiguousarray(buffer), strides=(1,))
 
     def grams(self, k: int, base: int = BASE) -> np.ndarray:
         """A mixed hash of every substring of k bytes."""
@@ -50,24 +52,28 @@ class Hashed:
 
     def extension(self, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
         """The longest common extension of a and b, at most ``most`` bytes, by binary search."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), most)
-        low[self.same(a, b, most)] = most
-        open_ = np.flatnonzero(low < high)
-        while open_.size:
-            middle = (low[open_] + high[open_] + 1) // 2
-            same = self.same(a[open_], b[open_], middle)
-            low[open_[same]] = middle[same]
-            high[open_[~same]] = middle[~same] - 1
-            open_ = open_[low[open_] < high[open_]]
+        low = np.full(len(a), most)
+        unlike = np.flatnonzero(~self.same(a, b, most))
+        x, y = a[unlike], b[unlike]
+        of_x, of_y, by_x, by_y = self.prefix[x], self.prefix[y], self.power[y], self.power[x]
+        least, high = np.zeros(len(x), np.int64), np.full(len(x), most - 1)
+        for _ in range(most.bit_length()):
+            middle = (least + high + 1) // 2
+            same = (self.prefix[x + middle] - of_x) * by_x == (self.prefix[y + middle] - of_y) * by_y
+            least, high = np.where(same, middle, least), np.where(same, high, middle - 1)
+        low[unlike] = least
         return low
 
     def before(self, a: np.ndarray, b: np.ndarray, size: int, or_same: np.ndarray) -> np.ndarray:
         """Whether window a sorts before window b, or is the same where that counts."""
-        common = self.extension(a, b, size)
         out = or_same.copy()
-        differ = np.flatnonzero(common < size)
-        x, y = a[differ] + common[differ], b[differ] + common[differ]
-        out[differ] = self.buffer[x] < self.buffer[y]
+        rest = np.arange(len(a))
+        if size >= 8:  # most differ in their first bytes
+            x, y = self.first[a].astype(np.uint64), self.first[b].astype(np.uint64)
+            out, rest = np.where(x == y, out, x < y), np.flatnonzero(x == y)
+        common = self.extension(a[rest], b[rest], size)
+        rest, common = rest[common < size], common[common < size]
+        out[rest] = self.buffer[a[rest] + common] < self.buffer[b[rest] + common]
         return out
 
 
