@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-import zlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,10 +25,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def two_columns(table: DataFrame, id_col: str, text_col: str, id_name: str = "doc_id") -> DataFrame:
-    """The id and the text alone, so that other columns cannot clash; a null text is empty."""
+def two_columns(table: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """The id as doc_id and the text, and, if ``carry``, the whole row as ``row``; so other columns cannot clash.
+
+    A null text is empty.
+    """
     text = F.coalesce(table[text_col].cast("string"), F.lit(""))
-    return table.select(table[id_col].alias(id_name), text.alias("text"))
+    whole = [F.struct(*[table[c] for c in table.columns]).alias("row")] if carry else []
+    return table.select(table[id_col].alias("doc_id"), text.alias("text"), *whole)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -44,16 +48,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as Parquet into the folder for checkpoints and read again."""
+    use_checkpoints(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def crc_mod(id_col: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def crc_of(value) -> int:
-    return zlib.crc32(b"" if value is None else str(value).encode())
-
-
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """The texts of a batch as UTF-8 bytes."""
     return [b"" if t is None else t for t in batch.column(name).cast(pa.binary()).to_pylist()]
@@ -71,15 +79,15 @@ def slices(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
-def by_chunk(work: Callable, names: list[str]) -> Callable:
-    """A function for mapInArrow: the id, and what ``work(texts)`` gives as further arrays of a chunk."""
+def by_chunk(work: Callable, names: list[str], carried: tuple[str, ...] = ()) -> Callable:
+    """A function for mapInArrow: the id, what ``work(texts)`` gives as further arrays of a chunk, and carried columns."""
 
     def run(batches):
         for batch in batches:
             texts = text_bytes(batch)
             for begin, end in slices(texts):
-                ids = batch.column(0).slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays([ids, *work(texts[begin:end])], names=["doc_id", *names])
+                same = [batch.column(c).slice(begin, end - begin) for c in ("doc_id", *carried)]
+                yield pa.RecordBatch.from_arrays([same[0], *work(texts[begin:end]), *same[1:]], names=["doc_id", *names, *carried])
 
     return run
 

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kerbside.llm.common import by_chunk, checkpointed, ragged, text_bytes, two_columns
 from kerbside.llm.words import split_words, word_counts
@@ -128,10 +129,15 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
     size: int = WINDOW_WORDS,
+    carry: bool = False,
 ) -> DataFrame:
-    """Per document: its words, those inside an occurrence of a benchmark window, and the items concerned."""
+    """Per document: its words, those inside an occurrence of a benchmark window, and the items concerned.
+
+    With ``carry``, the whole row of the input is in ``row``.
+    """
     spark = docs.sparkSession
-    rows = two_columns(docs, id_col, text_col)
+    rows = two_columns(docs, id_col, text_col, carry)
+    carried = ("row",) if carry else ()
     windows = item_windows(two_columns(benchmark, item_col, item_text_col), size)
     indexed = checkpointed(with_prefix(windows, word_counts(rows)))
     n_blocks = max(1, -(-indexed.count() // BLOCK_ROWS))
@@ -174,8 +180,11 @@ def decontaminate(
             longs = [pa.array(column) for column in (sizes, n_hit.astype(np.int64), n_items)]
             return [*longs, pa.array(digests), pa.array(n_hit > 0), pa.array(lists, pa.list_(pa.string()))]
 
-        yield from by_chunk(work, ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"])(batches)
+        names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"]
+        yield from by_chunk(work, names, carried)(batches)
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    out = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
-    return rows.mapInArrow(run, f"doc_id {kind}, {out}")
+    made = StructType.fromDDL(
+        "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+    )
+    schema = StructType([rows.schema["doc_id"], *made.fields, *[rows.schema[c] for c in carried]])
+    return rows.mapInArrow(run, schema)

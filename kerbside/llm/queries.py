@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from kerbside.llm.bpe import encode_documents
 from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
@@ -18,7 +19,7 @@ from kerbside.llm.suffix_dedup import remove_repeats
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(read_table(spark, sf_dir, "documents"), with_kept=False)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +73,7 @@ QUERIES = {
     "op8_token_packing": op8_token_packing,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: ASCII capitals to small letters only, as the contract has it.

@@ -22,8 +22,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from kerbside.llm.common import checkpointed, by_chunk, two_columns
 from kerbside.llm.components import components, forest
@@ -208,6 +209,13 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, groups: int = GROUPS, h
     return sorted_.mapInArrow(compare, "a long, b long")
 
 
+def _components(prints: DataFrame, max_bits: int, hot: int) -> DataFrame:
+    """(fp, root) of every distinct fingerprint of ``prints``."""
+    distinct = checkpointed(prints.select("fp").distinct())
+    roots = components(links(distinct, max_bits, hot=hot)).withColumnRenamed("node", "fp")
+    return distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -219,13 +227,35 @@ def near_duplicates(
     """(doc_id, fingerprint, component_id) of every row; components of links within ``max_bits`` bits."""
     rows = two_columns(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    prints = checkpointed(
-        rows.mapInArrow(by_chunk(lambda texts: [_signed(fingerprints(texts, shingle))], ["fp"]), f"doc_id {kind}, fp long")
-    )
-    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(distinct.select("fp"), max_bits, hot=hot))
-    labelled = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    first = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    prints = checkpointed(rows.mapInArrow(by_chunk(lambda texts: [_signed(fingerprints(texts, shingle))], ["fp"]), f"doc_id {kind}, fp long"))
+    labelled = _components(prints, max_bits, hot)
+    smallest = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    first = labelled.join(smallest, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
     found = labelled.join(first, "root").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(found, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    hot: int = HOT,
+) -> DataFrame:
+    """The rows of ``docs``, one of each component: that with the smallest id, then the smallest hash of its text.
+
+    A null id comes last; of rows that are equal in id and text, any one stays.
+    """
+    rows = two_columns(docs, id_col, text_col, carry=True).withColumn("th", F.xxhash64("text"))
+    slim = rows.select("doc_id", "text", "th")
+    schema = StructType([rows.schema["doc_id"], StructField("fp", LongType()), rows.schema["th"]])
+    prints = checkpointed(slim.mapInArrow(by_chunk(lambda texts: [_signed(fingerprints(texts, shingle))], ["fp"], ("th",)), schema))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    smallest = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    first = _components(prints, max_bits, hot).join(smallest, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.th").alias("kept_th"))
+    found = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["th"] == kept["kept_th"]))
+    equal = Window.partitionBy("kept_id", "kept_th").orderBy(F.lit(0))
+    return found.withColumn("n", F.row_number().over(equal)).where("n = 1").select("row.*")

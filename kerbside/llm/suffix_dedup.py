@@ -304,16 +304,23 @@ def cut_out(text: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT, carry: bool = False
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    hot: int = HOT,
+    with_kept: bool = True,
+    carry: bool = False,
 ) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes) and, if ``carry``, the whole row as ``row``."""
+    """Per row: doc_id, n_bytes, n_removed, n_spans and kept_sha256.
+
+    ``with_kept`` adds what is left: ``kept``, its bytes, and ``kept_text``, the same without
+    parts of characters. ``carry`` adds the whole row of the input as ``row``.
+    """
     if not 4 <= length <= 4000:
         raise ValueError("length must be from 4 to 4000 bytes")
     spark = docs.sparkSession
-    rows = two_columns(docs, id_col, text_col)
-    if carry:
-        rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
-    rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
+    rows = two_columns(docs, id_col, text_col, carry).withColumn("rid", F.xxhash64("doc_id", "text"))
 
     counts = run_rows(rows, length).groupBy("anchor").agg(F.count("*").alias("n"))
     limit = hot
@@ -368,14 +375,18 @@ def remove_repeats(
                     "n_removed": pa.array([n for _, n, _ in done], pa.int64()),
                     "n_spans": pa.array([n for _, _, n in done], pa.int64()),
                     "kept_sha256": pa.array([hashlib.sha256(kept).hexdigest() for kept, _, _ in done]),
-                    "kept": pa.array([kept for kept, _, _ in done], pa.binary()),
                 }
+                if with_kept:
+                    out["kept"] = pa.array([kept for kept, _, _ in done], pa.binary())
+                    out["kept_text"] = pa.array([kept.decode("utf-8", "ignore") for kept, _, _ in done])
                 if carry:
                     out["row"] = batch.column("row").slice(begin, end - begin)
                 yield _batch(**out)
 
     schema = rows.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    schema = schema.add("kept_sha256", "string").add("kept", "binary")
+    schema = schema.add("kept_sha256", "string")
+    if with_kept:
+        schema = schema.add("kept", "binary").add("kept_text", "string")
     if carry:
         schema = schema.add(rows.schema["row"])
     return rows.join(spans, "rid", "left").select(*rows.columns, "spans").mapInArrow(finish, schema)

@@ -63,6 +63,8 @@ def test_carried_rows_and_kept_bytes(spark):
     found = {r.doc_id: r for r in remove_repeats(docs, length=8, carry=True).collect()}
     assert found[1].kept == b"x" * 8 and found[2].kept == b"y" * 7
     assert found[2].row.kept == "m" and found[1].row.text.endswith("abcdefgh")
+    assert found[1].kept_text == "x" * 8
+    assert "kept" not in remove_repeats(docs, length=8, with_kept=False).columns
 
 
 def test_empty_table_and_long_text(spark):
