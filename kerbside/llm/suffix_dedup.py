@@ -59,8 +59,12 @@ def pieces(texts: list[bytes], length: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def runs(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
-    """The runs of windows of some texts: text, first window, windows less one, anchor's place, hashes."""
+def runs(texts: list[bytes], length: int, wanted=None, digests: bool = True) -> dict[str, np.ndarray]:
+    """The runs of windows of some texts: text, first window, windows less one, anchor's place, hashes.
+
+    ``wanted`` tells from an array of anchors which runs to keep; without ``digests`` the
+    hashes of all their bytes are 0.
+    """
     k = max(1, length // 4)
     width = length - k + 1
     cut = pieces(texts, length)
@@ -84,10 +88,15 @@ def runs(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
         edges = np.flatnonzero(change)
         first, last = edges[:-1], edges[1:] - 1
         first, last = first[inside[first]], last[inside[first]]
+        if wanted is not None:
+            kept = wanted(_long(h[anchor[first]]))
+            first, last = first[kept], last[kept]
         place = anchor[first] - first
         view, digest = memoryview(data), xxhash.xxh3_64_intdigest
         spans = zip(first.tolist(), (last + length).tolist(), place.tolist(), strict=True)
-        whole = np.fromiter((digest(view[b:e], p) for b, e, p in spans), np.uint64, len(first))
+        whole = np.zeros(len(first), np.uint64)
+        if digests:
+            whole = np.fromiter((digest(view[b:e], p) for b, e, p in spans), np.uint64, len(first))
         mine = owner[first]
         text = np.array([i for i, _, _ in part], np.int64)[mine]
         offset = np.array([b for _, b, _ in part], np.int64)[mine] - starts[mine]
@@ -133,35 +142,47 @@ def _groups(batches, key: str = "g"):
         yield rest.combine_chunks().to_batches()[0]
 
 
-def run_rows(rows: DataFrame, length: int, hot=None, listed=None) -> DataFrame:
+def anchors_of(rows: DataFrame, length: int) -> DataFrame:
+    """(anchor, n): how many runs have each anchor."""
+
+    def run(batches):
+        for batch in batches:
+            texts = text_bytes(batch)
+            for begin, end in slices(texts):
+                yield _batch(anchor=_long(runs(texts[begin:end], length, digests=False)["anchor"]))
+
+    return rows.select("text").mapInArrow(run, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
+
+
+def run_rows(rows: DataFrame, length: int, hot, listed=None) -> DataFrame:
     """(anchor, whole, rid, pos, kind, g) of every run of every text; ``g`` deals them out.
 
-    ``hot``: the sorted hot anchors (broadcast); then only the rows of hot anchors are kept if
+    ``hot``: the sorted hot anchors (broadcast); only the rows of hot anchors are kept if
     ``listed`` is None. ``listed``: (whole, anchor, rid, pos) of hot runs, sorted; rid and pos name one of each.
     """
 
+    def is_hot_anchor(anchor):
+        return np.isin(anchor, hot.value)
+
     def run(batches):
         for batch in batches:
             rids, texts = _numpy(batch, "rid"), text_bytes(batch)
             for begin, end in slices(texts):
-                r = runs(texts[begin:end], length)
+                r = runs(texts[begin:end], length, is_hot_anchor if listed is None else None)
                 anchor, whole, rid = _long(r["anchor"]), _long(r["whole"]), rids[begin:end][r["text"]]
                 pos = _pack(r["start"], r["more"], r["place"])
                 kind, g = np.zeros(len(rid), np.int8), anchor.copy()
-                if hot is not None:
-                    is_hot = np.isin(anchor, hot.value)
-                    if listed is None:
-                        anchor, whole, rid, pos, kind, g = (c[is_hot] for c in (anchor, whole, rid, pos, kind, g))
-                    else:
-                        kind[is_hot] = SALTED
-                        g[is_hot] ^= whole[is_hot]
-                        names, name_anchor, name_rid, name_pos = listed.value
-                        if len(names):
-                            known = np.minimum(np.searchsorted(names, whole), len(names) - 1)
-                            decided = is_hot & (names[known] == whole) & (name_anchor[known] == anchor)
-                            named = decided & (name_rid[known] == rid) & (name_pos[known] == pos)
-                            kind[decided], kind[named] = DECIDED, NAMED
-                            g[decided] = rid[decided]
+                if listed is not None:
+                    is_hot = is_hot_anchor(anchor)
+                    kind[is_hot] = SALTED
+                    g[is_hot] ^= whole[is_hot]
+                    names, name_anchor, name_rid, name_pos = listed.value
+                    if len(names):
+                        known = np.minimum(np.searchsorted(names, whole), len(names) - 1)
+                        decided = is_hot & (names[known] == whole) & (name_anchor[known] == anchor)
+                        named = decided & (name_rid[known] == rid) & (name_pos[known] == pos)
+                        kind[decided], kind[named] = DECIDED, NAMED
+                        g[decided] = rid[decided]
                 yield _batch(anchor=anchor, whole=whole, rid=rid, pos=pos, kind=kind, g=g)
 
     return rows.select("rid", "text").mapInArrow(run, "anchor long, whole long, rid long, pos long, kind byte, g long")
@@ -322,7 +343,7 @@ def remove_repeats(
     spark = docs.sparkSession
     rows = two_columns(docs, id_col, text_col, carry).withColumn("rid", F.xxhash64("doc_id", "text"))
 
-    counts = run_rows(rows, length).groupBy("anchor").agg(F.count("*").alias("n"))
+    counts = anchors_of(rows, length)
     limit = hot
     while True:
         full = counts.where(F.col("n") > limit)
