@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import location_axis
-from kerbside.functions.skew import LARGEST_KEYS
+from kerbside.functions.columns import EXACT_TYPE, LATITUDE, LONGITUDE, check_bad, coordinate, is_bad, location_axis
 from kerbside.operators.trips import of_system
 from kerbside.period import ReportPeriod
 
@@ -23,69 +22,45 @@ def waypoints(
     period: ReportPeriod,
     system_id: str | None = None,
     bucket_ms: int = QUARTER_HOUR_MS,
-    coordinate_type: str = "decimal(7,5)",
-    most_listed: int = LARGEST_KEYS,
+    bad_coordinates: str = "fail",
 ) -> DataFrame:
     """``trip_id, lat, lon, time``: location points sent during valid trips begun in the period.
 
-    A point on the border of two trips belongs to both. Matching is by device and time
-    bucket, so a busy device spreads over many tasks and a point is compared only with
-    trips of its device near its time; AQE splits a bucket that is still too large. A trip
-    is listed under the few buckets it spans at the level that suits its length. Points
-    are listed at the lowest level, and at those of longer trips of their own device. The
-    list of devices with longer trips is broadcast if it has at most ``most_listed`` rows;
-    otherwise all points are listed at every level that occurs.
+    A point on the border of two trips belongs to both. Trips are first reduced to one row
+    per device: its first start, last end and the levels its trips' lengths call for.
+    Points meet that row before their JSON is read, so devices without trips cost neither
+    parsing nor the second exchange, and a trip that was never closed widens only its own
+    device. Points then match by device and time bucket, so a busy device spreads over
+    many tasks; a trip is listed under the few buckets it spans at its level, and a point
+    once at each level of its device. AQE splits what is still too large.
+
+    Impossible coordinates fail the query, or with ``bad_coordinates="null"`` become NULL;
+    :func:`location_overflows` counts them.
     """
+    check_bad(bad_coordinates)
     widths = F.array(*[F.lit(bucket_ms * LEVEL_FACTOR**level).cast("long") for level in range(LEVELS)])
-    trips = (
-        of_system(spans, system_id)
-        .where(
-            (F.col("is_valid_rental") == 1)
-            & (F.col("started_at_ms") >= period.start_ms)
-            & (F.col("started_at_ms") < period.end_ms)
-            & (F.col("ended_at_ms") >= F.col("started_at_ms"))
-        )
-        .select(
-            F.col("rental_id").alias("trip_id"),
-            "identifier",
-            "started_at_ms",
-            "ended_at_ms",
-            _level(bucket_ms).alias("level"),
-        )
-    )
+    trips = _begun(spans, period, system_id).withColumn("level", _level(bucket_ms))
     covers = trips.withColumn("width", F.element_at(widths, F.col("level") + 1)).select(
-        "trip_id",
+        F.col("rental_id").alias("trip_id"),
         "identifier",
         "started_at_ms",
         "ended_at_ms",
         "level",
         F.explode(F.sequence(F.expr("started_at_ms div width"), F.expr("ended_at_ms div width"))).alias("bucket"),
     )
-    longer = trips.where(F.col("level") > 0)
-    by_device = longer.groupBy("identifier").agg(F.collect_set("level").alias("levels"))
-    few = by_device.agg(F.count(F.lit(1)) <= most_listed).scalar()
-    # Either the whole list or nothing, so the broadcast is bounded.
-    listed = by_device.where(few).select(F.col("identifier").alias("deviceid"), "levels")
-    unlisted = F.when(few, F.array().cast("array<int>")).otherwise(longer.agg(F.collect_set("level")).scalar())
-    # No point before the period or after the last trip's end can match: both limits
-    # reach the telemetry scan, the second one once the trips have been read.
-    last_end = trips.agg(F.max("ended_at_ms")).scalar()
     points = (
-        telemetry.where(
-            (F.col("msgcode") == "location")
-            & (F.col("ts_ms") >= period.start_ms)
-            & (F.col("ts_ms") <= last_end)
-        )
-        .join(F.broadcast(listed), "deviceid", "left")
-        # Parsed before the join, so that two numbers are shuffled and not the JSON text.
+        _during(telemetry, trips, period)
         .select(
             "deviceid",
             "ts_ms",
-            location_axis(F.col("fields"), 1, coordinate_type).alias("lat"),
-            location_axis(F.col("fields"), 0, coordinate_type).alias("lon"),
-            F.concat(F.array(F.lit(0)), F.coalesce("levels", unlisted)).alias("levels"),
+            *[
+                coordinate(
+                    location_axis(F.col("fields"), axis), limit, bad_coordinates, location_axis(F.col("fields"), axis, EXACT_TYPE)
+                ).alias(name)
+                for name, axis, limit in (("lat", 1, LATITUDE), ("lon", 0, LONGITUDE))
+            ],
+            F.explode("levels").alias("level"),
         )
-        .select("deviceid", "ts_ms", "lat", "lon", F.explode("levels").alias("level"))
         .withColumn("width", F.element_at(widths, F.col("level") + 1))
         .withColumn("bucket", F.expr("ts_ms div width"))
         .drop("width")
@@ -105,6 +80,40 @@ def waypoints(
     )
 
 
+def location_overflows(
+    spans: DataFrame, telemetry: DataFrame, period: ReportPeriod, system_id: str | None = None
+) -> DataFrame:
+    """One row: impossible coordinates among the points of devices with trips, between their first and last."""
+    trips = _begun(spans, period, system_id).withColumn("level", F.lit(0))
+    fields = F.col("fields")
+    return _during(telemetry, trips, period).agg(
+        F.count_if(is_bad(location_axis(fields, 1), LATITUDE)).alias("lat"),
+        F.count_if(is_bad(location_axis(fields, 0), LONGITUDE)).alias("lon"),
+    )
+
+
+def _begun(spans: DataFrame, period: ReportPeriod, system_id: str | None) -> DataFrame:
+    """Valid trips that began in the period."""
+    return of_system(spans, system_id).where(
+        (F.col("is_valid_rental") == 1)
+        & (F.col("started_at_ms") >= period.start_ms)
+        & (F.col("started_at_ms") < period.end_ms)
+        & (F.col("ended_at_ms") >= F.col("started_at_ms"))
+    )
+
+
+def _during(telemetry: DataFrame, trips: DataFrame, period: ReportPeriod) -> DataFrame:
+    """Location points between the first start and the last end of their device's trips, with its ``levels``."""
+    devices = trips.groupBy(F.col("identifier").alias("deviceid")).agg(
+        F.min("started_at_ms").alias("first_ms"),
+        F.max("ended_at_ms").alias("last_ms"),
+        F.collect_set("level").alias("levels"),
+    )
+    # The lower bound reaches the scan; each device's own limits follow in the join.
+    located = telemetry.where((F.col("msgcode") == "location") & (F.col("ts_ms") >= period.start_ms))
+    return located.join(devices, "deviceid").where(F.col("ts_ms").between(F.col("first_ms"), F.col("last_ms")))
+
+
 def _level(bucket_ms: int) -> Column:
     """The lowest level at which the trip spans at most LEVEL_FACTOR + 1 buckets."""
     level = None

@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import METERS_PER_MILE, coordinate, miles, moment_like
-from kerbside.functions.medians import split_median
-from kerbside.functions.skew import SPLIT_ROWS, large_keys
+from kerbside.functions.columns import LATITUDE, LONGITUDE, METERS_PER_MILE, coordinate, is_bad, miles, moment_like
 from kerbside.period import ReportPeriod
 
 # Fixed values.
 UNCHARGED_STATES = ("canceled", "refunded")
 SHORTEST_TRIP_SECONDS = 120
 
+# Cells of length per factor of e, over about a meter.
+CELLS = 256
+
+# Exported name: source column and the largest degrees there are.
+COORDINATES = {
+    "start_lat": ("start_point_lat", LATITUDE),
+    "start_lon": ("start_point_lon", LONGITUDE),
+    "end_lat": ("end_point_lat", LATITUDE),
+    "end_lon": ("end_point_lon", LONGITUDE),
+}
+
 
 def of_system(df: DataFrame, system_id: str | None) -> DataFrame:
     """Rows of one city; ``None`` keeps every city."""
@@ -48,67 +57,72 @@ def trip_stats(
     keys: list[str],
     meters_per_mile: float = METERS_PER_MILE,
     median_meters_per_mile: float | None = None,
-    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Count, mean, exact median and sample deviation of trip length in miles per ``keys``.
 
     ``length_count`` counts the trips that have a length. A NULL key forms a group, but
-    its median is NULL. Ordinary keys take one exchange: their lengths are sorted, which
-    spills where it must, and the middle ones picked. Keys with more than ``split_rows``
-    trips would keep one task busy that way; :func:`split_median` ranks theirs in parts.
+    its median is NULL.
+
+    Trips are combined per key and length before they are exchanged. Lengths fall into
+    cells that grow with them, so a key of any size spreads over tasks. Counts, means and
+    squared differences of the cells merge into those of the key; the cells also tell
+    which one or two hold the middle ranks, and only those are ranked.
     """
     median_meters_per_mile = median_meters_per_mile or meters_per_mile
-    # Meters are exchanged and turned into miles afterwards: one number per trip, not two.
-    measured = valid.select(*keys, "id", F.col("distance_in_meters").alias("meters"))
-    large = large_keys(measured.where(F.col("meters").isNotNull()), keys, split_rows)
-    medians = split_median(
-        measured.select(*keys, miles(F.col("meters"), median_meters_per_mile).alias("length")),
-        keys,
-        "length",
-        large,
-        "median_trip_length",
-    )
     k = ", ".join(f"`{key}`" for key in keys)
-    present = " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
-    moments = f"""count(id) AS num_trips, count(meters) AS length_count,
-                  avg(meters / {meters_per_mile}D) AS mean_trip_length,
-                  stddev_samp(meters / {meters_per_mile}D) AS std_trip_length"""
+    present = " AND ".join(f"moments.`{key}` IS NOT NULL" for key in keys)
+    # Null-safe, as a filter for present keys in one branch would part its scan from the others'.
+    same = lambda left, right, names: " AND ".join(f"{left}.`{name}` <=> {right}.`{name}`" for name in names)
     return valid.sparkSession.sql(
         f"""
-        WITH ranked AS (
-          SELECT /*+ BROADCAST(large) */ *,
-                 row_number() OVER (PARTITION BY {k} ORDER BY meters NULLS LAST) AS rank
-          FROM {{measured}} LEFT ANTI JOIN {{large}} AS large USING ({k})
-          WHERE {present}
+        WITH lengths AS (
+          -- asinh never decreases, in floating point either.
+          SELECT {k}, cast(floor(asinh(meters) * {CELLS}) AS long) AS cell, meters,
+                 count(id) AS trips, count(meters) AS n
+          FROM {{measured}} GROUP BY {k}, cell, meters
+        ),
+        cells AS (
+          -- Differences from the cell's own border keep the squares exact.
+          SELECT {k}, cell, sum(trips) AS trips, sum(n) AS n, sinh(cell / {CELLS}D) AS border,
+                 sum(n * (meters - sinh(cell / {CELLS}D))) / sum(nullif(n, 0)) AS beyond,
+                 sum(n * pow(meters - sinh(cell / {CELLS}D), 2)) AS squares
+          FROM lengths GROUP BY {k}, cell
         ),
         placed AS (
-          SELECT *, count(meters) OVER (PARTITION BY {k}) AS of FROM ranked
+          SELECT *, sum(n) OVER (PARTITION BY {k}) AS all_n,
+                 sum(n * (border + beyond)) OVER (PARTITION BY {k}) / sum(nullif(n, 0)) OVER (PARTITION BY {k}) AS mean,
+                 sum(n) OVER (PARTITION BY {k} ORDER BY cell NULLS LAST) - n AS before
+          FROM cells
         ),
-        -- The middle row of an odd number, both middle rows of an even one.
-        ordinary AS (
-          SELECT {k}, {moments},
-                 avg(meters / {median_meters_per_mile}D)
-                   FILTER (WHERE rank * 2L BETWEEN of AND of + 2) AS median_trip_length
+        moments AS (
+          SELECT {k}, sum(trips) AS num_trips, max(all_n) AS length_count, max(mean) / {meters_per_mile}D AS mean_trip_length,
+                 CASE WHEN max(all_n) > 1 THEN
+                   sqrt(greatest(0D, sum(squares - n * pow(beyond, 2) + n * pow(border + beyond - mean, 2))) / (max(all_n) - 1))
+                   / {meters_per_mile}D END AS std_trip_length
           FROM placed GROUP BY {k}
         ),
-        split AS (
-          SELECT /*+ BROADCAST(large) */ {k}, {moments}
-          FROM {{measured}} LEFT SEMI JOIN {{large}} AS large USING ({k})
-          GROUP BY {k}
+        middle AS (
+          SELECT {k}, cell, before, (all_n - 1) div 2 AS lower_rank, all_n div 2 AS upper_rank
+          FROM placed WHERE n > 0 AND trips >= 0 AND before <= all_n div 2 AND before + n > (all_n - 1) div 2
         ),
-        unknown AS (
-          SELECT {k}, {moments} FROM {{measured}} WHERE NOT ({present}) GROUP BY {k}
+        ranked AS (
+          SELECT {", ".join(f"lengths.`{key}`" for key in keys)}, meters, lower_rank, upper_rank,
+                 before + sum(n) OVER (PARTITION BY {", ".join(f"lengths.`{key}`" for key in keys)}, lengths.cell
+                                       ORDER BY meters) AS through
+          FROM lengths JOIN middle ON {same("lengths", "middle", [*keys, "cell"])}
+          WHERE n > 0 AND trips >= 0
+        ),
+        medians AS (
+          SELECT {k}, (min(meters) FILTER (WHERE through > lower_rank) / {median_meters_per_mile}D
+                       + min(meters) FILTER (WHERE through > upper_rank) / {median_meters_per_mile}D) / 2
+                      AS median_trip_length
+          FROM ranked GROUP BY {k}
         )
-        SELECT {k}, num_trips, length_count, mean_trip_length, median_trip_length, std_trip_length FROM ordinary
-        UNION ALL
-        SELECT {k}, num_trips, length_count, mean_trip_length, median_trip_length, std_trip_length
-        FROM split LEFT JOIN {{medians}} USING ({k})
-        UNION ALL
-        SELECT {k}, num_trips, length_count, mean_trip_length, NULL, std_trip_length FROM unknown
+        SELECT {", ".join(f"moments.`{key}`" for key in keys)}, num_trips, length_count, mean_trip_length,
+               CASE WHEN {present} THEN median_trip_length END AS median_trip_length, std_trip_length
+        FROM moments LEFT JOIN medians ON {same("moments", "medians", keys)}
         """,
-        measured=measured,
-        large=large,
-        medians=medians,
+        measured=valid.select(*keys, "id", F.col("distance_in_meters").alias("meters")),
     )
 
 
@@ -123,34 +137,33 @@ def trip_export(
     vehicles: DataFrame,
     period: ReportPeriod,
     system_id: str | None = None,
-    coordinate_type: str = "decimal(7,5)",
+    bad_coordinates: str = "fail",
 ) -> DataFrame:
     """Valid trips that started in the period, row by row, with rounded coordinates.
 
-    Trips of unknown vehicles are left out. No join hint: Spark broadcasts the vehicles
-    while they are small and otherwise shuffles, splitting skewed partitions.
+    Trips of unknown vehicles are left out. Impossible coordinates fail the query, or with
+    ``bad_coordinates="null"`` become NULL; :func:`coordinate_overflows` counts them. No
+    join hint: Spark broadcasts the vehicles while they are small and otherwise shuffles,
+    splitting skewed partitions.
     """
     started = in_period(valid_trips(trips, system_id), "system_started_at", period)
     identities = vehicles.select(F.col("id").alias("vehicle_id"), "chassis_number")
     return started.join(identities, "vehicle_id").select(
         F.col("id").alias("trip_id"),
         F.col("chassis_number").alias("vehicle_id"),
-        coordinate(F.col("start_point_lat"), coordinate_type).alias("start_lat"),
-        coordinate(F.col("start_point_lon"), coordinate_type).alias("start_lon"),
-        coordinate(F.col("end_point_lat"), coordinate_type).alias("end_lat"),
-        coordinate(F.col("end_point_lon"), coordinate_type).alias("end_lon"),
+        *[
+            coordinate(F.col(source), limit, bad_coordinates).alias(name)
+            for name, (source, limit) in COORDINATES.items()
+        ],
         F.col("system_started_at").cast("timestamp").alias("start_time"),
         F.col("system_ended_at").cast("timestamp").alias("end_time"),
         miles(F.col("distance_in_meters")).alias("trip_length"),
     )
 
 
-def coordinate_overflows(trips: DataFrame, coordinate_type: str = "decimal(7,5)") -> DataFrame:
-    """One row: how many coordinates of each column do not fit and would be exported as NULL."""
-    columns = ["start_point_lat", "start_point_lon", "end_point_lat", "end_point_lon"]
-    return trips.agg(
-        *[
-            F.count_if(F.col(name).isNotNull() & coordinate(F.col(name), coordinate_type).isNull()).alias(name)
-            for name in columns
-        ]
+def coordinate_overflows(trips: DataFrame, period: ReportPeriod, system_id: str | None = None) -> DataFrame:
+    """One row: how many impossible coordinates of each column the export would hold."""
+    started = in_period(valid_trips(trips, system_id), "system_started_at", period)
+    return started.agg(
+        *[F.count_if(is_bad(F.col(source), limit)).alias(name) for name, (source, limit) in COORDINATES.items()]
     )

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from kerbside.functions.columns import check_bad
 from kerbside.operators import states
 from kerbside.operators.areas import service_area
-from kerbside.operators.telemetry import waypoints
-from kerbside.operators.trips import trip_export
+from kerbside.operators.telemetry import location_overflows, waypoints
+from kerbside.operators.trips import coordinate_overflows, trip_export
 from kerbside.period import ReportPeriod
 from kerbside.plans import reports
 from kerbside.schemas import INPUTS
@@ -31,8 +32,14 @@ def write_monthly_reports(
     system_id: str,
     path: str,
     semantics: str = "reference",
+    bad_coordinates: str = "fail",
 ) -> dict[str, str]:
-    """Write the reports below ``path`` and return where each one is."""
+    """Write the reports below ``path`` and return where each one is.
+
+    Impossible coordinates stop the job. With ``bad_coordinates="null"`` they are written as
+    empty fields, and one more file, ``bad_coordinates``, counts them.
+    """
+    check_bad(bad_coordinates)
     configure(spark)
     changes = states.state_changes(
         tables["transitions"], tables["systems"], tables["vehicles"], period, semantics
@@ -45,13 +52,15 @@ def write_monthly_reports(
     vehicles = reports.vehicle_report(
         tables["trips"], tables["transitions"], tables["vehicles"], blocked, period, system_id, semantics
     )
-    exported = trip_export(tables["trips"], tables["vehicles"], period, system_id)
-    points = waypoints(tables["rental_spans"], tables["telemetry"], period, system_id)
+    exported = trip_export(tables["trips"], tables["vehicles"], period, system_id, bad_coordinates)
+    points = waypoints(
+        tables["rental_spans"], tables["telemetry"], period, system_id, bad_coordinates=bad_coordinates
+    )
     summary = reports.monthly_summary(
         tables["trips"], blocked, tables["constants"], period, system_id, semantics
     )
     try:
-        return {
+        written = {
             "users": write_csv_report(users, path, period, "users"),
             "vehicles": write_csv_report(reports.vehicle_rows(vehicles), path, period, "vehicles"),
             "trips": write_csv_report(exported, path, period, "trips"),
@@ -62,5 +71,14 @@ def write_monthly_reports(
                 reports.incident_template(spark), path, period, "safety", single_file=True, index=True
             ),
         }
+        if bad_coordinates == "null":
+            located = location_overflows(tables["rental_spans"], tables["telemetry"], period, system_id)
+            counts = coordinate_overflows(tables["trips"], period, system_id).select(
+                "*",
+                located.select("lat").scalar().alias("waypoint_lat"),
+                located.select("lon").scalar().alias("waypoint_lon"),
+            )
+            written["bad_coordinates"] = write_csv_report(counts, path, period, "bad_coordinates", single_file=True)
+        return written
     finally:
         blocked.unpersist()

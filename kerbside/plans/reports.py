@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import METERS_PER_MILE, VEHICLE_METERS_PER_MILE
-from kerbside.functions.skew import SPLIT_ROWS
 from kerbside.operators import states
 from kerbside.operators.trips import in_period, of_system, total_trips, trip_stats, valid_trips
 from kerbside.period import CORRECTED, ReportPeriod, check_semantics
@@ -31,15 +30,10 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def user_trip_report(
-    trips: DataFrame,
-    period: ReportPeriod,
-    system_id: str | None = None,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
+def user_trip_report(trips: DataFrame, period: ReportPeriod, system_id: str | None = None) -> DataFrame:
     """Trip count and length statistics per user."""
     valid = in_period(valid_trips(trips, system_id), "system_date", period)
-    return trip_stats(valid, ["user_id"], split_rows=split_rows).select(*USER_COLUMNS)
+    return trip_stats(valid, ["user_id"]).select(*USER_COLUMNS)
 
 
 def vehicle_service(
@@ -67,7 +61,6 @@ def vehicle_report(
     period: ReportPeriod,
     system_id: str | None = None,
     semantics: str = "reference",
-    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Trip statistics, days in service and maintenance per vehicle.
 
@@ -87,7 +80,6 @@ def vehicle_report(
         ["vehicle_id"],
         meters_per_mile=METERS_PER_MILE if corrected else VEHICLE_METERS_PER_MILE,
         median_meters_per_mile=METERS_PER_MILE,
-        split_rows=split_rows,
     )
     service = vehicle_service(transitions, period, system_id, semantics)
     # A vehicle id listed more than once multiplies its trips again, per plate and chassis.

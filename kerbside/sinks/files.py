@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from kerbside.operators.areas import feature_collections
+from kerbside.operators.areas import feature_collection
 from kerbside.period import ReportPeriod
 
 # Whole seconds as 2020-09-01 12:00:00+00:00; six more digits where there is a fraction.
@@ -38,16 +38,27 @@ def write_csv_report(
         rows = rows.select(F.lit(None).cast("string").alias(""), "*")
     if single_file:
         rows = rows.coalesce(1)
-    # Empty names and texts are written as nothing, not as a pair of quotes.
-    options = {"header": True, "encoding": "UTF-8", "emptyValue": ""}
+    options = {
+        "header": True,
+        "encoding": "UTF-8",
+        # Empty names and texts are written as nothing, not as a pair of quotes.
+        "emptyValue": "",
+        # Text is written as it is: blanks stay, quotes are doubled.
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     rows.write.mode("overwrite").options(**options).csv(target)
     return target
 
 
 def write_feature_collection(features: DataFrame, path: str, period: ReportPeriod, name: str = "service_area.geojson") -> str:
-    """Write one FeatureCollection per city, one line each; for one city the file is GeoJSON."""
+    """Write one FeatureCollection of all cities given, which is empty if there are none.
+
+    One row, as a geofence is a city's master data and not its activity.
+    """
     target = report_path(path, period, name)
-    feature_collections(features).select("value").write.mode("overwrite").text(target)
+    feature_collection(features).write.mode("overwrite").text(target)
     return target
 
 

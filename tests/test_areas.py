@@ -3,26 +3,64 @@ import json
 import pytest
 from frames import systems
 
-from kerbside.operators.areas import feature_collections, service_area
+from kerbside.operators.areas import feature_collection, service_area
 
 POLYGON = {"type": "Polygon", "coordinates": [[[-77.25, 38.8], [-77, 39], [-76.5, 38.8], [-77.25, 38.8]]]}
 PARTS = {"type": "MultiPolygon", "coordinates": [POLYGON["coordinates"], [[[1, 2], [2, 3], [3, 2], [1, 2]]]]}
 
 
 def test_one_feature_per_city_with_its_text_as_property(spark):
-    texts = {"a": json.dumps(POLYGON), "b": json.dumps(PARTS)}
+    texts = {"b": json.dumps(PARTS), "a": json.dumps(POLYGON)}
     df = systems(spark, *[dict(id=name, geofence_geojson=text) for name, text in texts.items()])
-    found = {r.system_id: json.loads(r.value) for r in feature_collections(service_area(df)).collect()}
-    assert found.keys() == texts.keys()
-    for name, geometry in (("a", POLYGON), ("b", PARTS)):
-        assert found[name] == {
-            "type": "FeatureCollection",
-            "features": [{"type": "Feature", "properties": {"geofence_geojson": texts[name]}, "geometry": geometry}],
-        }
+    feature = lambda name, geometry: {
+        "type": "Feature", "properties": {"geofence_geojson": texts[name]}, "geometry": geometry
+    }
+    expected = {"a": [feature("a", POLYGON)], "b": [feature("b", PARTS)], "nowhere": []}
+    for city, features in [*expected.items(), (None, expected["a"] + expected["b"])]:
+        (row,) = feature_collection(service_area(df, city)).collect()
+        assert json.loads(row.value) == {"type": "FeatureCollection", "features": features}
     assert [r.system_id for r in service_area(df, "b").select("system_id").collect()] == ["b"]
 
 
-@pytest.mark.parametrize("text", ["{", '{"type":"Circle"}', '{"coordinates":[]}', "[1,2]"])
+RING = [[0, 0], [0, 1], [1, 1], [0, 0]]
+
+
+@pytest.mark.parametrize(
+    "geometry",
+    [
+        {"type": "Point", "coordinates": [1, 2.5, 3]},
+        {"type": "MultiPoint", "coordinates": [[1, 2], [3, 4]]},
+        {"type": "LineString", "coordinates": [[1, 2], [3, 4]]},
+        {"type": "MultiLineString", "coordinates": [[[1, 2], [3, 4]], [[5, 6], [7, 8]]]},
+        {"type": "Polygon", "coordinates": [RING, RING]},
+        {"type": "Polygon", "coordinates": []},
+        {"type": "MultiPolygon", "coordinates": [[RING], [RING, RING]]},
+        {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}]},
+    ],
+)
+def test_geometries(spark, geometry):
+    df = service_area(systems(spark, dict(geofence_geojson=json.dumps(geometry))))
+    assert json.loads(df.selectExpr("to_json(geometry)").first()[0]) == geometry
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "{",
+        '{"type":"Circle"}',
+        '{"coordinates":[]}',
+        "[1,2]",
+        '{"type":"Polygon"}',
+        '{"type":"Polygon","coordinates":[[[0,0],[0,1],[1,1]]]}',
+        '{"type":"Polygon","coordinates":[[[0,0],[0,1],[1,1],[2,2]]]}',
+        '{"type":"Polygon","coordinates":[[0,0],[0,1],[1,1],[0,0]]}',
+        '{"type":"LineString","coordinates":[[0,0]]}',
+        '{"type":"Point","coordinates":[1]}',
+        '{"type":"Point","coordinates":["x",2]}',
+        '{"type":"Point","coordinates":[null,2]}',
+        '{"type":"GeometryCollection"}',
+    ],
+)
 def test_text_that_is_no_geometry_fails(spark, text):
     with pytest.raises(Exception, match="MALFORMED_RECORD|not a GeoJSON geometry"):
         service_area(systems(spark, dict(geofence_geojson=text))).selectExpr("to_json(geometry)").collect()

@@ -32,6 +32,16 @@ def test_csv_has_header_empty_nulls_and_iso_times(spark, tmp_path):
     ]
 
 
+def test_text_comes_back_as_it_was(spark, tmp_path):
+    texts = [" a ", 'x"y,z', '"', "a,b", "line\nbreak", "\\", '\\"', "tab\t", "'", "", None, "é"]
+    df = spark.createDataFrame([(i, t, "end") for i, t in enumerate(texts)], "id int, plate string, last string")
+    path = write_csv_report(df, str(tmp_path), SEPTEMBER, "vehicles", single_file=True)
+    (part,) = Path(path).glob("part-*")
+    with open(part, encoding="utf-8", newline="") as file:
+        rows = list(csv.reader(file))
+    assert rows == [["id", "plate", "last"], *[[str(i), t or "", "end"] for i, t in enumerate(texts)]]
+
+
 def test_large_reports_stay_in_parts(spark, tmp_path):
     path = write_csv_report(spark.range(100).repartition(4), str(tmp_path), SEPTEMBER, "trips")
     assert len(list(Path(path).glob("part-*"))) == 4
@@ -54,6 +64,11 @@ def test_feature_collection_file(spark, tmp_path):
     df = systems(spark, dict(geofence_geojson=json.dumps(POLYGON)))
     path = write_feature_collection(service_area(df, "city"), str(tmp_path), SEPTEMBER)
     assert json.loads("\n".join(lines(path)))["features"][0]["geometry"] == POLYGON
+    path = write_feature_collection(service_area(df, "nowhere"), str(tmp_path), SEPTEMBER)
+    assert json.loads("\n".join(lines(path))) == {"type": "FeatureCollection", "features": []}
+    two = systems(spark, *[dict(id=name, geofence_geojson=json.dumps(POLYGON)) for name in "ab"])
+    path = write_feature_collection(service_area(two), str(tmp_path), SEPTEMBER)
+    assert len(json.loads("\n".join(lines(path)))["features"]) == 2
 
 
 @pytest.fixture()
@@ -112,6 +127,36 @@ def test_all_seven_reports(spark, stored, tmp_path):
     assert not spark.catalog.listTables()
 
 
+def test_coordinates_beyond_a_hundred_degrees_and_impossible_ones(spark, stored, tmp_path):
+    tables = load_inputs(spark, {"*": stored})
+    start = SEPTEMBER.start_ms + 3_600_000
+    far = {
+        "trips": trips(spark, dict(start_point_lon=-122.4, end_point_lon=179.999999)),
+        "telemetry": telemetry(spark, dict(ts_ms=start, fields='{"location":[-122.41,37.7]}')),
+    }
+    read = lambda path: [row for part in sorted(Path(path).glob("part-*")) for row in csv.DictReader(part.open())]
+    paths = write_monthly_reports(spark, tables | far, SEPTEMBER, "city", str(tmp_path / "far"))
+    assert [(r["start_lon"], r["end_lon"]) for r in read(paths["trips"])] == [("-122.40000", "180.00000")]
+    assert [(r["lat"], r["lon"]) for r in read(paths["waypoints"])] == [("37.70000", "-122.41000")]
+    assert "bad_coordinates" not in paths
+
+    bad = {
+        "trips": trips(spark, dict(start_point_lat=-90.1, end_point_lon=float("nan"))),
+        "telemetry": telemetry(spark, dict(ts_ms=start, fields='{"location":[1e30,37.7]}')),
+    }
+    for part in bad:
+        with pytest.raises(Exception, match="degrees beyond"):
+            write_monthly_reports(spark, tables | {part: bad[part]}, SEPTEMBER, "city", str(tmp_path / "bad"))
+    paths = write_monthly_reports(
+        spark, tables | bad, SEPTEMBER, "city", str(tmp_path / "null"), bad_coordinates="null"
+    )
+    assert [(r["start_lat"], r["end_lon"]) for r in read(paths["trips"])] == [("", "")]
+    assert [(r["lat"], r["lon"]) for r in read(paths["waypoints"])] == [("37.70000", "")]
+    assert read(paths["bad_coordinates"]) == [
+        {"start_lat": "1", "start_lon": "0", "end_lat": "0", "end_lon": "1", "waypoint_lat": "0", "waypoint_lon": "1"}
+    ]
+
+
 def test_tables_are_checked_on_load(spark, stored, tmp_path):
     assert load_table(spark, "trips", stored).schema.fieldNames() == schemas.TRIPS.fieldNames()
     bad = str(tmp_path / "bad")

@@ -1,22 +1,33 @@
+"""Exact medians, means and deviations of groups of every shape."""
+
 import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
-from kerbside.functions.medians import split_median
-from kerbside.functions.skew import LARGEST_KEYS, large_keys
+from kerbside.operators.trips import trip_stats
+
+
+def _stats(spark, rows):
+    frame = spark.createDataFrame(rows, "key string, id long, distance_in_meters double")
+    return {r.key: r for r in trip_stats(frame, ["key"], meters_per_mile=1.0).collect()}
 
 
 def _check(spark, groups):
-    rows = [(key, value) for key, values in groups.items() for value in values]
+    rows = [(key, 1, value) for key, values in groups.items() for value in values]
     random.Random(1).shuffle(rows)
-    df = spark.createDataFrame(rows, "key string, value double")
-    large = large_keys(df, ["key"], split_rows=0)
-    found = {r.key: r["median"] for r in split_median(df, ["key"], "value", large).collect()}
+    found = _stats(spark, rows)
     assert found.keys() == groups.keys()
     for key, values in groups.items():
-        assert found[key] == pytest.approx(statistics.median(values), rel=1e-12), key
+        row = found[key]
+        assert (row.num_trips, row.length_count) == (len(values), len(values))
+        assert row.median_trip_length == pytest.approx(statistics.median(values), rel=1e-12), key
+        assert row.mean_trip_length == pytest.approx(statistics.fmean(values), rel=1e-12), key
+        if len(values) == 1:
+            assert row.std_trip_length is None
+        elif 1e-100 < max(map(abs, values)) < 1e100 or max(values) == 0:  # whose square a double holds
+            spread = statistics.stdev(values)
+            assert row.std_trip_length == pytest.approx(spread, rel=1e-9, abs=1e-9 * max(map(abs, values))), key
 
 
 def test_shapes_of_data(spark):
@@ -50,19 +61,18 @@ def test_random_groups(spark, seed):
     _check(spark, groups)
 
 
-def test_absent_values_are_ignored(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("a", None)], "key string, value double")
-    large = large_keys(df.where(F.col("value").isNotNull()), ["key"], split_rows=0)
-    assert [tuple(r) for r in split_median(df, ["key"], "value", large).collect()] == [("a", 2.0)]
+def test_absent_lengths_are_not_counted(spark):
+    found = _stats(spark, [("a", 1, 1.0), ("a", 1, None), ("a", None, 3.0), ("b", 1, None), (None, 1, 2.0), (None, 1, 4.0)])
+    shown = {k: (r.num_trips, r.length_count, r.mean_trip_length, r.median_trip_length) for k, r in found.items()}
+    assert shown == {"a": (2, 2, 2.0, 2.0), "b": (1, 0, None, None), None: (2, 2, 3.0, None)}
 
 
-def test_large_keys_leaves_out_small_and_null_keys(spark):
-    df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 50, "key string")
-    assert [tuple(r) for r in large_keys(df, ["key"], 2).collect()] == [("a", 5)]
-    assert large_keys(df, ["key"], 5).collect() == []
+def test_zero_and_negative_lengths(spark):
+    _check(spark, {"mixed": [-5.0, -1e-9, 0.0, 0.0, 1e-9, 7.0], "below": [-3.0, -2.0], "zero": [0.0] * 4})
 
 
-def test_number_of_large_keys_is_bounded_by_their_share(spark):
-    # Every key has the same share, one in more than LARGEST_KEYS, so none is large.
-    df = spark.range(3 * (LARGEST_KEYS + 1)).select((F.col("id") % (LARGEST_KEYS + 1)).alias("key"))
-    assert large_keys(df, ["key"], split_rows=0).limit(1).collect() == []
+def test_a_third_of_all_trips_has_one_key(spark):
+    rng = random.Random(5)
+    groups = {"hot": [rng.lognormvariate(7, 1) for _ in range(4000)], "same": [1609.34] * 4000}
+    groups |= {f"g{i}": [rng.lognormvariate(7, 1) for _ in range(10)] for i in range(400)}
+    _check(spark, groups)

@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+from collections import Counter
 
 import pytest
 from frames import SEPTEMBER, spans, systems, telemetry, transitions, trips, vehicles
@@ -74,20 +75,40 @@ def test_telemetry_scan_is_limited_in_time(stored):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_ordinary_users_take_one_exchange_of_trips(stored):
-    """The exchange of trips by user serves ranking, counting and the statistics."""
-    text = plan(user_trip_report(stored["trips"], SEPTEMBER, "city"))
-    assert "percentile" not in text
-    first_branch = text.split("\n\n\n")[0].split("Subqueries")[0]
-    assert "Window" in first_branch
+def reads(df) -> list[str]:
+    """The files scanned by the plan that ran, subqueries included, one entry for each scan."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    # Of every adaptive plan, the final one; the initial one follows it.
+    final = re.sub(r"(?ms)== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", text)
+    return re.findall(r"FileScan parquet.*?Location: \w+\(\d+ paths?\)\[.*?/([\w.]+)\]", final)
+
+
+SAMPLES = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    ("query", "tables"),
+    [
+        ("user_trip_report", {"lineitem": 1}),
+        ("trip_stats_by_vehicle", {"lineitem": 1}),
+        ("trip_export", {"lineitem": 1, "supplier": 1}),
+        ("trip_waypoints", {"events": 3}),  # spans twice, telemetry once
+        ("time_out_days", {"events": 1}),
+    ],
+)
+def test_how_often_tables_are_read(spark, query, tables):
+    assert Counter(name.removesuffix(".parquet") for name in reads(registry()[query](spark, SAMPLES))) == tables
 
 
 def test_splitting_never_shuffles_rows_by_their_large_key(spark, stored):
-    """Only one join is left to Spark: statistics with medians, one row per large key each."""
+    """Lengths meet the middle cells by key and cell; only one row per key is joined by key."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(user_trip_report(stored["trips"], SEPTEMBER, "city")).split("===== Subqueries")[0]
-        assert len(re.findall(r"(?m)^\(\d+\) SortMergeJoin", text)) == 1
+        joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]\n", text)
+        assert sorted("cell" in keys for keys in joins) == [False, True]
+        assert "percentile" not in text
         changes = states.state_changes(stored["transitions"], stored["systems"], stored["vehicles"], SEPTEMBER)
         text = plan(states.state_periods(changes)).split("===== Subqueries")[0]
         joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]", text)

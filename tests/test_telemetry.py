@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from frames import SEPTEMBER, records, spans, telemetry
 
-from kerbside.operators.telemetry import waypoints
+from kerbside.operators.telemetry import location_overflows, waypoints
 
 T0 = SEPTEMBER.start_ms + 86_400_000
 MINUTE = 60_000
@@ -67,7 +67,7 @@ def test_locations(spark):
         '{"location":"[-77.036545, 38.5]"}': ("38.50000", "-77.03655"),
         '{"location":["-77.5","38.5"]}': ("38.50000", "-77.50000"),
         '{"location":[-77.5]}': (None, "-77.50000"),
-        '{"location":[-122.4,37.7]}': ("37.70000", None),
+        '{"location":[-122.4,37.7]}': ("37.70000", "-122.40000"),
         '{"location":[]}': (None, None),
         '{"location":null}': (None, None),
         '{"location":"nowhere"}': (None, None),
@@ -81,8 +81,21 @@ def test_locations(spark):
     found = {r.time: (r.lat, r.lon) for r in waypoints(trip, points, SEPTEMBER).collect()}
     expected = [tuple(v and Decimal(v) for v in pair) for pair in cases.values()]
     assert [found[time] for time in sorted(found)] == expected
-    wide = waypoints(trip, points, SEPTEMBER, coordinate_type="decimal(8,5)")
-    assert Decimal("-122.40000") in {r.lon for r in wide.collect()}
+
+
+def test_impossible_locations_fail_or_are_null_and_counted(spark):
+    texts = ['{"location":[-180.5,38]}', '{"location":[1e30,"95"]}', '{"location":[1,2]}', '{"location":[']
+    points = telemetry(spark, *[dict(ts_ms=T0 + i * 1000, fields=text) for i, text in enumerate(texts)])
+    trip = spans(spark, dict(started_at_ms=T0, ended_at_ms=T0 + MINUTE))
+    with pytest.raises(Exception, match="degrees beyond"):
+        waypoints(trip, points, SEPTEMBER).collect()
+    found = waypoints(trip, points, SEPTEMBER, bad_coordinates="null").collect()
+    assert sorted((r.lat and float(r.lat) or 0, r.lon and float(r.lon) or 0) for r in found) == [(0, 0), (0, 0), (2, 1), (38, 0)]
+    assert tuple(location_overflows(trip, points, SEPTEMBER).first()) == (1, 2)
+    # Points of devices without trips are not looked at.
+    other = telemetry(spark, dict(deviceid=99, ts_ms=T0, fields=texts[0]))
+    assert waypoints(trip, other, SEPTEMBER).collect() == []
+    assert tuple(location_overflows(trip, other, SEPTEMBER).first()) == (0, 0)
 
 
 def test_time_drops_milliseconds(spark):
@@ -109,9 +122,6 @@ def test_every_bucket_width_equals_brute_force(spark, seed):
         for p in points
         if t["identifier"] == p["deviceid"] and t["started_at_ms"] <= p["ts_ms"] <= t["ended_at_ms"]
     )
-    # Devices with long trips are listed, or too many for the list.
-    for bucket_ms, most_listed in ((1000, 100), (MINUTE, 0), (900_000, 100), (900_000, 5), (86_400_000, 100)):
-        found = waypoints(
-            spans(spark, *trips), telemetry(spark, *points), SEPTEMBER, bucket_ms=bucket_ms, most_listed=most_listed
-        )
+    for bucket_ms in (1000, MINUTE, 900_000, 86_400_000):
+        found = waypoints(spans(spark, *trips), telemetry(spark, *points), SEPTEMBER, bucket_ms=bucket_ms)
         assert sorted(tuple(r) for r in found.selectExpr("trip_id", "unix_seconds(time)").collect()) == expected

@@ -50,15 +50,14 @@ def test_period_is_half_open_for_dates_and_timestamps(spark):
     assert total_trips(df, SEPTEMBER, "city").collect()[0].total_trips == 2
 
 
-@pytest.mark.parametrize("split_rows", [1, 3, 1_000_000])
-def test_stats_of_one_even_and_odd_numbers_of_trips(spark, split_rows):
+def test_stats_of_one_even_and_odd_numbers_of_trips(spark):
     lengths = {1: [2.0], 2: [1.0, 4.0], 3: [5.0, 1.0, 9.0], 4: [1.0, 1.0, 7.0, 8.0]}
     rows = [
         dict(id=user * 10 + number, user_id=user, distance_in_meters=length * MILE)
         for user, values in lengths.items()
         for number, length in enumerate(values)
     ]
-    result = {r.user_id: r for r in user_trip_report(trips(spark, *rows), SEPTEMBER, "city", split_rows).collect()}
+    result = {r.user_id: r for r in user_trip_report(trips(spark, *rows), SEPTEMBER, "city").collect()}
     for user, values in lengths.items():
         row = result[user]
         assert row.num_trips == len(values)
@@ -71,10 +70,9 @@ def test_stats_of_one_even_and_odd_numbers_of_trips(spark, split_rows):
     assert len(result) == 4
 
 
-@pytest.mark.parametrize("split_rows", [1, 1_000_000])
-def test_unknown_user_has_statistics_but_no_median(spark, split_rows):
+def test_unknown_user_has_statistics_but_no_median(spark):
     df = trips(spark, dict(id=1, user_id=None), dict(id=2, user_id=None), dict(id=3, user_id=5))
-    rows = {r.user_id: r for r in user_trip_report(df, SEPTEMBER, "city", split_rows).collect()}
+    rows = {r.user_id: r for r in user_trip_report(df, SEPTEMBER, "city").collect()}
     assert rows[None].num_trips == 2 and rows[None].mean_trip_length == pytest.approx(1.0)
     assert rows[None].median_trip_length is None
     assert rows[5].median_trip_length == pytest.approx(1.0)
@@ -88,10 +86,10 @@ def test_report_of_no_trips_is_empty(spark):
 
 def test_stats_by_several_keys(spark):
     df = trips(spark, dict(id=1, user_id=1), dict(id=2, user_id=1, vehicle_id=2), dict(id=3, user_id=1, vehicle_id=2))
-    for split_rows in (1, 100):
-        assert records(
-            trip_stats(df, ["user_id", "vehicle_id"], split_rows=split_rows), "user_id", "vehicle_id", "num_trips"
-        ) == [(1, 1, 1), (1, 2, 2)]
+    assert records(trip_stats(df, ["user_id", "vehicle_id"]), "user_id", "vehicle_id", "num_trips") == [
+        (1, 1, 1),
+        (1, 2, 2),
+    ]
 
 
 def test_export_rounds_half_away_from_zero_and_drops_unknown_vehicles(spark):
@@ -111,14 +109,22 @@ def test_export_rounds_half_away_from_zero_and_drops_unknown_vehicles(spark):
     assert row.trip_length == pytest.approx(1.0)
 
 
-def test_coordinates_that_do_not_fit_are_null_and_counted(spark):
-    df = trips(spark, dict(id=1, start_point_lon=-122.4), dict(id=2, start_point_lon=None))
+def test_impossible_coordinates_fail_or_are_null_and_counted(spark):
     fleet = vehicles(spark, dict(id=1))
-    assert {r.start_lon for r in trip_export(df, fleet, SEPTEMBER).collect()} == {None}
-    wide = trip_export(df, fleet, SEPTEMBER, coordinate_type="decimal(8,5)")
-    assert {r.start_lon for r in wide.collect()} == {Decimal("-122.40000"), None}
-    assert tuple(coordinate_overflows(df).collect()[0]) == (0, 1, 0, 0)
-    assert tuple(coordinate_overflows(df, "decimal(8,5)").collect()[0]) == (0, 0, 0, 0)
+    df = trips(spark, dict(id=1, start_point_lon=-122.4), dict(id=2, start_point_lon=None), dict(id=3, start_point_lon=180.0))
+    for bad in ("fail", "null"):
+        found = {r.start_lon for r in trip_export(df, fleet, SEPTEMBER, bad_coordinates=bad).collect()}
+        assert found == {Decimal("-122.40000"), None, Decimal("180.00000")}
+    assert tuple(coordinate_overflows(df, SEPTEMBER).first()) == (0, 0, 0, 0)
+    for value in (180.1, -1e300, float("nan"), float("inf")):
+        df = trips(spark, dict(id=1, start_point_lon=value), dict(id=2, system_id="elsewhere", end_point_lat=99.0))
+        with pytest.raises(Exception, match="degrees beyond 180"):
+            trip_export(df, fleet, SEPTEMBER).collect()
+        assert {r.start_lon for r in trip_export(df, fleet, SEPTEMBER, "city", "null").collect()} == {None}
+        assert tuple(coordinate_overflows(df, SEPTEMBER, "city").first()) == (0, 1, 0, 0)
+        assert tuple(coordinate_overflows(df, SEPTEMBER).first()) == (0, 1, 1, 0)
+    with pytest.raises(ValueError):
+        trip_export(df, fleet, SEPTEMBER, bad_coordinates="keep")
 
 
 def test_export_labels_local_times_as_utc(spark):

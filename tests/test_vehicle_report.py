@@ -12,13 +12,11 @@ BLOCKED = dict(operationality="nonoperational", operationality_reason=["blocked"
 MILE, VEHICLE_MILE = 1609.34, 1607.34
 
 
-def _report(spark, trip_rows, transition_rows, fleet, semantics="reference", split_rows=1_000_000):
+def _report(spark, trip_rows, transition_rows, fleet, semantics="reference"):
     log = transitions(spark, *transition_rows)
     dimension = vehicles(spark, *fleet)
     periods = states.state_periods(states.state_changes(log, systems(spark), dimension, SEPTEMBER, semantics))
-    return vehicle_report(
-        trips(spark, *trip_rows), log, dimension, periods, SEPTEMBER, "city", semantics, split_rows
-    )
+    return vehicle_report(trips(spark, *trip_rows), log, dimension, periods, SEPTEMBER, "city", semantics)
 
 
 def _log(vehicle, *starts, **more):
@@ -69,10 +67,9 @@ def test_one_trip_has_deviation_zero_once_repeated(spark):
     assert rows[2].std_trip_length == 0.0
 
 
-@pytest.mark.parametrize("split_rows", [1, 1_000_000])
-def test_vehicle_without_transitions_keeps_only_its_median(spark, split_rows):
+def test_vehicle_without_transitions_keeps_only_its_median(spark):
     report = _report(spark, [dict(id=1), dict(id=2), dict(id=3, vehicle_id=None)], _log(9, "2020-08-01 10:00:00"),
-                     [dict(id=1), dict(id=9)], split_rows=split_rows)
+                     [dict(id=1), dict(id=9)])
     rows = report.collect()
     assert [r.fleet_id for r in rows] == [1]
     assert rows[0].median_trip_length == pytest.approx(1.0)
@@ -102,8 +99,7 @@ def test_unlisted_vehicle_and_vehicle_listed_twice(spark):
     assert found[3, "C"] == pytest.approx(statistics.stdev(lengths[3] * 4))
 
 
-@pytest.mark.parametrize("split_rows", [1, 1_000_000])
-def test_closed_form_deviation_equals_the_repeated_rows(spark, split_rows):
+def test_closed_form_deviation_equals_the_repeated_rows(spark):
     rng = random.Random(11)
     trip_rows, log, expected = [], [], {}
     for v in range(1, 9):
@@ -112,7 +108,7 @@ def test_closed_form_deviation_equals_the_repeated_rows(spark, split_rows):
         trip_rows += [dict(id=v * 10 + i, vehicle_id=v, distance_in_meters=x * VEHICLE_MILE) for i, x in enumerate(values)]
         log += _log(v, *[f"2020-08-{day:02d} 10:00:00" for day in range(1, k + 1)])
         expected[v] = statistics.stdev(values * k) if n * k > 1 else None
-    rows = _report(spark, trip_rows, log, [dict(id=v) for v in range(1, 9)], split_rows=split_rows).collect()
+    rows = _report(spark, trip_rows, log, [dict(id=v) for v in range(1, 9)]).collect()
     for row in rows:
         assert row.std_trip_length == (expected[row.fleet_id] and pytest.approx(expected[row.fleet_id], abs=1e-9))
 

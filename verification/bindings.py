@@ -45,9 +45,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_shipdate AS system_started_at",
         "timestampadd(SECOND, cast(l_quantity * 60 AS int), l_shipdate) AS system_ended_at",
         "38.8D + l_discount AS start_point_lat",
-        "-77.0D - l_tax AS start_point_lon",
+        # Two cities lie beyond 100 degrees, one of them in the west.
+        "CASE l_partkey % 5 WHEN 2 THEN 139.7D WHEN 4 THEN -122.4D ELSE -77.0D END - l_tax AS start_point_lon",
         "38.8D - l_discount AS end_point_lat",
-        "-77.0D + l_tax AS end_point_lon",
+        "CASE l_partkey % 5 WHEN 2 THEN 139.7D WHEN 4 THEN -122.4D ELSE -77.0D END + l_tax AS end_point_lon",
     )
     return conform(rows, "trips")
 
@@ -62,7 +63,8 @@ def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "events").selectExpr(
         "event_id AS id",
         "user_id + 3 AS vehicle_id",
-        "concat('S', cast(user_id % 5 AS string)) AS system_id",
+        # Every seventh state was in the next city.
+        "concat('S', cast((user_id + cast(event_id % 7 = 0 AS int)) % 5 AS string)) AS system_id",
         "ts AS started_at",
         "CASE WHEN value >= 2 THEN timestampadd(SECOND, cast(floor(value * 360) AS int), ts) END AS ended_at",
         "CASE WHEN event_type IN ('error', 'click') THEN 'nonoperational' ELSE 'operational' END AS operationality",
@@ -98,13 +100,13 @@ def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rental_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "events").where("event_type = 'signup'").selectExpr(
+    rows = _read(spark, sf_dir, "events").selectExpr(
         "event_id AS rental_id",
         "user_id AS identifier",
         "unix_millis(cast(ts AS timestamp)) AS started_at_ms",
         "unix_millis(cast(ts AS timestamp)) + cast(floor(value * 600000) AS bigint) AS ended_at_ms",
         "concat('S', cast(user_id % 5 AS string)) AS system_id",
-        "CASE WHEN event_id % 7 = 0 THEN 0 ELSE 1 END AS is_valid_rental",
+        "CASE WHEN event_type = 'signup' AND event_id % 7 <> 0 THEN 1 ELSE 0 END AS is_valid_rental",
     )
     return conform(rows, "rental_spans")
 
@@ -116,7 +118,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn(
             "place",
             F.expr(
-                "concat('[-77.', lpad(cast(cast(floor(value * 100) AS bigint) AS string), 5, '0'), cast(event_id % 10 AS string),"
+                "concat(CASE user_id % 5 WHEN 2 THEN '[139.' WHEN 4 THEN '[-122.' ELSE '[-77.' END, lpad(cast(cast(floor(value * 100) AS bigint) AS string), 5, '0'), cast(event_id % 10 AS string),"
                 " ',38.', lpad(cast(cast(floor(value * 100) AS bigint) AS string), 5, '0'), cast(event_id % 10 AS string), ']')"
             ),
         )

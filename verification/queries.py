@@ -17,6 +17,7 @@ from verification import bindings as b
 # Small enough to split the sample tables' keys, so that the oracle checks the split paths.
 SMALL_SPLIT = 40
 CITY = "S1"
+FAR_CITY = "S2"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -78,8 +79,8 @@ def trip_stats_by_vehicle(spark, sf):
 
 
 def trip_stats_by_city_split(spark, sf):
-    """Few, large groups: every median comes from the split path."""
-    return trips.trip_stats(trips.valid_trips(b.trips(spark, sf)), ["system_id"], split_rows=SMALL_SPLIT)
+    """Few, large groups."""
+    return trips.trip_stats(trips.valid_trips(b.trips(spark, sf)), ["system_id"])
 
 
 def user_trip_report(spark, sf):
@@ -87,8 +88,12 @@ def user_trip_report(spark, sf):
 
 
 def user_trip_report_split(spark, sf):
-    """Users above and below the split size in one result."""
-    return reports.user_trip_report(b.trips(spark, sf), b.USER_PERIOD, split_rows=2)
+    """Trips in another order."""
+    return reports.user_trip_report(b.trips(spark, sf).repartition("id"), b.USER_PERIOD)
+
+
+def user_trip_report_of_city(spark, sf):
+    return reports.user_trip_report(b.trips(spark, sf), b.USER_PERIOD, CITY)
 
 
 def first_operational(spark, sf):
@@ -152,6 +157,14 @@ def vehicles_in_maintenance(spark, sf):
     return states.vehicles_in_maintenance(_periods(spark, sf), b.FLEET_PERIOD)
 
 
+def maintenance_counts_of_city(spark, sf):
+    return states.maintenance_counts(_periods(spark, sf), b.FLEET_PERIOD, CITY)
+
+
+def vehicles_in_maintenance_of_city(spark, sf):
+    return states.vehicles_in_maintenance(_periods(spark, sf), b.FLEET_PERIOD, CITY)
+
+
 def vehicle_report(spark, sf):
     return _vehicle_report(spark, sf)
 
@@ -168,6 +181,16 @@ def trip_export(spark, sf):
     return trips.trip_export(b.trips(spark, sf), b.vehicles(spark, sf), b.USER_PERIOD)
 
 
+def trip_export_of_city(spark, sf):
+    """A city beyond 100 degrees of longitude."""
+    return trips.trip_export(b.trips(spark, sf), b.vehicles(spark, sf), b.USER_PERIOD, FAR_CITY)
+
+
+def trip_waypoints_of_city(spark, sf):
+    """A city beyond 100 degrees of longitude."""
+    return telemetry.waypoints(b.rental_spans(spark, sf), b.telemetry(spark, sf), b.MONTH, FAR_CITY)
+
+
 def trip_waypoints(spark, sf):
     return telemetry.waypoints(b.rental_spans(spark, sf), b.telemetry(spark, sf), b.MONTH)
 
@@ -181,27 +204,40 @@ def total_trips(spark, sf):
     return trips.total_trips(b.trips(spark, sf), b.USER_PERIOD)
 
 
-def monthly_summary(spark, sf):
+def total_trips_of_city(spark, sf):
+    return trips.total_trips(b.trips(spark, sf), b.USER_PERIOD, CITY)
+
+
+def _monthly_summary(spark, sf, system_id=None):
     # The sample trips and states lie in different years, so the dates are moved together.
     moved = b.trips24(spark, sf).withColumn("system_started_at", F.col("system_date").cast("timestamp_ntz"))
-    return reports.monthly_summary(moved, _periods(spark, sf), b.constants(spark), b.FLEET_PERIOD)
+    return reports.monthly_summary(moved, _periods(spark, sf), b.constants(spark), b.FLEET_PERIOD, system_id)
+
+
+def monthly_summary(spark, sf):
+    return _monthly_summary(spark, sf)
+
+
+def monthly_summary_of_city(spark, sf):
+    return _monthly_summary(spark, sf, CITY)
 
 
 def service_area_features(spark, sf):
+    return _service_area(spark, sf)
+
+
+def service_area_of_city(spark, sf):
+    return _service_area(spark, sf, CITY)
+
+
+def _service_area(spark, sf, system_id=None):
+    """The geometry's whole list of positions as text, without blanks."""
     geometry = F.col("geometry")
-    position = [
-        F.coalesce(
-            F.try_variant_get(geometry, f"$.coordinates[0][0][0][{axis}]", "double"),
-            F.try_variant_get(geometry, f"$.coordinates[0][0][{axis}]", "double"),
-        )
-        for axis in (0, 1)
-    ]
-    return areas.service_area(b.systems(spark, sf)).select(
+    return areas.service_area(b.systems(spark, sf), system_id).select(
         "system_id",
         "geofence_geojson",
         F.try_variant_get(geometry, "$.type", "string").alias("geometry_type"),
-        position[0].alias("first_lon"),
-        position[1].alias("first_lat"),
+        F.to_json(F.try_variant_get(geometry, "$.coordinates", "variant")).alias("positions"),
     )
 
 
@@ -213,6 +249,7 @@ _QUERIES = [
     trip_stats_by_city_split,
     user_trip_report,
     user_trip_report_split,
+    user_trip_report_of_city,
     first_operational,
     possible_days,
     state_category,
@@ -226,15 +263,22 @@ _QUERIES = [
     state_periods_split,
     maintenance_counts,
     vehicles_in_maintenance,
+    maintenance_counts_of_city,
+    vehicles_in_maintenance_of_city,
     vehicle_report,
     vehicle_report_of_city,
     vehicle_report_corrected,
     trip_export,
+    trip_export_of_city,
     trip_waypoints,
     trip_waypoints_bucketed,
+    trip_waypoints_of_city,
     total_trips,
+    total_trips_of_city,
     monthly_summary,
+    monthly_summary_of_city,
     service_area_features,
+    service_area_of_city,
 ]
 
 
