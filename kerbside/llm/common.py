@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -105,8 +106,7 @@ def word_ids(texts: list[list[bytes]], known: dict[bytes, int] | None = None) ->
     """Numbers of the words of all texts in turn, equal words alike, and the words in each text."""
     known = {} if known is None else known
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = [word for words in texts for word in words]
-    for word in flat:
-        if word not in known:
-            known[word] = len(known)
+    flat = list(chain.from_iterable(texts))
+    new = [word for word in dict.fromkeys(flat) if word not in known] if known else dict.fromkeys(flat)
+    known.update(zip(new, count(len(known)), strict=False))
     return np.fromiter(map(known.__getitem__, flat), np.int64, len(flat)), sizes

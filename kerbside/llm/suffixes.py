@@ -24,6 +24,14 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    """The hashes with all bits stirred, in place."""
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x7FB5D329728EA185)
+    h ^= h >> np.uint64(27)
+    return h
+
+
 class Hashed:
     """A buffer and the prefix hashes of its polynomial."""
 
@@ -40,10 +48,7 @@ class Hashed:
         """A mixed hash of every substring of k bytes."""
         n = len(self.buffer) - k + 1
         h = (self.prefix[k:] - self.prefix[:-k]) * powers(pow(base, -1, 1 << 64), n)
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0x7FB5D329728EA185)
-        h ^= h >> np.uint64(27)
-        return h
+        return mixed(h)
 
     def same(self, a: np.ndarray, b: np.ndarray, n) -> np.ndarray:
         """Whether the n bytes from a and from b have equal hashes."""

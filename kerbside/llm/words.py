@@ -39,4 +39,6 @@ def word_counts(rows: DataFrame, split: Callable[[bytes], list[bytes]] = split_w
                     yield out()
         yield out()
 
-    return rows.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = rows.select("text").mapInArrow(run, "word string, n long")
+    # No word is null; said here, every use of the counts has one plan and can share its exchange.
+    return counted.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
