@@ -56,13 +56,8 @@ def state_category(labels: Mapping[str, str] = CHANGE_LABELS) -> Column:
     )
 
 
-def clamp_spans(
-    transitions: DataFrame,
-    period: ReportPeriod,
-    system_id: str | None = None,
-    semantics: str = "reference",
-) -> DataFrame:
-    """Spans touching the period, cut to it: ``vehicle_id, start_block, end_block, operationality_cleaned``.
+def touches(period: ReportPeriod, semantics: str = "reference") -> Column:
+    """Whether a span counts for the period.
 
     The reference rule keeps a span if its start or its end lies in the period, which
     drops spans that cover all of it; ``corrected`` keeps every overlapping span.
@@ -70,16 +65,35 @@ def clamp_spans(
     started, ended = F.col("started_at"), F.col("ended_at")
     start, cutoff = local_time(period.start), local_time(period.cutoff(semantics))
     if semantics == CORRECTED:
-        touches = (started < cutoff) & (ended.isNull() | (ended > start))
-    else:
-        touches = started.between(start, cutoff) | ended.between(start, cutoff)
+        return (started < cutoff) & (ended.isNull() | (ended > start))
+    return started.between(start, cutoff) | ended.between(start, cutoff)
+
+
+def _cut(period: ReportPeriod, semantics: str) -> tuple[Column, Column]:
+    """A span's start and end, cut to the period."""
+    started, ended = F.col("started_at"), F.col("ended_at")
+    start, cutoff = local_time(period.start), local_time(period.cutoff(semantics))
+    return (
+        F.when(started < start, start).otherwise(started),
+        F.when((ended > cutoff) | ended.isNull(), cutoff).otherwise(ended),
+    )
+
+
+def clamp_spans(
+    transitions: DataFrame,
+    period: ReportPeriod,
+    system_id: str | None = None,
+    semantics: str = "reference",
+) -> DataFrame:
+    """Spans touching the period, cut to it: ``vehicle_id, start_block, end_block, operationality_cleaned``."""
+    start, end = _cut(period, semantics)
     return (
         of_system(transitions, system_id)
-        .where(touches)
+        .where(touches(period, semantics))
         .select(
             "vehicle_id",
-            F.when(started < start, start).otherwise(started).alias("start_block"),
-            F.when((ended > cutoff) | ended.isNull(), cutoff).otherwise(ended).alias("end_block"),
+            start.alias("start_block"),
+            end.alias("end_block"),
             state_category(SPAN_LABELS).alias("operationality_cleaned"),
         )
     )
@@ -104,6 +118,37 @@ def days_in_service(possible: DataFrame, out: DataFrame, semantics: str = "refer
     return possible.join(out, "vehicle_id", "left").withColumn("num_days_in_service", days)
 
 
+def service(
+    transitions: DataFrame,
+    period: ReportPeriod,
+    system_id: str | None = None,
+    semantics: str = "reference",
+) -> DataFrame:
+    """:func:`first_operational`, :func:`possible_days`, :func:`time_out` and :func:`days_in_service` in one pass.
+
+    The reference rule looks for the first operational state in all cities but for time
+    out of service in one; ``corrected`` looks in one for both.
+    """
+    log = of_system(transitions, system_id) if check_semantics(semantics) == CORRECTED else transitions
+    here = F.lit(True) if system_id is None else F.col("system_id") == system_id
+    start, end = _cut(period, semantics)
+    out = here & touches(period, semantics) & state_category(SPAN_LABELS).ilike("blocked")
+    counted = log.groupBy("vehicle_id").agg(
+        F.count(F.lit(1)).alias("transition_count"),
+        F.min(F.when(F.col("operationality") == "operational", F.col("started_at"))).alias("first_operational"),
+        F.sum(F.when(out, micros(end) - micros(start))).alias("out_micros"),
+    )
+    lasting = F.coalesce("out_micros", F.lit(0)) / F.lit(float(DAY_MICROS))
+    days = F.col("possible_days") - lasting
+    return possible_days(counted, period, semantics).select(
+        "vehicle_id",
+        "transition_count",
+        "first_operational",
+        "possible_days",
+        (F.greatest(F.lit(0.0), days) if semantics == CORRECTED else days).alias("num_days_in_service"),
+    )
+
+
 def state_changes(
     transitions: DataFrame,
     systems: DataFrame,
@@ -239,6 +284,14 @@ def state_periods(changes: DataFrame) -> DataFrame:
     )
 
 
+def _begins(period: ReportPeriod, semantics: str) -> Column:
+    started = F.col("started_at")
+    start, cutoff = local_time(period.start), local_time(period.cutoff(semantics))
+    if semantics == CORRECTED:
+        return (started >= start) & (started < cutoff)
+    return started.between(start, cutoff)
+
+
 def blocked_in_period(
     periods: DataFrame,
     period: ReportPeriod,
@@ -246,15 +299,35 @@ def blocked_in_period(
     semantics: str = "reference",
 ) -> DataFrame:
     """Merged periods of category ``blocked`` that begin between period start and cutoff."""
-    started = F.col("started_at")
-    start, cutoff = local_time(period.start), local_time(period.cutoff(semantics))
-    if semantics == CORRECTED:
-        begins = (started >= start) & (started < cutoff)
-    else:
-        begins = started.between(start, cutoff)
+    begins = _begins(period, semantics)
     return of_system(periods, system_id).where(begins & (F.col("operationality_category") == "blocked"))
 
 
+def blocked_periods(
+    transitions: DataFrame,
+    systems: DataFrame,
+    vehicles: DataFrame,
+    period: ReportPeriod,
+    system_id: str | None = None,
+    semantics: str = "reference",
+    **options,
+) -> DataFrame:
+    """:func:`blocked_in_period` of the log, which is pruned before its windows run.
+
+    A merged period that begins in the report period has a blocked state that starts
+    there, so other vehicles are left out; and states that start after the cutoff change
+    neither the number nor the start of an earlier period. ``ended_at`` is that of the
+    states kept.
+    """
+    blocked = _begins(period, semantics) & (state_category(CHANGE_LABELS) == "blocked")
+    asked = of_system(transitions, system_id).where(blocked).select("vehicle_id").distinct()
+    until = local_time(period.cutoff(semantics))
+    early = F.col("started_at") < until if semantics == CORRECTED else F.col("started_at") <= until
+    kept = transitions.where(early).join(asked, "vehicle_id", "left_semi")
+    periods = state_periods(state_changes(kept, systems, vehicles, period, semantics, **options))
+    return blocked_in_period(periods, period, system_id, semantics)
+
+
 def maintenance_counts(
     periods: DataFrame,
     period: ReportPeriod,

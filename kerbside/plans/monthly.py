@@ -41,12 +41,9 @@ def write_monthly_reports(
     """
     check_bad(bad_coordinates)
     configure(spark)
-    changes = states.state_changes(
-        tables["transitions"], tables["systems"], tables["vehicles"], period, semantics
-    )
     # Two reports need the city's blocked periods of the month: few rows, computed once.
-    blocked = states.blocked_in_period(
-        states.state_periods(changes), period, system_id, semantics
+    blocked = states.blocked_periods(
+        tables["transitions"], tables["systems"], tables["vehicles"], period, system_id, semantics
     ).persist(StorageLevel.MEMORY_AND_DISK)
     users = reports.user_trip_report(tables["trips"], period, system_id)
     vehicles = reports.vehicle_report(

@@ -9,7 +9,7 @@ from kerbside.functions.columns import METERS_PER_MILE, VEHICLE_METERS_PER_MILE
 from kerbside.operators import states
 from kerbside.operators.trips import in_period, of_system, total_trips, trip_stats, valid_trips
 from kerbside.period import CORRECTED, ReportPeriod, check_semantics
-from kerbside.schemas import INCIDENTS
+from kerbside.schemas import CONSTANTS, INCIDENTS
 
 USER_COLUMNS = ["user_id", "num_trips", "mean_trip_length", "median_trip_length", "std_trip_length"]
 
@@ -42,15 +42,8 @@ def vehicle_service(
     system_id: str | None = None,
     semantics: str = "reference",
 ) -> DataFrame:
-    """``vehicle_id, transition_count, first_operational, ..., num_days_in_service`` per vehicle.
-
-    The reference rule looks for the first operational state in all cities but for time
-    out of service in one; ``corrected`` looks in one for both.
-    """
-    counted = of_system(transitions, system_id) if semantics == CORRECTED else transitions
-    possible = states.possible_days(states.first_operational(counted), period, semantics)
-    out = states.time_out(states.clamp_spans(transitions, period, system_id, semantics))
-    return states.days_in_service(possible, out, semantics)
+    """``vehicle_id, transition_count, first_operational, ..., num_days_in_service`` per vehicle."""
+    return states.service(transitions, period, system_id, semantics)
 
 
 def vehicle_report(
@@ -64,8 +57,8 @@ def vehicle_report(
 ) -> DataFrame:
     """Trip statistics, days in service and maintenance per vehicle.
 
-    ``periods`` is the result of :func:`kerbside.operators.states.state_periods`. The
-    result starts with ``fleet_id``, the internal vehicle id, which the sink sorts by and
+    ``periods`` is the result of :func:`kerbside.operators.states.state_periods`, or of
+    :func:`kerbside.operators.states.blocked_periods`, which reads less. The result starts with ``fleet_id``, the internal vehicle id, which the sink sorts by and
     drops (:func:`vehicle_rows`).
 
     Every input is reduced to one row per vehicle before it is joined. The reference joins
@@ -129,9 +122,22 @@ def monthly_summary(
     system_id: str | None = None,
     semantics: str = "reference",
 ) -> DataFrame:
-    """One row: trips, vehicles in maintenance, and the hand-kept counts in ``constants``."""
-    return constants.select(
-        "*",
+    """One row: trips, vehicles in maintenance, and the hand-kept counts in ``constants``.
+
+    Constants with a ``month`` (as 2020-09) or a ``system_id`` are those of the period's
+    first month and of the city. Anything but one row of them fails the query.
+    """
+    of = constants
+    if "month" in constants.columns:
+        of = of.where(F.col("month") == period.start.strftime("%Y-%m"))
+    if "system_id" in constants.columns:
+        of = of.where(F.col("system_id").eqNullSafe(F.lit(system_id)))
+    names = CONSTANTS.fieldNames()
+    counted = of.agg(F.count(F.lit(1)).alias("rows"), *[F.first(name).alias(name) for name in names])
+    one = F.col("rows") == 1
+    wrong = F.raise_error(F.concat(F.lit("constants must have one row for the period, found "), F.col("rows").cast("string")))
+    return counted.select(
+        *[F.when(one, F.col(name)).otherwise(wrong).alias(name) for name in names],
         total_trips(trips, period, system_id).scalar().alias("total_trips"),
         states.vehicles_in_maintenance(periods, period, system_id, semantics).scalar().alias("nonoperational_M"),
     ).select(*SUMMARY_COLUMNS)

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    ByteType,
     DateType,
+    DecimalType,
     DoubleType,
+    FloatType,
     IntegerType,
     LongType,
+    ShortType,
     StringType,
     StructField,
     StructType,
@@ -107,25 +112,52 @@ INPUTS = {
 }
 
 
+# Key columns whose ids some warehouses keep as text; they stay text then.
+TEXT_IDS = {"user_id", "deviceid", "identifier"}
+
+# Which month and city the counts in ``constants`` are for. A table without them serves any.
+CONSTANTS_OF = _schema(month=_TEXT, system_id=_TEXT)
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Check ``df`` against the named input schema and keep exactly its columns.
 
-    A missing column or another type is an error raised before any job runs.
+    Types that hold less are widened: smaller integers, floats and decimals where a double
+    is expected, and a moment where its date is. A missing column or any other type is an error raised before
+    any job runs.
     """
-    expected = INPUTS[name]
+    expected = list(INPUTS[name].fields)
     found = {field.name: field.dataType for field in df.schema.fields}
-    problems = []
-    for field in expected.fields:
+    if name == "constants":
+        expected += [field for field in CONSTANTS_OF.fields if field.name in found]
+    problems, columns = [], []
+    for field in expected:
+        column = F.col(f"`{field.name}`")
         if field.name not in found:
             problems.append(f"{field.name}: missing")
-        elif not _compatible(found[field.name], field.dataType):
+        elif _compatible(found[field.name], field.dataType) or (
+            field.name in TEXT_IDS and isinstance(found[field.name], StringType)
+        ):
+            columns.append(column)
+        elif isinstance(found[field.name], _NARROWER.get(type(field.dataType), ())):
+            columns.append(column.cast(field.dataType).alias(field.name))
+        else:
             problems.append(
                 f"{field.name}: expected {field.dataType.simpleString()}, "
                 f"found {found[field.name].simpleString()}"
             )
     if problems:
         raise ValueError(f"table {name!r} does not match its schema: " + "; ".join(problems))
-    return df.select(*expected.fieldNames())
+    return df.select(*columns)
+
+
+_SMALL = (ByteType, ShortType, IntegerType)
+_NARROWER = {
+    IntegerType: (ByteType, ShortType),
+    LongType: _SMALL,
+    DoubleType: (*_SMALL, FloatType, DecimalType),
+    DateType: (TimestampType, TimestampNTZType),
+}
 
 
 def _compatible(found, expected) -> bool:

@@ -8,8 +8,9 @@ from frames import SEPTEMBER, at, spans, systems, telemetry, transitions, trips,
 from test_areas import POLYGON
 
 from kerbside import schemas
+from kerbside.operators import states
 from kerbside.plans.monthly import load_inputs, write_monthly_reports
-from kerbside.plans.reports import incident_template
+from kerbside.plans.reports import incident_template, monthly_summary
 from kerbside.sinks.files import write_csv_report, write_feature_collection
 from kerbside.sources.tables import JdbcSource, ParquetSource, load_table
 
@@ -168,6 +169,42 @@ def test_tables_are_checked_on_load(spark, stored, tmp_path):
         load_table(spark, "unknown", stored)
 
 
+def test_types_that_hold_less_are_widened(spark):
+    df = trips(spark, dict(user_id=5)).selectExpr(
+        "cast(id AS int) AS id", "cast(user_id AS string) AS user_id", "cast(vehicle_id AS smallint) AS vehicle_id",
+        "cast(price_before_discount AS decimal(10,2)) AS price_before_discount",
+        "cast(distance_in_meters AS float) AS distance_in_meters", "cast(system_date AS timestamp) AS system_date",
+        "cast(billable_duration_in_seconds AS tinyint) AS billable_duration_in_seconds",
+        "* EXCEPT (id, user_id, vehicle_id, price_before_discount, distance_in_meters, system_date, billable_duration_in_seconds)",
+    )
+    found = schemas.conform(df, "trips")
+    kinds = dict(found.dtypes)
+    assert kinds == dict(trips(spark, {}).dtypes) | {"user_id": "string"}
+    row = found.first()
+    assert (row.user_id, row.price_before_discount, row.system_date) == ("5", 1.0, date(2020, 9, 10))
+    for bad in ("cast(id AS decimal(20,0)) AS id", "cast(id AS double) AS id"):
+        with pytest.raises(ValueError, match="id: expected bigint"):
+            schemas.conform(trips(spark, {}).selectExpr(bad, "* EXCEPT (id)"), "trips")
+
+
+def test_constants_of_the_month_and_city(spark, stored, tmp_path):
+    tables = load_inputs(spark, {"*": stored})
+    kept = tables["constants"].selectExpr("* EXCEPT (total_vehicles)")
+    of = spark.createDataFrame(
+        [(1, "2020-08", "city"), (2, "2020-09", "city"), (3, "2020-09", "other")], "total_vehicles int, month string, system_id string"
+    )
+    constants = schemas.conform(of.join(kept), "constants")
+    assert constants.columns[-2:] == ["month", "system_id"]
+    blocked = states.blocked_periods(tables["transitions"], tables["systems"], tables["vehicles"], SEPTEMBER, "city")
+    summary = lambda city, table: monthly_summary(tables["trips"], blocked, table, SEPTEMBER, city).collect()
+    (row,) = summary("city", constants)
+    assert (row.total_vehicles, row.total_trips) == (2, 2)
+    assert [r.total_vehicles for r in summary("other", constants)] == [3]
+    for table in (constants.union(constants), constants.where("month = '2020-08'")):
+        with pytest.raises(Exception, match="constants must have one row"):
+            summary("city", table)
+
+
 def test_extra_columns_are_left_out(spark):
     df = vehicles(spark, dict(id=1)).selectExpr("*", "1 AS more")
     assert schemas.conform(df, "vehicles").columns == schemas.VEHICLES.fieldNames()

@@ -301,6 +301,21 @@ def test_numbers_equal_brute_force_however_vehicles_are_split(spark, seed, seman
     assert periods[0] == periods[1] == periods[2]
 
 
+@pytest.mark.parametrize("semantics", ["reference", "corrected"])
+@pytest.mark.parametrize("city", [None, "city", "other"])
+def test_pruning_the_log_changes_no_blocked_period(spark, semantics, city):
+    rows = _random_log(3)
+    cities = [dict(id="city", time_zone="America/New_York"), dict(id="other", time_zone="Asia/Tokyo")]
+    tables = transitions(spark, *rows), systems(spark, *cities), vehicles(spark, *[dict(id=v) for v in range(1, 13)])
+    days = sorted(row["started_at"].date() for row in rows if row.get("started_at"))
+    middle = ReportPeriod(days[len(days) // 5], days[4 * len(days) // 5] + timedelta(days=2), datetime(2020, 10, 5), "x")
+    whole = states.state_periods(states.state_changes(*tables, middle, semantics))
+    shown = ["vehicle_id", "system_id", "period", "started_at"]
+    expected = Counter(map(tuple, states.blocked_in_period(whole, middle, city, semantics).select(*shown).collect()))
+    found = Counter(map(tuple, states.blocked_periods(*tables, middle, city, semantics).select(*shown).collect()))
+    assert found == expected and (city == "other" or found)
+
+
 def test_a_large_vehicle_is_cut_into_small_cells(spark):
     start = at("2020-09-01 00:00:00")
     df = spark.range(30_000).select(

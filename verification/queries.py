@@ -48,12 +48,18 @@ def _periods(spark: SparkSession, sf: str, semantics: str = "reference", **optio
     return states.state_periods(_changes(spark, sf, semantics=semantics, **options))
 
 
+def _blocked(spark: SparkSession, sf: str, system_id: str | None = None, semantics: str = "reference") -> DataFrame:
+    return states.blocked_periods(
+        b.transitions(spark, sf), b.systems(spark, sf), b.vehicles(spark, sf), b.FLEET_PERIOD, system_id, semantics
+    )
+
+
 def _vehicle_report(spark: SparkSession, sf: str, semantics: str = "reference", system_id: str | None = None) -> DataFrame:
     return reports.vehicle_report(
         b.trips24(spark, sf),
         b.transitions(spark, sf),
         b.vehicles(spark, sf),
-        _periods(spark, sf, semantics),
+        _blocked(spark, sf, system_id, semantics),
         b.FLEET_PERIOD,
         system_id,
         semantics,
@@ -127,8 +133,16 @@ def time_out_days(spark, sf):
 
 
 def days_in_service(spark, sf):
+    log = b.transitions(spark, sf)
+    possible = states.possible_days(states.first_operational(log), b.FLEET_PERIOD)
+    out = states.time_out(states.clamp_spans(log, b.FLEET_PERIOD))
+    return states.days_in_service(possible, out).select("vehicle_id", "num_days_in_service")
+
+
+def vehicle_service(spark, sf):
+    """The same in one pass."""
     return reports.vehicle_service(b.transitions(spark, sf), b.FLEET_PERIOD).select(
-        "vehicle_id", "num_days_in_service"
+        "vehicle_id", "transition_count", "num_days_in_service"
     )
 
 
@@ -150,19 +164,19 @@ def state_periods_split(spark, sf):
 
 
 def maintenance_counts(spark, sf):
-    return states.maintenance_counts(_periods(spark, sf), b.FLEET_PERIOD)
+    return states.maintenance_counts(_blocked(spark, sf), b.FLEET_PERIOD)
 
 
 def vehicles_in_maintenance(spark, sf):
-    return states.vehicles_in_maintenance(_periods(spark, sf), b.FLEET_PERIOD)
+    return states.vehicles_in_maintenance(_blocked(spark, sf), b.FLEET_PERIOD)
 
 
 def maintenance_counts_of_city(spark, sf):
-    return states.maintenance_counts(_periods(spark, sf), b.FLEET_PERIOD, CITY)
+    return states.maintenance_counts(_blocked(spark, sf, CITY), b.FLEET_PERIOD, CITY)
 
 
 def vehicles_in_maintenance_of_city(spark, sf):
-    return states.vehicles_in_maintenance(_periods(spark, sf), b.FLEET_PERIOD, CITY)
+    return states.vehicles_in_maintenance(_blocked(spark, sf, CITY), b.FLEET_PERIOD, CITY)
 
 
 def vehicle_report(spark, sf):
@@ -211,7 +225,7 @@ def total_trips_of_city(spark, sf):
 def _monthly_summary(spark, sf, system_id=None):
     # The sample trips and states lie in different years, so the dates are moved together.
     moved = b.trips24(spark, sf).withColumn("system_started_at", F.col("system_date").cast("timestamp_ntz"))
-    return reports.monthly_summary(moved, _periods(spark, sf), b.constants(spark), b.FLEET_PERIOD, system_id)
+    return reports.monthly_summary(moved, _blocked(spark, sf, system_id), b.constants(spark), b.FLEET_PERIOD, system_id)
 
 
 def monthly_summary(spark, sf):
@@ -257,6 +271,7 @@ _QUERIES = [
     clamped_spans_corrected,
     time_out_days,
     days_in_service,
+    vehicle_service,
     state_changes,
     state_changes_split,
     state_periods,
