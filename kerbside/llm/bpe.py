@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kerbside.llm.common import ragged, slices, text_bytes, two_columns
+from kerbside.llm.common import ragged, text_chunks, two_columns
 
 #: Upper bounds of the length buckets; longer pieces form matrices with similar rows.
 BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 64)
@@ -276,9 +276,8 @@ def encode_documents(
     def run(batches):
         encoder = TextEncoder(tokens.value, pattern)
         for batch in batches:
-            texts = text_bytes(batch)
-            for begin, end in slices(texts):
-                ids, counts, decimal = encoder(texts[begin:end])
+            for begin, end, texts in text_chunks(batch):
+                ids, counts, decimal = encoder(texts)
                 ends = np.cumsum(counts)
                 mine = [ids[e - n : e] for e, n in zip(ends, counts, strict=True)]
                 columns = [

@@ -9,6 +9,7 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ LOWER = bytes(range(256)).lower()
 #: As LOWER, and separators become spaces.
 LOWER_WORDS = bytes(0x20 if b in SEPARATORS else b for b in LOWER)
 #: Text handled at once inside a task.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,15 +81,26 @@ def slices(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
+def text_chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(first row, row after the last, texts) of parts of a batch that hold about ``limit`` bytes each."""
+    column = batch.column("text").cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    begin = 0
+    while begin < len(ends):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield begin, end, [b"" if t is None else t for t in column.slice(begin, end - begin).to_pylist()]
+        begin = end
+
+
 def by_chunk(work: Callable, names: list[str], carried: tuple[str, ...] = ()) -> Callable:
     """A function for mapInArrow: the id, what ``work(texts)`` gives as further arrays of a chunk, and carried columns."""
 
     def run(batches):
         for batch in batches:
-            texts = text_bytes(batch)
-            for begin, end in slices(texts):
+            for begin, end, texts in text_chunks(batch):
                 same = [batch.column(c).slice(begin, end - begin) for c in ("doc_id", *carried)]
-                yield pa.RecordBatch.from_arrays([same[0], *work(texts[begin:end]), *same[1:]], names=["doc_id", *names, *carried])
+                yield pa.RecordBatch.from_arrays([same[0], *work(texts), *same[1:]], names=["doc_id", *names, *carried])
 
     return run
 

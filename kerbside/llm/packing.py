@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from kerbside.llm.bpe import load_ranks
-from kerbside.llm.common import slices, text_bytes, two_columns
+from kerbside.llm.common import text_chunks, two_columns
 
 CAPACITY = 2048
 BLOCK_TOKENS = 4 << 20
@@ -155,9 +155,9 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
-            texts, names = text_bytes(batch), batch.column(0).to_pylist()
-            for begin, end in slices(texts):
-                for name, text in zip(names[begin:end], texts[begin:end], strict=True):
+            names = batch.column(0).to_pylist()
+            for begin, end, texts in text_chunks(batch):
+                for name, text in zip(names[begin:end], texts, strict=True):
                     ids.append(name)
                     parts.append(encoding.encode_to_numpy(text.decode(), disallowed_special=()).astype(kind))
                     held += len(parts[-1])

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import by_chunk, crc_mod, slices, text_bytes, two_columns
+from kerbside.llm.common import by_chunk, crc_mod, text_chunks, two_columns
 from kerbside.llm.statistics import DIRECTIONS, FEATURES, features, statistics
 from kerbside.llm.trees import Forest, train
 
@@ -40,9 +40,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
 
     def run(batches):
         for batch in batches:
-            texts = text_bytes(batch)
-            for begin, end in slices(texts):
-                x = features(statistics(texts[begin:end]))
+            for begin, end, texts in text_chunks(batch):
+                x = features(statistics(texts))
                 ids, marks = (batch.column(i).slice(begin, end - begin) for i in (0, 2))
                 x = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([ids, marks.cast(pa.int32()), x], names=["doc_id", "label", "x"])
@@ -70,8 +69,8 @@ def score_column(docs: DataFrame, forest: Forest, text_col: str = "text") -> Col
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        values = [b"" if t is None else t for t in texts.cast(pa.binary()).to_pylist()]
-        parts = [sent.value.score(features(statistics(values[b:e]))) for b, e in slices(values)]
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = [sent.value.score(features(statistics(chunk))) for _, _, chunk in text_chunks(batch)]
         return pa.array(np.concatenate([np.zeros(0), *parts]))
 
     return score(docs[text_col].cast("string"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import checkpointed, ragged, slices, text_bytes, two_columns
+from kerbside.llm.common import checkpointed, ragged, slices, text_bytes, text_chunks, two_columns
 from kerbside.llm.suffixes import Hashed, repeated_windows
 
 LENGTH = 200
@@ -147,9 +147,8 @@ def anchors_of(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = text_bytes(batch)
-            for begin, end in slices(texts):
-                yield _batch(anchor=_long(runs(texts[begin:end], length, digests=False)["anchor"]))
+            for _, _, texts in text_chunks(batch):
+                yield _batch(anchor=_long(runs(texts, length, digests=False)["anchor"]))
 
     return rows.select("text").mapInArrow(run, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
 
@@ -166,9 +165,9 @@ def run_rows(rows: DataFrame, length: int, hot, listed=None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            rids, texts = _numpy(batch, "rid"), text_bytes(batch)
-            for begin, end in slices(texts):
-                r = runs(texts[begin:end], length, is_hot_anchor if listed is None else None)
+            rids = _numpy(batch, "rid")
+            for begin, end, texts in text_chunks(batch):
+                r = runs(texts, length, is_hot_anchor if listed is None else None)
                 anchor, whole, rid = _long(r["anchor"]), _long(r["whole"]), rids[begin:end][r["text"]]
                 pos = _pack(r["start"], r["more"], r["place"])
                 kind, g = np.zeros(len(rid), np.int8), anchor.copy()
@@ -384,15 +383,15 @@ def remove_repeats(
 
     def finish(batches):
         for batch in batches:
-            texts, spans_of = text_bytes(batch), batch.column("spans")
-            for begin, end in slices(texts):
+            spans_of = batch.column("spans")
+            for begin, end, texts in text_chunks(batch):
                 done = []
-                for i in range(begin, end):
+                for i, text in enumerate(texts, begin):
                     mine = spans_of[i].values
-                    done.append(cut_out(texts[i], np.zeros(0, np.int64) if mine is None else mine.to_numpy()))
+                    done.append(cut_out(text, np.zeros(0, np.int64) if mine is None else mine.to_numpy()))
                 out = {
                     "doc_id": batch.column("doc_id").slice(begin, end - begin),
-                    "n_bytes": pa.array([len(t) for t in texts[begin:end]], pa.int64()),
+                    "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
                     "n_removed": pa.array([n for _, n, _ in done], pa.int64()),
                     "n_spans": pa.array([n for _, _, n in done], pa.int64()),
                     "kept_sha256": pa.array([hashlib.sha256(kept).hexdigest() for kept, _, _ in done]),
