@@ -13,8 +13,14 @@ SPLIT_ROWS = 1_000_000
 # the size of the data; that bound is what makes broadcasting them safe. A key that does
 # not qualify holds so small a part of all rows that one task can own it.
 LARGEST_KEYS = 100_000
-# Time cells per SPLIT_ROWS rows. Above one, because rows are not spread evenly in time.
-CELLS_PER_SPLIT = 8
+# Segments of a large key, about equally full whatever its times are.
+SEGMENTS = 256
+# Rank error of a segment's border: one row in this many.
+ACCURACY = 10_000
+# Equally wide parts of a segment per SPLIT_ROWS rows in it. Above one, as rows are not even.
+PARTS_PER_SPLIT = 8
+# More parts than any segment has.
+PARTS = 2**40
 LAST_CELL = 2**62
 
 
@@ -34,31 +40,55 @@ def large_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS, *me
     )
 
 
-def with_time_cells(df: DataFrame, key: str, at: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def with_time_cells(
+    df: DataFrame, key: str, at: str, split_rows: int = SPLIT_ROWS, id_column: str | None = None
+) -> DataFrame:
     """Add ``time_cell``: NULL for ordinary keys, a number that grows with ``at`` for large ones.
 
-    Each large key gets equally wide cells over its own first to last instant, as many as
-    its rows call for. Rows without a time get the highest cell (NULLS LAST). Equal times
-    always share a cell.
+    Quantiles of a large key's times part it into segments of about equally many rows, so
+    one row decades off changes nothing for the others; a segment is cut into equally wide
+    parts as its rows call for. Rows without a time come last, parted by ``id_column`` in
+    the same way, or all in the highest cell without one. Equal times always share a cell.
     """
     if split_rows < 1:
         raise ValueError(f"split_rows must be positive, got {split_rows}")
     instant = micros(F.col(at))
-    cells = F.ceil(F.col("key_rows") / F.lit(split_rows)) * F.lit(CELLS_PER_SPLIT)
-    extents = large_keys(
-        df, [key], split_rows, F.min(instant).alias("first_micros"), F.max(instant).alias("last_micros")
-    ).select(
-        key,
-        F.lit(True).alias("is_large"),
-        "first_micros",
-        (((F.col("last_micros") - F.col("first_micros")) / cells).cast("long") + 1).alias("cell_micros"),
-    )
-    cell = F.floor((instant - F.col("first_micros")) / F.col("cell_micros"))
+    fractions = F.lit([number / SEGMENTS for number in range(1, SEGMENTS)])
+    measures = [*_limits("time", instant, fractions)]
+    if id_column is not None:
+        measures += _limits("id", F.when(F.col(at).isNull(), F.col(id_column)), fractions)
+    large = large_keys(df, [key], split_rows)
+    extents = df.join(F.broadcast(large), key).groupBy(key, "key_rows").agg(*measures)
+    parts = F.ceil(F.col("key_rows") / F.lit(SEGMENTS * split_rows)) * F.lit(PARTS_PER_SPLIT)
+    cell = _cell("time", instant, parts)
+    undated = F.lit(LAST_CELL)
+    if id_column is not None:
+        undated = F.lit(SEGMENTS * PARTS) + F.coalesce(_cell("id", F.col(id_column), parts), F.lit(0))
     return df.join(F.broadcast(extents), key, "left").select(
-        df["*"], F.when(F.col("is_large"), F.coalesce(cell, F.lit(LAST_CELL))).alias("time_cell")
+        *[df[name] for name in df.columns],
+        F.when(F.col("key_rows").isNotNull(), F.coalesce(cell, undated)).alias("time_cell"),
     )
 
 
+def _limits(name: str, value: Column, fractions: Column) -> list[Column]:
+    """Aggregates of fixed size: the borders between segments, and the first and last value."""
+    return [
+        F.percentile_approx(value, fractions, ACCURACY).alias(f"{name}_borders"),
+        F.min(value).alias(f"{name}_first"),
+        F.max(value).alias(f"{name}_last"),
+    ]
+
+
+def _cell(name: str, value: Column, parts: Column) -> Column:
+    """Segment and part of a value, as a number that never falls as the value grows."""
+    borders = F.col(f"{name}_borders")
+    segment = F.size(F.filter(borders, lambda border: border < value))
+    low = F.coalesce(F.get(borders, segment - 1), F.col(f"{name}_first")).cast("double")
+    high = F.coalesce(F.get(borders, segment), F.col(f"{name}_last")).cast("double")
+    part = F.floor((value.cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * parts)
+    return F.when(value.isNotNull(), segment.cast("long") * F.lit(PARTS) + F.least(part, parts - 1))
+
+
 def all_present(keys: list[str]) -> Column:
     """Whether none of the key columns is NULL."""
     present = F.lit(True)

@@ -166,10 +166,11 @@ def state_changes(
     A vehicle with more than ``split_rows`` transitions is cut into time cells
     (``time_cell``; NULL for all others). Windows run per cell, and what they need from
     earlier cells comes from a summary with one row per cell and city: the category before
-    the cell, and per city the number of changes (``changes_before``).
+    the cell, and per city the number of changes (``changes_before``) and that of all cells
+    (``changes_all``), which states without a start share.
     """
     unit = _lag_unit(semantics)
-    celled = with_time_cells(transitions, "vehicle_id", "started_at", split_rows)
+    celled = with_time_cells(transitions, "vehicle_id", "started_at", split_rows, "id")
     zones = systems.select(F.col("id").alias("system_id"), "time_zone")
     fleet = vehicles.where(F.col("vehicle_kind_name") == kind).select(F.col("id").alias("vehicle_id"))
     now_there = F.convert_timezone(F.lit("UTC"), F.col("time_zone"), local_time(period.as_of))
@@ -213,11 +214,12 @@ def state_changes(
         "ended_at",
         "time_cell",
         "changes_before",
+        "changes_all",
     )
 
 
 def _cell_summary(within: DataFrame, unit: list[str]) -> DataFrame:
-    """Per time cell of a large vehicle: ``category_before``, and ``changes_before`` as a map by city."""
+    """Per time cell of a large vehicle: ``category_before``; ``changes_before``, ``changes_all`` as maps by city."""
     u = ", ".join(unit)
     return within.sparkSession.sql(
         f"""
@@ -250,11 +252,13 @@ def _cell_summary(within: DataFrame, unit: list[str]) -> DataFrame:
         ),
         accumulated AS (
           SELECT *, coalesce(sum(changes) OVER (PARTITION BY vehicle_id, city ORDER BY time_cell
-                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                 sum(changes) OVER (PARTITION BY vehicle_id, city) AS total
           FROM counted
         )
         SELECT {u}, time_cell, first(category_before) AS category_before,
-               map_from_entries(collect_list(struct(city, before))) AS changes_before
+               map_from_entries(collect_list(struct(city, before))) AS changes_before,
+               map_from_entries(collect_list(struct(city, total))) AS changes_all
         FROM accumulated GROUP BY {u}, time_cell
         """,
         within=within,
@@ -272,7 +276,9 @@ def numbered_changes(changes: DataFrame) -> DataFrame:
     # The default RANGE frame, which includes all rows of the same instant.
     so_far = Window.partitionBy("vehicle_id", "time_cell", "system_id").orderBy(F.asc_nulls_last("started_at"))
     before = F.coalesce(F.try_element_at("changes_before", F.col("system_id")), F.lit(0))
-    return changes.select("*", (F.sum(changed).over(so_far) + before).alias("period"))
+    number = F.sum(changed).over(so_far) + before
+    undated = F.coalesce(F.try_element_at("changes_all", F.col("system_id")), number)
+    return changes.select("*", F.when(F.col("started_at").isNull(), undated).otherwise(number).alias("period"))
 
 
 def state_periods(changes: DataFrame) -> DataFrame:

@@ -330,6 +330,46 @@ def test_a_large_vehicle_is_cut_into_small_cells(spark):
     assert cells.count() == 30_000
 
 
+def test_odd_times_do_not_fill_a_cell(spark):
+    """One state in 1970, one in 9999, and a tenth without a start."""
+    start = at("2020-09-01 00:00:00")
+    even = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") % 20_000).cast("int"))
+    odd = F.when(F.col("id") == 0, F.lit("1970-01-01")).when(F.col("id") == 1, F.lit("9999-12-31"))
+    moment = F.when(F.col("id") % 10 != 5, F.coalesce(odd.cast("timestamp_ntz"), even))
+    df = spark.range(20_000).select(F.lit(0).alias("vehicle_id"), "id", moment.alias("at"))
+    cells = with_time_cells(df, "vehicle_id", "at", 100, "id")
+    sizes = [r["count"] for r in cells.groupBy("time_cell").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 200
+    # Cells follow each other in time, and rows without a start come after all others.
+    spans = cells.groupBy("time_cell").agg(F.min("at").alias("a"), F.max("at").alias("b"), F.min("id").alias("c")).orderBy("time_cell")
+    rows = spans.collect()
+    assert all(x.b < y.a for x, y in zip(rows, rows[1:]) if x.b and y.a)
+    assert [r.a is None for r in rows] == sorted(r.a is None for r in rows)
+
+
+@pytest.mark.parametrize("semantics", ["reference", "corrected"])
+def test_states_without_a_start_share_a_number_when_split(spark, semantics):
+    rng = random.Random(4)
+    rows = [
+        dict(
+            id=i,
+            vehicle_id=rng.choice([1, 1, 2]),
+            system_id=rng.choice(["city", "other"]),
+            started_at=None if i % 3 == 0 else at("2020-09-01 00:00:00") + timedelta(hours=rng.randrange(500)),
+            **rng.choice([BLOCKED, DISCHARGED, {}]),
+        )
+        for i in range(150)
+    ]
+    found = []
+    for split_rows in (4, 1_000_000):
+        changes = _changes(
+            spark, rows, fleet=(1, 2), cities=({}, dict(id="other", time_zone="Asia/Tokyo")), semantics=semantics, split_rows=split_rows
+        )
+        numbered = states.numbered_changes(changes).select("id", "last_operationality_category", "period")
+        found.append(sorted(map(tuple, numbered.collect())))
+    assert found[0] == found[1]
+
+
 def test_repeated_rows_with_one_id_give_the_same_numbers_when_split(spark):
     start = at("2020-09-01 00:00:00")
     rows = [

@@ -147,11 +147,11 @@ def vehicle_service(spark, sf):
 
 
 def state_changes(spark, sf):
-    return _changes(spark, sf).drop("time_cell", "changes_before")
+    return _changes(spark, sf).drop("time_cell", "changes_before", "changes_all")
 
 
 def state_changes_split(spark, sf):
-    return _changes(spark, sf, split_rows=SMALL_SPLIT).drop("time_cell", "changes_before")
+    return _changes(spark, sf, split_rows=SMALL_SPLIT).drop("time_cell", "changes_before", "changes_all")
 
 
 def state_periods(spark, sf):
