@@ -1,8 +1,10 @@
 """Every registered query against its DuckDB SQL, on the smallest sample tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from verification import bindings
 from verification.compare import difference
 from verification.oracles import ORACLES
 from verification.queries import registry
@@ -22,3 +24,8 @@ def test_query_equals_its_sql(spark, name):
 
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() == 10
+
+
+def test_sample_vehicles_move_between_cities(spark):
+    cities = bindings.transitions(spark, SF_DIR).groupBy("vehicle_id").agg(F.count_distinct("system_id").alias("cities"))
+    assert cities.where("cities > 1").count() > 0
