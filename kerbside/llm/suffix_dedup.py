@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import checkpointed, ragged, slices, text_bytes, text_chunks, two_columns
+from kerbside.llm.common import checkpointed, ragged, slices, text_bytes, text_chunks, trimmed, two_columns
 from kerbside.llm.suffixes import Hashed, repeated_windows
 
 LENGTH = 200
@@ -42,7 +42,7 @@ HOT = 2000
 #: Hot anchors, and hot runs, that may be broadcast: 32 MB at most.
 LISTED = 1 << 20
 #: Text whose runs are found at once; some hundred bytes of memory go with each of its bytes.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 #: Windows sorted at once.
 SORTED = 1 << 18
 
@@ -150,7 +150,7 @@ def anchors_of(rows: DataFrame, length: int) -> DataFrame:
             for _, _, texts in text_chunks(batch):
                 yield _batch(anchor=_long(runs(texts, length, digests=False)["anchor"]))
 
-    return rows.select("text").mapInArrow(run, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
+    return rows.select("text").mapInArrow(trimmed(run), "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
 
 
 def run_rows(rows: DataFrame, length: int, hot, listed=None) -> DataFrame:
@@ -184,7 +184,7 @@ def run_rows(rows: DataFrame, length: int, hot, listed=None) -> DataFrame:
                         g[decided] = rid[decided]
                 yield _batch(anchor=anchor, whole=whole, rid=rid, pos=pos, kind=kind, g=g)
 
-    return rows.select("rid", "text").mapInArrow(run, "anchor long, whole long, rid long, pos long, kind byte, g long")
+    return rows.select("rid", "text").mapInArrow(trimmed(run), "anchor long, whole long, rid long, pos long, kind byte, g long")
 
 
 def classify(dealt: DataFrame) -> DataFrame:
@@ -207,7 +207,7 @@ def classify(dealt: DataFrame) -> DataFrame:
                 yield _batch(rid=rid[rows], pos=pos[rows], anchor=anchor[rows], what=np.full(n, what, np.int8))
 
     ordered = dealt.repartition("g").sortWithinPartitions("g", "anchor", "whole", "rid", "pos")
-    return ordered.mapInArrow(run, "rid long, pos long, anchor long, what byte")
+    return ordered.mapInArrow(trimmed(run), "rid long, pos long, anchor long, what byte")
 
 
 def fragments(asked: DataFrame, length: int) -> DataFrame:
@@ -253,7 +253,7 @@ def fragments(asked: DataFrame, length: int) -> DataFrame:
             kind = np.where(new[s], SALTED, DECIDED).astype(np.int8)
             yield _batch(g=g[s], kind=kind, place=np.minimum(times[s], 2), rid=rid[s], start=start[s], bytes=taken)
 
-    return asked.mapInArrow(run, "g long, kind byte, place long, rid long, start long, bytes binary")
+    return asked.mapInArrow(trimmed(run), "g long, kind byte, place long, rid long, start long, bytes binary")
 
 
 def repeated_spans(parts: DataFrame, length: int) -> DataFrame:
@@ -307,7 +307,7 @@ def repeated_spans(parts: DataFrame, length: int) -> DataFrame:
             done = kind == DECIDED
             yield _batch(rid=rid[done], span=start[done] << 24 | length)
 
-    return parts.repartition("g").sortWithinPartitions("g", "kind").mapInArrow(run, "rid long, span long")
+    return parts.repartition("g").sortWithinPartitions("g", "kind").mapInArrow(trimmed(run), "rid long, span long")
 
 
 def cut_out(text: bytes, spans: np.ndarray) -> tuple[bytes, int, int]:
@@ -409,4 +409,4 @@ def remove_repeats(
         schema = schema.add("kept", "binary").add("kept_text", "string")
     if carry:
         schema = schema.add(rows.schema["row"])
-    return rows.join(spans, "rid", "left").select(*rows.columns, "spans").mapInArrow(finish, schema)
+    return rows.join(spans, "rid", "left").select(*rows.columns, "spans").mapInArrow(trimmed(finish), schema)
