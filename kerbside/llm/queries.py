@@ -32,7 +32,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_by_bytes(read_table(spark, sf_dir, "documents"))
+    return shard_by_bytes(read_table(spark, sf_dir, "documents"), carry=True).drop("row")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ once: each round counts the exact bytes and rows below a set of candidate keys,
 partition and then summed, and narrows each splitter's bracket to the two candidates around
 its target. It ends when every splitter is within tolerance, or no row is left inside its
 bracket. The counts below the final splitters give each bin's first slot, so rows are
-exchanged once, by bin, and numbered within bins.
+exchanged once, by bin, and numbered within bins. Carried rows are exchanged whole, and their
+sizes and checksums are those of the texts that arrive.
 
 A group of equal texts is cut by a shard's border only where keeping it whole would move the
 border by more than ``SNAP`` of a shard.
@@ -18,13 +19,16 @@ an empty table gives no rows; other columns are ignored unless carried.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from kerbside.llm.common import checkpointed
+from kerbside.llm.common import checkpointed, text_chunks
 
 SHARDS = 16
 #: Share of a shard's bytes by which its borders may miss.
@@ -123,6 +127,23 @@ def splitters(keys: DataFrame, shards: int, bins: int) -> tuple[np.ndarray, np.n
     return chosen, counts_below(keys, probes)[1][np.searchsorted(probes, chosen)]
 
 
+def arrived(rows: DataFrame, text_col: str) -> DataFrame:
+    """The rows with size and text_crc32 of the text in ``row``, which thereby is needed whole."""
+
+    def run(batches):
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([pc.struct_field(batch.column("row"), text_col).cast(pa.string())], names=["text"])
+            sizes, sums = [], []
+            for _, _, data in text_chunks(texts):
+                sizes += [len(t) + 1 for t in data]
+                sums += [zlib.crc32(t) for t in data]
+            made = {"size": pa.array(sizes, pa.int64()), "text_crc32": pa.array(sums, pa.int64())}
+            names = batch.schema.names
+            yield pa.RecordBatch.from_arrays([made.get(n, batch.column(n)) for n in names], names=names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def shard_by_bytes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, carry: bool = False
 ) -> DataFrame:
@@ -149,7 +170,8 @@ def shard_by_bytes(
     schema = StructType([*table.schema.fields, StructField("bin", LongType()), StructField("first", LongType())])
     binned = table.mapInArrow(run, schema)
     order = Window.partitionBy("bin").orderBy("key", "doc_id", "text_crc32", "size")
-    return binned.withColumn("place", F.row_number().over(order)).select(
+    numbered = binned.withColumn("place", F.row_number().over(order))
+    return (arrived(numbered, text_col) if carry else numbered).select(
         "doc_id",
         "size",
         "text_crc32",

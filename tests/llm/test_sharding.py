@@ -1,5 +1,6 @@
 """Shards against sorting all rows at once."""
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 
 from kerbside.llm import sharding
+from kerbside.llm.queries import op4_sharding
 from kerbside.llm.sharding import shard_by_bytes, sized
 
 
@@ -73,3 +75,24 @@ def test_carried_rows(spark):
     docs = spark.createDataFrame([(1, "a", "k")], "doc_id long, text string, slot string")
     row = shard_by_bytes(docs, carry=True).first()
     assert row.row.slot == "k" and row.row.text == "a" and row.slot == 0
+
+
+def test_carried_rows_are_sized_as_they_arrive(spark):
+    rows = [(1, "a"), (1, "a"), (None, None), (None, ""), (2, "é" * 100_000), *[(i, f"text {i // 3}") for i in range(500)]]
+    docs = spark.createDataFrame(rows, "doc_id long, body string")
+    found = shard_by_bytes(docs, text_col="body", carry=True).collect()
+    assert sorted(((r.row.doc_id, r.row.body) for r in found), key=str) == sorted(rows, key=str)
+    for r in found:
+        data = (r.row.body or "").encode()
+        assert (r.doc_id, r.size, r.text_crc32) == (r.row.doc_id, len(data) + 1, zlib.crc32(data))
+    same = {(r.doc_id, r.text_crc32, r.shard, r.slot) for r in shard_by_bytes(docs, text_col="body").collect()}
+    assert {(r.doc_id, r.text_crc32, r.shard, r.slot) for r in found} == same
+
+
+def test_the_query_exchanges_whole_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    node = op4_sharding(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Window":
+        node = node.children().apply(0)
+    numbered = {a.name(): a.dataType().json() for a in (node.output().apply(i) for i in range(node.output().size()))}
+    assert [f["name"] for f in json.loads(numbered["row"])["fields"]] == docs.columns
