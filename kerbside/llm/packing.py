@@ -1,10 +1,11 @@
 """Token ids packed into rows of fixed capacity, best fit decreasing.
 
-Texts are encoded by the public tokenizer library in the task that reads them. Ids of texts longer than a row
-are split, without loss, into full rows and a rest. A block of at most about
-``BLOCK_TOKENS`` tokens is packed at a time: its segments, longest first, each go into the
+Texts are dealt by a hash into blocks of some ``BLOCK_BYTES``, ordered by the hash, and encoded by
+the public tokenizer library in the task that packs them. Ids of texts longer than a row
+are split, without loss, into full rows and a rest. A block is packed by itself, at most about
+``BLOCK_TOKENS`` tokens at a time: its segments, longest first, each go into the
 open row with the least room that still suffices, found in a segment tree over room sizes.
-Nothing is shuffled, and a block is bounded whatever the table holds.
+So rows depend on the texts and not on the partitions, and what is held is bounded whatever the table holds.
 
 Defined cases: a null or empty text has no tokens and stands in no row; a null id is kept as
 null in ``doc_ids``; repeated rows are packed each; text that looks like a special token is
@@ -16,13 +17,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from kerbside.llm.bpe import load_ranks
 from kerbside.llm.common import text_chunks, two_columns
 
 CAPACITY = 2048
+#: Text dealt to a block.
+BLOCK_BYTES = 4 << 20
 BLOCK_TOKENS = 4 << 20
 #: Two bytes hold an id of up to this.
 SMALL_IDS = 1 << 16
@@ -113,7 +116,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     def run(batches):
         ranks = {token: rank for rank, token in enumerate(sent.value)}
         encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        number = TaskContext.get().partitionId() << 32
+        number = block = None
         ids, parts, held = [], [], 0
 
         def out():
@@ -155,9 +158,13 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         id_type = None
         for batch in batches:
             id_type = batch.column(0).type
-            names = batch.column(0).to_pylist()
+            names, blocks = batch.column(0).to_pylist(), batch.column("block").to_pylist()
             for begin, end, texts in text_chunks(batch):
-                for name, text in zip(names[begin:end], texts, strict=True):
+                for name, own, text in zip(names[begin:end], blocks[begin:end], texts, strict=True):
+                    if own != block:
+                        if ids:
+                            yield from out()
+                        number, block = own << 32, own
                     ids.append(name)
                     parts.append(encoding.encode_to_numpy(text.decode(), disallowed_special=()).astype(kind))
                     held += len(parts[-1])
@@ -167,7 +174,11 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             yield from out()
 
     name = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n_blocks = max(1, -(-total // BLOCK_BYTES))
+    keyed = rows.withColumn("place", F.xxhash64("doc_id", "text")).withColumn("block", F.pmod("place", F.lit(n_blocks)))
+    dealt = keyed.repartition("block").sortWithinPartitions("block", "place")
+    return dealt.select("doc_id", "text", "block").mapInArrow(
         run,
         f"row_id long, n_tokens int, doc_ids array<{name}>, offsets array<long>, cu_seqlens array<int>, ids binary, position_ids binary",
     )

@@ -86,3 +86,14 @@ def test_empty_table_and_null_id(spark):
     docs = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
     assert pack(docs, RANKS, public_tokenizers.PATTERN).first().doc_ids == [None]
     assert pack(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_rows_depend_on_the_texts_and_not_on_the_partitions(spark):
+    random.seed(5)
+    docs = spark.createDataFrame([(i, "w x yz " * random.randrange(1, 90)) for i in range(300)], "doc_id long, text string")
+    one, many = (
+        {r.row_id: (r.doc_ids, r.offsets, bytes(r.ids)) for r in pack(docs.repartition(n), RANKS, public_tokenizers.PATTERN).collect()} for n in (1, 64)
+    )
+    assert one == many
+    rows = pack(docs.repartition(64), RANKS, public_tokenizers.PATTERN).collect()
+    assert sum(r.n_tokens for r in rows) > 0.95 * 2048 * (len(rows) - 1)
