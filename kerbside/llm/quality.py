@@ -27,7 +27,10 @@ THRESHOLD = 0.3
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``max_rows`` labelled documents outside the held-out fold."""
+    """Features and labels of at most ``max_rows`` labelled documents outside the held-out fold.
+
+    Of rows with one id, the one with the smallest text counts, so an id's rows never come to the driver together.
+    """
     known = (
         labels.select(labels["doc_id"].alias("doc_id"), labels[label].alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (crc_mod("doc_id", HELD_OUT_OF) != 0))
@@ -36,7 +39,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    rows = docs.join(F.broadcast(known), "doc_id").select("doc_id", "text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
 
     def run(batches):
         for batch in batches:

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from kerbside.llm.quality import apply_rules, classify
+from kerbside.llm.quality import apply_rules, classify, labelled_sample
 from kerbside.llm.statistics import repeated_words, statistics
 from kerbside.llm.trees import train
 
@@ -113,3 +113,11 @@ def test_odd_labels_and_empty_table(spark):
 
 def test_statistics_of_no_text():
     assert statistics([b""])["words"].tolist() == [0]
+
+
+def test_the_sample_holds_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i % 3}", "own") for i in range(300)], "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, quality int")
+    x, y = labelled_sample(docs, labels, "quality", 100)
+    ids = [i for i in range(3) if zlib.crc32(str(i).encode()) % 5]
+    assert len(x) == len(y) == len(ids) and y.tolist() == [i % 2 for i in ids]
