@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -39,10 +40,12 @@ def two_columns(table: DataFrame, id_col: str, text_col: str, carry: bool = Fals
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder the cluster names; a temporary one only where it names none."""
+    """Checkpoints go to the folder the cluster names; a temporary one only where all runs on one machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if folder is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
 
 

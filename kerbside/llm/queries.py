@@ -11,11 +11,14 @@ from kerbside.llm.common import read_table
 from kerbside.llm.decontaminate import decontaminate
 from kerbside.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, block_words, needed_words, scan_licenses, template_words
 from kerbside.llm.maxent import score_texts
+from kerbside.llm.merkle import FIELDS, verify
 from kerbside.llm.packing import pack
 from kerbside.llm.quality import apply_rules, classify
 from kerbside.llm.sharding import shard_by_bytes
 from kerbside.llm.simhash import near_duplicates
 from kerbside.llm.suffix_dedup import remove_repeats
+from kerbside.llm.toxicity import score_toxicity
+from kerbside.llm.whitening import whiten
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify(read_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -73,6 +88,9 @@ QUERIES = {
     "op8_token_packing": op8_token_packing,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
+    "op11_toxicity": op11_toxicity,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -93,7 +111,64 @@ _TEMPLATE_WORDS = [
     for w in sorted(set(words))
 ]
 
+#: crc32 of a text: a byte is mixed in, then eight shifts, which 256 stands for.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::UBIGINT, flatten(list_transform(range(1, length({0}) + 1),
+        lambda i: [ord({0}[i])::UBIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))),
+    lambda c, x: CASE WHEN x < 256 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(f) for f in FIELDS) + ")"
+_TAMPERED = _LEAF.replace("n_chars", "(n_chars + 1)")
+
+
+def _levels(leaves: str, name: str) -> str:
+    """Nodes of every level of the trees of ``leaves`` (tree, pos, node), pos counted from 0."""
+    return f"""{name}(tree, level, pos, node, n) AS (
+        SELECT tree, 0, pos, node, count(*) OVER (PARTITION BY tree) FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (n + 1) // 2
+        FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 2, n)"""
+
+
+def _proofs(nodes: str, name: str) -> str:
+    """The siblings of every leaf level by level: where each stands (1 left, 2 right, 0 none), and its digest."""
+    return f"""{name} AS (
+        SELECT leaf.tree, leaf.pos, list(struct_pack(side := CASE WHEN s.node IS NULL THEN 0 ELSE 2 - (up.pos & 1) END, node := s.node)
+            ORDER BY up.level) AS steps
+        FROM {nodes} AS leaf JOIN {nodes} AS up ON up.tree = leaf.tree AND up.pos = leaf.pos >> up.level AND up.n > 1
+        LEFT JOIN {nodes} AS s ON s.tree = up.tree AND s.level = up.level AND s.pos = xor(up.pos, 1)
+        WHERE leaf.level = 0 GROUP BY leaf.tree, leaf.pos)"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE doc AS (
+            SELECT doc_id, lang, {_LEAF} AS leaf,
+                   CASE WHEN {_CRC.format("(doc_id::VARCHAR)")} % 7 = 0 THEN {_TAMPERED} ELSE {_LEAF} END AS altered
+            FROM documents),
+        leaf AS (
+            SELECT *, coalesce('1' || lang, '0') AS tree, leaf AS node,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM doc),
+        {_levels("leaf", "nodes")},
+        {_proofs("nodes", "proofs")},
+        top AS (SELECT '' AS tree, tree AS name, node, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes WHERE n = 1),
+        {_levels("top", "tops")},
+        {_proofs("tops", "above")},
+        proven AS (
+            SELECT doc_id, leaf, altered, top.node AS subroot, (SELECT node FROM tops WHERE n = 1) AS root,
+                   coalesce(proofs.steps, []) || coalesce(above.steps, []) AS steps
+            FROM leaf JOIN top ON top.name = leaf.tree
+            LEFT JOIN proofs ON proofs.tree = leaf.tree AND proofs.pos = leaf.pos LEFT JOIN above ON above.pos = top.pos),
+        folded AS (
+            SELECT *, row_number() OVER () AS r, list_reduce(
+                list_prepend(struct_pack(side := 0, node := altered), steps),
+                lambda a, s: struct_pack(side := 0, node := sha256(
+                    CASE s.side WHEN 0 THEN a.node WHEN 1 THEN s.node || a.node ELSE a.node || s.node END))).node AS folded_root
+            FROM proven)
+        SELECT doc_id, leaf, subroot, root,
+               sha256(coalesce(array_to_string(list_filter(list_transform(steps, lambda s: s.node), lambda d: d IS NOT NULL), ''), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folded""",
     "op10_license_scan": f"""
         WITH phrase(phrase, label, k, word, size) AS (VALUES {_rows(_PHRASE_WORDS)}),
         template(template, label, word, block, size, needed) AS (VALUES {_rows(_TEMPLATE_WORDS)}),

@@ -1,0 +1,99 @@
+"""The factorization machine against sums over all pairs, an interaction, and held-out labels."""
+
+import random
+import zlib
+
+import numpy as np
+
+from kerbside.llm import toxicity
+from kerbside.llm.toxicity import Machine, hashed_terms, score_toxicity, train
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def test_terms_are_words_and_beginnings():
+    def buckets(text):
+        return set(hashed_terms([text.encode()]).buckets.tolist())
+
+    assert len(buckets("short")) == 1
+    assert len(buckets("longword")) == 4  # the word and its first 5, 6 and 7 bytes
+    assert buckets("Longword, LONGWORD!") == buckets("longword")
+    assert len(buckets("longword") & buckets("longwords")) == 3
+    assert not buckets("longw") & buckets("longword")
+    x = hashed_terms([b"", b"a a b", b"   ", b"a"])
+    assert np.diff(x.starts).tolist() == [0, 2, 0, 1]
+    assert sorted(x.values[:2].tolist()) == sorted((np.log1p([2, 1]) / np.linalg.norm(np.log1p([2, 1]))).astype(np.float32).tolist())
+
+
+def test_terms_of_a_text_do_not_depend_on_its_neighbours():
+    texts = [b"one two three threefold", b"", b"two", "é ü words".encode()] * 3
+    together = hashed_terms(texts)
+    for i, text in enumerate(texts):
+        alone, row = hashed_terms([text]), slice(together.starts[i], together.starts[i + 1])
+        assert together.buckets[row].tolist() == alone.buckets.tolist()
+        assert together.values[row].tolist() == alone.values.tolist()
+
+
+def test_margin_as_a_sum_over_all_pairs():
+    rng = np.random.default_rng(2)
+    x = hashed_terms([b"a b c d", b"b b longerword", b""], 6)
+    machine = Machine(0.3, rng.random(64).astype(np.float32), rng.normal(size=64), rng.normal(size=(64, 3)))
+    for i, margin in enumerate(machine.margin(x)):
+        own = [(b, v * machine.weights[b]) for b, v in zip(x.buckets[x.starts[i] : x.starts[i + 1]], x.values[x.starts[i] : x.starts[i + 1]], strict=True)]
+        plain = 0.3 + sum(machine.linear[b] * v for b, v in own)
+        plain += sum(machine.factors[a] @ machine.factors[b] * v * w for k, (a, v) in enumerate(own) for b, w in own[:k])
+        assert abs(margin - plain) < 1e-5
+
+
+def test_terms_that_count_only_together():
+    random.seed(1)
+    texts, y = [], []
+    for i in range(1200):
+        words = [random.choice("abcdefghijklmnop") + str(random.randrange(30)) for _ in range(20)]
+        words += ["insultx"] * (i & 1) + ["groupy"] * (i >> 1 & 1)
+        random.shuffle(words)
+        texts.append(" ".join(words).encode())
+        y.append(float((i & 1) == (i >> 1 & 1)))
+    x, y = hashed_terms(texts), np.array(y)
+    learned, kept = np.arange(900), np.arange(900, 1200)
+
+    def accuracy(**how):
+        return ((train(x.take(learned), y[learned], **how).score(x.take(kept)) >= 0.5) == (y[kept] == 1)).mean()
+
+    assert accuracy() > 0.9
+    assert accuracy(factors=0) < 0.6  # weights of single terms cannot tell
+
+
+def test_held_out_labels(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    found = {r.doc_id: r for r in score_toxicity(docs, labels).collect()}
+    assert len(found) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found.values())
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in found.values())
+    known = [(r.toxic, found[r.doc_id].predicted) for r in labels.collect() if found[r.doc_id].held_out]
+    toxic, clean = ([p for t, p in known if t == label] for label in (1, 0))
+    # Some 4 % of the toxic labels are on texts without any toxic word.
+    assert len(toxic) > 80 and np.mean(toxic) > 0.9 and np.mean(clean) < 0.01
+
+
+def test_odd_rows_and_labels(spark):
+    docs = spark.createDataFrame(
+        [(1, "a", 0.5, 1), (1, "a", 0.5, 1), (None, None, 0.5, 1), (3, "", 0.5, 1), (4, "word " * 300_000, 0.5, 1)],
+        "doc_id long, text string, score double, label int",
+    )
+    labels = spark.createDataFrame([(1, 0, None), (None, 0, 1), (4, 0, 1), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    out = score_toxicity(docs, labels)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert out.count() == 5
+    assert score_toxicity(docs.limit(0), labels).count() == 0
+    assert score_toxicity(docs, labels.limit(0)).where("predicted = 1").count() == 0
+
+
+def test_the_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i // 2, f"text {i}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, toxic int")
+    x, y = toxicity.labelled_terms(docs, labels, max_rows=20)
+    assert len(x) == len(y) == 20
+    x, y = toxicity.labelled_terms(docs, labels)
+    assert len(x) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(150))
