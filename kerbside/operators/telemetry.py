@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import EXACT_TYPE, LATITUDE, LONGITUDE, check_bad, coordinate, is_bad, location_axis
@@ -23,6 +23,7 @@ def waypoints(
     system_id: str | None = None,
     bucket_ms: int = QUARTER_HOUR_MS,
     bad_coordinates: str = "fail",
+    bad_counts: Observation | None = None,
 ) -> DataFrame:
     """``trip_id, lat, lon, time``: location points sent during valid trips begun in the period.
 
@@ -35,7 +36,8 @@ def waypoints(
     once at each level of its device. AQE splits what is still too large.
 
     Impossible coordinates fail the query, or with ``bad_coordinates="null"`` become NULL;
-    :func:`location_overflows` counts them.
+    :func:`location_overflows` counts them. So does ``bad_counts``, while the points are
+    written; parts that Spark computes again after a loss may count again.
     """
     check_bad(bad_coordinates)
     widths = F.array(*[F.lit(bucket_ms * LEVEL_FACTOR**level).cast("long") for level in range(LEVELS)])
@@ -48,9 +50,11 @@ def waypoints(
         "level",
         F.explode(F.sequence(F.expr("started_at_ms div width"), F.expr("ended_at_ms div width"))).alias("bucket"),
     )
+    located = _during(telemetry, trips, period)
+    if bad_counts is not None:
+        located = located.select("deviceid", "ts_ms", "fields", "levels").observe(bad_counts, *_bad_locations())
     points = (
-        _during(telemetry, trips, period)
-        .select(
+        located.select(
             "deviceid",
             "ts_ms",
             *[
@@ -85,11 +89,14 @@ def location_overflows(
 ) -> DataFrame:
     """One row: impossible coordinates among the points of devices with trips, between their first and last."""
     trips = _begun(spans, period, system_id).withColumn("level", F.lit(0))
-    fields = F.col("fields")
-    return _during(telemetry, trips, period).agg(
-        F.count_if(is_bad(location_axis(fields, 1), LATITUDE)).alias("lat"),
-        F.count_if(is_bad(location_axis(fields, 0), LONGITUDE)).alias("lon"),
-    )
+    return _during(telemetry, trips, period).agg(*_bad_locations())
+
+
+def _bad_locations() -> list[Column]:
+    return [
+        F.count_if(is_bad(location_axis(F.col("fields"), axis), limit)).alias(name)
+        for name, axis, limit in (("lat", 1, LATITUDE), ("lon", 0, LONGITUDE))
+    ]
 
 
 def _begun(spans: DataFrame, period: ReportPeriod, system_id: str | None) -> DataFrame:

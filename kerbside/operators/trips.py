@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import LATITUDE, LONGITUDE, METERS_PER_MILE, coordinate, is_bad, miles, moment_like
@@ -12,8 +12,14 @@ from kerbside.period import ReportPeriod
 UNCHARGED_STATES = ("canceled", "refunded")
 SHORTEST_TRIP_SECONDS = 120
 
-# Cells of length per factor of e, over about a meter.
-CELLS = 256
+# Error of the rank sketch: one row in this many.
+RANK_ACCURACY = 10_000
+# Groups of up to so many lengths are held whole by their sketch.
+EXACT_ROWS = RANK_ACCURACY // 2 - 1
+# Bounds lie so many times the error away from the middle.
+BOUND_RANKS = 3
+# Parts in which a large group's trips meet its bounds; few beside its EXACT_ROWS trips.
+SALTS = 64
 
 # Exported name: source column and the largest degrees there are.
 COORDINATES = {
@@ -46,10 +52,11 @@ def valid_trips(trips: DataFrame, system_id: str | None = None) -> DataFrame:
 
 def in_period(df: DataFrame, column: str, period: ReportPeriod) -> DataFrame:
     """Rows whose ``column`` lies in the period: a half-open range, so scans can skip data."""
-    return df.where(
-        (F.col(column) >= moment_like(df, column, period.start))
-        & (F.col(column) < moment_like(df, column, period.end))
-    )
+    return df.where(_within(df, column, period))
+
+
+def _within(df: DataFrame, column: str, period: ReportPeriod) -> Column:
+    return (F.col(column) >= moment_like(df, column, period.start)) & (F.col(column) < moment_like(df, column, period.end))
 
 
 def trip_stats(
@@ -61,68 +68,125 @@ def trip_stats(
     """Count, mean, exact median and sample deviation of trip length in miles per ``keys``.
 
     ``length_count`` counts the trips that have a length. A NULL key forms a group, but
-    its median is NULL.
+    its median is NULL. NaN is left out of the median and makes mean and deviation NaN;
+    an infinite length is a length.
+    """
+    rows = valid.select(*keys, "id", F.col("distance_in_meters").alias("meters"))
+    return length_stats(rows, keys).select(*keys, *in_miles(meters_per_mile, median_meters_per_mile))
+
 
-    Trips are combined per key and length before they are exchanged. Lengths fall into
-    cells that grow with them, so a key of any size spreads over tasks. Counts, means and
-    squared differences of the cells merge into those of the key; the cells also tell
-    which one or two hold the middle ranks, and only those are ranked.
+def in_miles(meters_per_mile: float = METERS_PER_MILE, median_meters_per_mile: float | None = None) -> list[Column]:
+    """The statistics' columns in miles, from those of :func:`length_stats`."""
+    lower, upper = (miles(F.col(name), median_meters_per_mile or meters_per_mile) for name in ("lower_meters", "upper_meters"))
+    return [
+        F.col("num_trips"),
+        F.col("length_count"),
+        miles(F.col("mean_meters"), meters_per_mile).alias("mean_trip_length"),
+        ((lower + upper) / 2).alias("median_trip_length"),
+        miles(F.col("std_meters"), meters_per_mile).alias("std_trip_length"),
+    ]
+
+
+def report_stats(trips: DataFrame, period: ReportPeriod, system_id: str | None = None) -> DataFrame:
+    """The statistics of three reports from one scan of the trips: ``report, key`` and :func:`length_stats`.
+
+    ``report`` is ``users``, ``vehicles`` (trips without a vehicle left out) or ``total``,
+    ``key`` the user's or vehicle's id as text, NULL for the total, which has no median. A
+    trip counts for users and vehicles by its date, for the total by its start.
     """
-    median_meters_per_mile = median_meters_per_mile or meters_per_mile
-    k = ", ".join(f"`{key}`" for key in keys)
-    present = " AND ".join(f"moments.`{key}` IS NOT NULL" for key in keys)
-    # Null-safe, as a filter for present keys in one branch would part its scan from the others'.
-    same = lambda left, right, names: " AND ".join(f"{left}.`{name}` <=> {right}.`{name}`" for name in names)
-    return valid.sparkSession.sql(
+    valid = valid_trips(trips, system_id)
+    dated, started = (_within(trips, column, period) for column in ("system_date", "system_started_at"))
+    member = [
+        F.when(dated, F.struct(F.lit("users").alias("report"), F.col("user_id").cast("string").alias("key"))),
+        F.when(
+            dated & F.col("vehicle_id").isNotNull(),
+            F.struct(F.lit("vehicles").alias("report"), F.col("vehicle_id").cast("string").alias("key")),
+        ),
+        F.when(started, F.struct(F.lit("total").alias("report"), F.lit(None).cast("string").alias("key"))),
+    ]
+    rows = valid.where(dated | started).select(
+        F.inline(F.array_compact(F.array(*member))), "id", F.col("distance_in_meters").alias("meters")
+    )
+    return length_stats(rows, ["report", "key"])
+
+
+def length_stats(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per ``keys``: ``num_trips, length_count, mean_meters, std_meters, lower_meters, upper_meters``.
+
+    ``rows`` has the keys, ``id`` and ``meters``; the last two results are the two middle
+    lengths (one and the same of an odd number), NULL where a key is.
+
+    One aggregation gives counts, moments and a mergeable sketch of ranks. The sketch of a
+    group of up to ``EXACT_ROWS`` lengths holds them all, so its middle is exact. That of a
+    larger group gives two bounds between which its middle must lie; the group's trips
+    below them are counted, and only those between them are ranked. Trips meet their bounds
+    in ``SALTS`` parts per group, so that a group of any size spreads. Before that they
+    meet the list of parts, which is empty if no group is large: then the adaptive plan
+    drops the second look before it has read anything.
+    """
+    low, high = 0.5 - BOUND_RANKS / RANK_ACCURACY, 0.5 + BOUND_RANKS / RANK_ACCURACY
+    present = " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
+    # One SQL text, as building it column by column takes longer than small inputs do.
+    # A struct is never NULL, and equal where its fields are, NULLs included. So no join on
+    # it adds a filter that would part one use of the aggregation from the other.
+    return rows.sparkSession.sql(
         f"""
         WITH lengths AS (
-          -- asinh never decreases, in floating point either.
-          SELECT {k}, cast(floor(asinh(meters) * {CELLS}) AS long) AS cell, meters,
-                 count(id) AS trips, count(meters) AS n
-          FROM {{measured}} GROUP BY {k}, cell, meters
+          SELECT struct({", ".join(f"`{key}`" for key in keys)}) AS key, id, meters,
+                 CASE WHEN NOT isnan(meters) AND {present} THEN meters END AS length
+          FROM {{rows}}
         ),
-        cells AS (
-          -- Differences from the cell's own border keep the squares exact.
-          SELECT {k}, cell, sum(trips) AS trips, sum(n) AS n, sinh(cell / {CELLS}D) AS border,
-                 sum(n * (meters - sinh(cell / {CELLS}D))) / sum(nullif(n, 0)) AS beyond,
-                 sum(n * pow(meters - sinh(cell / {CELLS}D), 2)) AS squares
-          FROM lengths GROUP BY {k}, cell
+        sketched AS (
+          -- The condition is always true. It needs all results, so that both uses have one plan.
+          SELECT * FROM (
+            SELECT key, count(id) AS num_trips, count(meters) AS length_count, avg(meters) AS mean_meters,
+                   stddev_samp(meters) AS std_meters, count(length) AS ranked,
+                   -- Just above a half is the upper of two middle ranks.
+                   percentile_approx(length, array({low}D, 0.5D, 0.5D + 1e-9D, {high}D), {RANK_ACCURACY}) AS at
+            FROM lengths GROUP BY key
+          ) WHERE num_trips + length_count >= 0
+              AND (mean_meters IS NULL OR mean_meters + coalesce(std_meters, 0D) IS NOT NULL)
+              AND (at IS NULL OR size(at) = 4)
         ),
-        placed AS (
-          SELECT *, sum(n) OVER (PARTITION BY {k}) AS all_n,
-                 sum(n * (border + beyond)) OVER (PARTITION BY {k}) / sum(nullif(n, 0)) OVER (PARTITION BY {k}) AS mean,
-                 sum(n) OVER (PARTITION BY {k} ORDER BY cell NULLS LAST) - n AS before
-          FROM cells
+        bounds AS (
+          SELECT key AS of, at[0] AS low, at[3] AS high, ranked, explode(sequence(0, {SALTS - 1})) AS of_salt
+          FROM sketched WHERE ranked > {EXACT_ROWS}
         ),
-        moments AS (
-          SELECT {k}, sum(trips) AS num_trips, max(all_n) AS length_count, max(mean) / {meters_per_mile}D AS mean_trip_length,
-                 CASE WHEN max(all_n) > 1 THEN
-                   sqrt(greatest(0D, sum(squares - n * pow(beyond, 2) + n * pow(border + beyond - mean, 2))) / (max(all_n) - 1))
-                   / {meters_per_mile}D END AS std_trip_length
-          FROM placed GROUP BY {k}
+        gate AS (
+          -- The parts, if any group is large: at most {SALTS} rows.
+          SELECT explode(sequence(0, {SALTS - 1})) AS gate_salt FROM (SELECT count(*) AS n FROM bounds) WHERE n > 0
         ),
-        middle AS (
-          SELECT {k}, cell, before, (all_n - 1) div 2 AS lower_rank, all_n div 2 AS upper_rank
-          FROM placed WHERE n > 0 AND trips >= 0 AND before <= all_n div 2 AND before + n > (all_n - 1) div 2
+        gated AS (
+          SELECT /*+ BROADCAST(gate) */ key, length, salt
+          FROM (SELECT key, length, cast(pmod(xxhash64(id, meters), {SALTS}) AS int) AS salt FROM lengths)
+          JOIN gate ON salt = gate_salt
         ),
-        ranked AS (
-          SELECT {", ".join(f"lengths.`{key}`" for key in keys)}, meters, lower_rank, upper_rank,
-                 before + sum(n) OVER (PARTITION BY {", ".join(f"lengths.`{key}`" for key in keys)}, lengths.cell
-                                       ORDER BY meters) AS through
-          FROM lengths JOIN middle ON {same("lengths", "middle", [*keys, "cell"])}
-          WHERE n > 0 AND trips >= 0
+        between AS (
+          -- All lengths below the bounds count as one, which is NULL.
+          -- Merged whatever the sizes: the number of large groups has no bound, so they are never broadcast.
+          SELECT /*+ MERGE(bounds) */ of, CASE WHEN length >= low THEN length END AS length, ranked, count(*) AS n
+          FROM gated JOIN bounds ON key = of AND salt = of_salt
+          WHERE length <= high GROUP BY 1, 2, 3
         ),
-        medians AS (
-          SELECT {k}, (min(meters) FILTER (WHERE through > lower_rank) / {median_meters_per_mile}D
-                       + min(meters) FILTER (WHERE through > upper_rank) / {median_meters_per_mile}D) / 2
-                      AS median_trip_length
-          FROM ranked GROUP BY {k}
+        middles AS (
+          SELECT of, min(length) FILTER (WHERE through > (ranked - 1) div 2) AS lower,
+                 min(length) FILTER (WHERE through > ranked div 2) AS upper,
+                 coalesce(max(n) FILTER (WHERE length IS NULL), 0) <= max((ranked - 1) div 2) AS above_low
+          FROM (SELECT *, sum(n) OVER (PARTITION BY of ORDER BY length NULLS FIRST) AS through FROM between)
+          GROUP BY of
+        ),
+        found AS (
+          -- The sketch's error is bounded; should it be larger, no wrong median is given.
+          SELECT *, CASE WHEN ranked > {EXACT_ROWS} AND (upper IS NULL OR NOT above_low)
+                         THEN raise_error('the bounds of a median do not hold it') END AS missed
+          FROM sketched LEFT JOIN middles ON key = of
         )
-        SELECT {", ".join(f"moments.`{key}`" for key in keys)}, num_trips, length_count, mean_trip_length,
-               CASE WHEN {present} THEN median_trip_length END AS median_trip_length, std_trip_length
-        FROM moments LEFT JOIN medians ON {same("moments", "medians", keys)}
+        SELECT key.*, num_trips, length_count, mean_meters, std_meters,
+               CASE WHEN ranked > {EXACT_ROWS} THEN coalesce(missed, lower) ELSE at[1] END AS lower_meters,
+               CASE WHEN ranked > {EXACT_ROWS} THEN coalesce(missed, upper) ELSE at[2] END AS upper_meters
+        FROM found
         """,
-        measured=valid.select(*keys, "id", F.col("distance_in_meters").alias("meters")),
+        rows=rows,
     )
 
 
@@ -138,15 +202,21 @@ def trip_export(
     period: ReportPeriod,
     system_id: str | None = None,
     bad_coordinates: str = "fail",
+    bad_counts: Observation | None = None,
 ) -> DataFrame:
     """Valid trips that started in the period, row by row, with rounded coordinates.
 
     Trips of unknown vehicles are left out. Impossible coordinates fail the query, or with
-    ``bad_coordinates="null"`` become NULL; :func:`coordinate_overflows` counts them. No
-    join hint: Spark broadcasts the vehicles while they are small and otherwise shuffles,
-    splitting skewed partitions.
+    ``bad_coordinates="null"`` become NULL; :func:`coordinate_overflows` counts them. So does
+    ``bad_counts``, while the export is written; parts that Spark computes again after a loss
+    may count again. No join hint: Spark broadcasts the vehicles while they are small and
+    otherwise shuffles, splitting skewed partitions.
     """
     started = in_period(valid_trips(trips, system_id), "system_started_at", period)
+    if bad_counts is not None:
+        sources = [source for source, _ in COORDINATES.values()]
+        needed = ["id", "vehicle_id", *sources, "system_started_at", "system_ended_at", "distance_in_meters"]
+        started = started.select(*needed).observe(bad_counts, *_bad_coordinates())
     identities = vehicles.select(F.col("id").alias("vehicle_id"), "chassis_number")
     return started.join(identities, "vehicle_id").select(
         F.col("id").alias("trip_id"),
@@ -164,6 +234,8 @@ def trip_export(
 def coordinate_overflows(trips: DataFrame, period: ReportPeriod, system_id: str | None = None) -> DataFrame:
     """One row: how many impossible coordinates of each column the export would hold."""
     started = in_period(valid_trips(trips, system_id), "system_started_at", period)
-    return started.agg(
-        *[F.count_if(is_bad(F.col(source), limit)).alias(name) for name, (source, limit) in COORDINATES.items()]
-    )
+    return started.agg(*_bad_coordinates())
+
+
+def _bad_coordinates() -> list[Column]:
+    return [F.count_if(is_bad(F.col(source), limit)).alias(name) for name, (source, limit) in COORDINATES.items()]

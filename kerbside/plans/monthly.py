@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from kerbside.functions.columns import check_bad
 from kerbside.operators import states
 from kerbside.operators.areas import service_area
-from kerbside.operators.telemetry import location_overflows, waypoints
-from kerbside.operators.trips import coordinate_overflows, trip_export
+from kerbside.operators.telemetry import waypoints
+from kerbside.operators.trips import report_stats, trip_export
 from kerbside.period import ReportPeriod
 from kerbside.plans import reports
 from kerbside.schemas import INPUTS
@@ -45,16 +45,25 @@ def write_monthly_reports(
     blocked = states.blocked_periods(
         tables["transitions"], tables["systems"], tables["vehicles"], period, system_id, semantics
     ).persist(StorageLevel.MEMORY_AND_DISK)
-    users = reports.user_trip_report(tables["trips"], period, system_id)
+    # Three reports need the trips' statistics: a row per user and vehicle, from one read of the trips.
+    stats = report_stats(tables["trips"], period, system_id).persist(StorageLevel.MEMORY_AND_DISK)
+    users = reports.user_trip_report(tables["trips"], period, system_id, stats)
     vehicles = reports.vehicle_report(
-        tables["trips"], tables["transitions"], tables["vehicles"], blocked, period, system_id, semantics
+        tables["trips"], tables["transitions"], tables["vehicles"], blocked, period, system_id, semantics, stats
     )
-    exported = trip_export(tables["trips"], tables["vehicles"], period, system_id, bad_coordinates)
+    # Bad coordinates are counted while the reports are written.
+    bad_trips, bad_points = (Observation(), Observation()) if bad_coordinates == "null" else (None, None)
+    exported = trip_export(tables["trips"], tables["vehicles"], period, system_id, bad_coordinates, bad_trips)
     points = waypoints(
-        tables["rental_spans"], tables["telemetry"], period, system_id, bad_coordinates=bad_coordinates
+        tables["rental_spans"],
+        tables["telemetry"],
+        period,
+        system_id,
+        bad_coordinates=bad_coordinates,
+        bad_counts=bad_points,
     )
     summary = reports.monthly_summary(
-        tables["trips"], blocked, tables["constants"], period, system_id, semantics
+        tables["trips"], blocked, tables["constants"], period, system_id, semantics, stats
     )
     try:
         written = {
@@ -69,13 +78,10 @@ def write_monthly_reports(
             ),
         }
         if bad_coordinates == "null":
-            located = location_overflows(tables["rental_spans"], tables["telemetry"], period, system_id)
-            counts = coordinate_overflows(tables["trips"], period, system_id).select(
-                "*",
-                located.select("lat").scalar().alias("waypoint_lat"),
-                located.select("lon").scalar().alias("waypoint_lon"),
-            )
-            written["bad_coordinates"] = write_csv_report(counts, path, period, "bad_coordinates", single_file=True)
+            counts = {**bad_trips.get, **{f"waypoint_{axis}": n for axis, n in bad_points.get.items()}}
+            row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+            written["bad_coordinates"] = write_csv_report(row, path, period, "bad_coordinates", single_file=True)
         return written
     finally:
         blocked.unpersist()
+        stats.unpersist()

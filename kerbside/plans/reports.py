@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.columns import METERS_PER_MILE, VEHICLE_METERS_PER_MILE
 from kerbside.operators import states
-from kerbside.operators.trips import in_period, of_system, total_trips, trip_stats, valid_trips
+from kerbside.operators.trips import in_miles, in_period, of_system, total_trips, trip_stats, valid_trips
 from kerbside.period import CORRECTED, ReportPeriod, check_semantics
 from kerbside.schemas import CONSTANTS, INCIDENTS
 
@@ -30,12 +30,25 @@ SUMMARY_COLUMNS = [
 ]
 
 
-def user_trip_report(trips: DataFrame, period: ReportPeriod, system_id: str | None = None) -> DataFrame:
-    """Trip count and length statistics per user."""
+def user_trip_report(
+    trips: DataFrame, period: ReportPeriod, system_id: str | None = None, stats: DataFrame | None = None
+) -> DataFrame:
+    """Trip count and length statistics per user.
+
+    ``stats``, here and below, is the result of :func:`kerbside.operators.trips.report_stats`
+    for the same trips, period and city; with it, the trips are not read again.
+    """
+    if stats is not None:
+        return _of_report(stats, "users", "user_id", trips).select("user_id", *in_miles()).select(*USER_COLUMNS)
     valid = in_period(valid_trips(trips, system_id), "system_date", period)
     return trip_stats(valid, ["user_id"]).select(*USER_COLUMNS)
 
 
+def _of_report(stats: DataFrame, report: str, key: str, trips: DataFrame) -> DataFrame:
+    """One report's rows of the shared statistics, the key in its own type again."""
+    return stats.where(F.col("report") == report).withColumn(key, F.col("key").cast(trips.schema[key].dataType))
+
+
 def vehicle_service(
     transitions: DataFrame,
     period: ReportPeriod,
@@ -54,6 +67,7 @@ def vehicle_report(
     period: ReportPeriod,
     system_id: str | None = None,
     semantics: str = "reference",
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Trip statistics, days in service and maintenance per vehicle.
 
@@ -67,13 +81,12 @@ def vehicle_report(
     squared differences. A vehicle without transitions shows its median and maintenance only.
     """
     corrected = check_semantics(semantics) == CORRECTED
-    valid = in_period(valid_trips(trips, system_id), "system_date", period).where(F.col("vehicle_id").isNotNull())
-    stats = trip_stats(
-        valid,
-        ["vehicle_id"],
-        meters_per_mile=METERS_PER_MILE if corrected else VEHICLE_METERS_PER_MILE,
-        median_meters_per_mile=METERS_PER_MILE,
-    )
+    mile = METERS_PER_MILE if corrected else VEHICLE_METERS_PER_MILE
+    if stats is None:
+        valid = in_period(valid_trips(trips, system_id), "system_date", period).where(F.col("vehicle_id").isNotNull())
+        by_vehicle = trip_stats(valid, ["vehicle_id"], mile, METERS_PER_MILE)
+    else:
+        by_vehicle = _of_report(stats, "vehicles", "vehicle_id", trips).select("vehicle_id", *in_miles(mile, METERS_PER_MILE))
     service = vehicle_service(transitions, period, system_id, semantics)
     # A vehicle id listed more than once multiplies its trips again, per plate and chassis.
     identities = (
@@ -90,7 +103,7 @@ def vehicle_report(
     repeated_std = F.when(copies * n > 1, F.sqrt(copies * squares / (copies * n - 1)))
     # Only vehicles with transitions meet their listing in the reference's join.
     rows = (
-        stats.join(service, "vehicle_id", "left")
+        by_vehicle.join(service, "vehicle_id", "left")
         .withColumn("listed_id", F.when(known, F.col("vehicle_id")))
         .join(identities.withColumnRenamed("vehicle_id", "listed_id"), "listed_id", "left")
         .join(maintenance, "vehicle_id", "left")
@@ -121,6 +134,7 @@ def monthly_summary(
     period: ReportPeriod,
     system_id: str | None = None,
     semantics: str = "reference",
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """One row: trips, vehicles in maintenance, and the hand-kept counts in ``constants``.
 
@@ -136,9 +150,13 @@ def monthly_summary(
     counted = of.agg(F.count(F.lit(1)).alias("rows"), *[F.first(name).alias(name) for name in names])
     one = F.col("rows") == 1
     wrong = F.raise_error(F.concat(F.lit("constants must have one row for the period, found "), F.col("rows").cast("string")))
+    if stats is None:
+        total = total_trips(trips, period, system_id)
+    else:
+        total = stats.where(F.col("report") == "total").agg(F.coalesce(F.sum("num_trips"), F.lit(0)))
     return counted.select(
         *[F.when(one, F.col(name)).otherwise(wrong).alias(name) for name in names],
-        total_trips(trips, period, system_id).scalar().alias("total_trips"),
+        total.scalar().alias("total_trips"),
         states.vehicles_in_maintenance(periods, period, system_id, semantics).scalar().alias("nonoperational_M"),
     ).select(*SUMMARY_COLUMNS)
 

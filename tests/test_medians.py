@@ -1,11 +1,15 @@
 """Exact medians, means and deviations of groups of every shape."""
 
+import math
 import random
 import statistics
 
+import numpy as np
+import pandas as pd
 import pytest
 
-from kerbside.operators.trips import trip_stats
+from kerbside.operators import trips
+from kerbside.operators.trips import EXACT_ROWS, trip_stats
 
 
 def _stats(spark, rows):
@@ -71,6 +75,46 @@ def test_zero_and_negative_lengths(spark):
     _check(spark, {"mixed": [-5.0, -1e-9, 0.0, 0.0, 1e-9, 7.0], "below": [-3.0, -2.0], "zero": [0.0] * 4})
 
 
+def test_nan_and_infinity(spark):
+    """As data frames take them: a NaN is no length for the median, infinity is one."""
+    inf, nan = float("inf"), float("nan")
+    groups = {"nan": [nan, 5.0, 7.0], "only": [nan, nan], "inf": [1.0, 2.0, inf], "infs": [1.0, inf, inf], "both": [-inf, inf]}
+    found = _stats(spark, [(key, 1, value) for key, values in groups.items() for value in values])
+    assert {key: r.median_trip_length for key, r in found.items() if key != "both"} == {"nan": 6.0, "only": None, "inf": 2.0, "infs": inf}
+    frame = pd.DataFrame([(key, value) for key, values in groups.items() for value in values], columns=["key", "value"])
+    with np.errstate(invalid="ignore"):
+        medians = frame.groupby("key")["value"].median()
+    assert all(str(found[key].median_trip_length or nan) == str(medians[key]) for key in groups)
+    assert [found[key].mean_trip_length for key in ("inf", "infs")] == [inf, inf]
+    assert all(math.isnan(found[key].mean_trip_length) for key in ("nan", "only", "both"))
+    assert [found[key].num_trips for key in groups] == [3, 2, 3, 3, 2]
+
+
+@pytest.mark.parametrize("size", [EXACT_ROWS - 1, EXACT_ROWS, EXACT_ROWS + 1, 4 * EXACT_ROWS + 1])
+def test_around_the_size_that_a_sketch_holds(spark, size):
+    rng = random.Random(size)
+    _check(
+        spark,
+        {
+            "distinct": [rng.lognormvariate(0, 2) for _ in range(size)],
+            "few values": [float(rng.randint(1, 3)) for _ in range(size)],
+            "two halves": [1.0] * (size // 2) + [2.0] * (size - size // 2),
+            "in order": [float(i) for i in range(size)],
+            "small": [3.0, 4.0],
+        },
+    )
+
+
+@pytest.mark.parametrize("size", [9, 10])
+def test_every_group_ranked_between_its_bounds(spark, monkeypatch, size):
+    """A coarse sketch and no group taken whole, so that the second look decides all."""
+    monkeypatch.setattr(trips, "RANK_ACCURACY", 20)
+    monkeypatch.setattr(trips, "EXACT_ROWS", 0)
+    rng = random.Random(size)
+    groups = {f"g{i}": [rng.choice([0.5, 1.0, rng.random()]) for _ in range(size ** rng.randint(1, 3))] for i in range(12)}
+    _check(spark, groups | {"one": [2.0], "two": [1.0, 4.0]})
+
+
 def test_a_third_of_all_trips_has_one_key(spark):
     rng = random.Random(5)
     groups = {"hot": [rng.lognormvariate(7, 1) for _ in range(4000)], "same": [1609.34] * 4000}

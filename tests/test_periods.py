@@ -1,0 +1,88 @@
+"""Many periods in one pass against the operators of one period, period by period."""
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from frames import at, records, transitions, trips
+from pyspark.sql import functions as F
+
+from kerbside.operators import periods, states
+from kerbside.period import ReportPeriod
+from kerbside.plans.reports import user_trip_report
+
+BLOCKED = dict(operationality="nonoperational", operationality_reason=["blocked"])
+
+
+def _period(start, end):
+    return ReportPeriod(start, end, datetime(2021, 1, 1), f"{start}/{end}")
+
+
+# Whole months, a year, a gap, overlaps, one day, and the border of a year.
+SEVERAL = [
+    *[_period(date(2020, month, 1), date(2020, month + 1, 1)) for month in range(6, 10)],
+    _period(date(2020, 1, 1), date(2021, 1, 1)),
+    _period(date(2020, 8, 20), date(2020, 9, 5)),
+    _period(date(2020, 8, 31), date(2020, 9, 1)),
+    _period(date(2019, 12, 15), date(2020, 1, 15)),
+]
+
+
+def test_user_statistics_as_period_by_period(spark):
+    rng = random.Random(1)
+    rows = [
+        dict(
+            id=i,
+            user_id=rng.choice([None, 1, 1, 2, 3]),
+            distance_in_meters=rng.choice([None, rng.uniform(1, 9000)]),
+            system_date=rng.choice([None, date(2019, 11, 1) + timedelta(days=rng.randrange(450))]),
+            system_id=rng.choice(["city", "other"]),
+        )
+        for i in range(400)
+    ]
+    df = trips(spark, *rows)
+    found = periods.user_stats_by_period(df, SEVERAL, "city")
+    shown = ["user_id", "num_trips", "mean_trip_length", "median_trip_length", "std_trip_length"]
+    assert found.columns == ["period", *shown]
+    for period in SEVERAL:
+        rounded = [F.round(name, 9).alias(name) for name in shown]
+        expected = records(user_trip_report(df, period, "city").select(*rounded))
+        assert records(found.where(F.col("period") == period.label).select(*rounded)) == expected
+
+
+@pytest.mark.parametrize("semantics", ["reference", "corrected"])
+@pytest.mark.parametrize("city", [None, "city"])
+def test_time_out_as_period_by_period(spark, semantics, city):
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        start = at("2019-11-20 00:00:00") + timedelta(hours=rng.randrange(24 * 420))
+        if rng.random() < 0.2:  # exactly on a border
+            start = datetime(2020, rng.randint(1, 12), rng.choice([1, 1, 28]))
+        end = start + timedelta(hours=rng.choice([0, 5, 24 * 3, 24 * 45, 24 * 400]))
+        rows.append(
+            dict(
+                id=i,
+                vehicle_id=rng.choice([None, 1, 2, 3]),
+                system_id=rng.choice(["city", "other"]),
+                started_at=None if rng.random() < 0.05 else start,
+                ended_at=None if rng.random() < 0.15 else end,
+                **rng.choice([BLOCKED, BLOCKED, {}]),
+            )
+        )
+    df = transitions(spark, *rows)
+    spans = periods.clamped_by_period(df, SEVERAL, city, semantics)
+    out = periods.time_out_by_period(df, SEVERAL, city, semantics)
+    for period in SEVERAL:
+        clamped = states.clamp_spans(df, period, city, semantics)
+        assert records(spans.where(F.col("period") == period.label).drop("period")) == records(clamped)
+        assert records(out.where(F.col("period") == period.label), "vehicle_id", "time_out_days") == records(states.time_out(clamped))
+    assert out.where("time_out_days > 0").select("period").distinct().count() > 6
+
+
+def test_periods_need_labels_of_their_own(spark):
+    one = SEVERAL[0]
+    with pytest.raises(ValueError, match="labels of their own"):
+        periods.period_months(spark, [one, one])
+    with pytest.raises(ValueError, match="labels of their own"):
+        periods.period_months(spark, [])

@@ -92,6 +92,10 @@ SAMPLES = "/root/testdata/sf0.001"
     [
         ("user_trip_report", {"lineitem": 1}),
         ("trip_stats_by_vehicle", {"lineitem": 1}),
+        ("report_stats", {"lineitem": 1}),
+        ("user_stats_by_period", {"lineitem": 1}),
+        ("time_out_by_period", {"events": 1}),
+        ("time_out_by_period_corrected", {"events": 1}),
         ("trip_export", {"lineitem": 1, "supplier": 1}),
         ("trip_waypoints", {"events": 3}),  # spans twice, telemetry once
         ("time_out_days", {"events": 1}),
@@ -101,18 +105,42 @@ def test_how_often_tables_are_read(spark, query, tables):
     assert Counter(name.removesuffix(".parquet") for name in reads(registry()[query](spark, SAMPLES))) == tables
 
 
-def test_splitting_never_shuffles_rows_by_their_large_key(spark, stored):
-    """Lengths meet the middle cells by key and cell; only one row per key is joined by key."""
+def exchanges(df) -> int:
+    """Shuffles of the plan that ran; a reused one does not count again."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = re.sub(r"(?ms)== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", text)
+    return len(re.findall(r"(?<![A-Za-z])Exchange (?:hash|range|Single|RoundRobin)", final))
+
+
+@pytest.mark.parametrize("query", ["user_trip_report", "trip_stats_by_vehicle", "report_stats", "user_stats_by_period"])
+def test_statistics_take_one_exchange_and_one_scan(spark, query):
+    """No group is too large for its sketch here, so the second look is dropped."""
+    df = registry()[query](spark, SAMPLES)
+    assert reads(df) == ["lineitem.parquet"]
+    assert exchanges(df) == 1
+
+
+def test_large_groups_take_a_second_look_in_parts(spark, stored):
+    """Trips meet their group's bounds by group and part; the aggregation is shared."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(user_trip_report(stored["trips"], SEPTEMBER, "city"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]\n", text)
+    assert sorted(re.sub(r"#\d+L?", "", keys) for keys in joins) == ["key", "key, salt"]
+    df = registry()["trip_stats_by_city_split"](spark, "/root/testdata/sf0.01")
+    assert reads(df) == ["lineitem.parquet"] * 2
+
+
+def test_placing_states_never_shuffles_rows_by_their_large_key(spark, stored):
+    """Dimensions by their own key before the placement, the summary by cell after it."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(user_trip_report(stored["trips"], SEPTEMBER, "city")).split("===== Subqueries")[0]
-        joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]\n", text)
-        assert sorted("cell" in keys for keys in joins) == [False, True]
-        assert "percentile" not in text
         changes = states.state_changes(stored["transitions"], stored["systems"], stored["vehicles"], SEPTEMBER)
         text = plan(states.state_periods(changes)).split("===== Subqueries")[0]
         joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]", text)
-        # Dimensions by their own key before the placement, the summary by cell after it.
         assert sorted(re.sub(r"#\d+L?", "", keys) for keys in joins) == sorted(
             ["vehicle_id, time_cell"] + ["system_id", "vehicle_id"] * 2
         )

@@ -15,6 +15,21 @@ FLEET_PERIOD = ReportPeriod(date(2024, 1, 10), date(2024, 1, 20), datetime(2024,
 MONTH = ReportPeriod(date(2024, 1, 1), date(2024, 2, 1), datetime(2024, 2, 10), "2024-01")
 
 
+def _period(start: date, end: date) -> ReportPeriod:
+    return ReportPeriod(start, end, datetime(2024, 2, 10), f"{start}/{end}")
+
+
+TRIP_PERIODS = [
+    *[_period(date(1997, month, 1), date(1997, month + 1, 1)) for month in range(1, 6)],
+    _period(date(1997, 2, 15), date(1997, 4, 10)),
+    _period(date(1995, 12, 31), date(1996, 1, 1)),
+    _period(date(1994, 1, 1), date(1995, 1, 1)),
+]
+STATE_PERIODS = [
+    *[_period(date(2024, 1, day), date(2024, 1, day + 5)) for day in range(1, 27, 5)],
+    _period(date(2023, 12, 20), date(2024, 2, 10)),
+]
+
 # Stated, so that building a query starts no job that looks for the schema.
 SAMPLE_SCHEMAS = {
     "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, TimestampNTZType, TimestampType
 
 from kerbside.functions.columns import VEHICLE_METERS_PER_MILE
-from kerbside.operators import areas, states, telemetry, trips
+from kerbside.operators import areas, periods, states, telemetry, trips
 from kerbside.plans import reports
 from kerbside.session import configure
 from verification import bindings as b
@@ -102,6 +102,29 @@ def user_trip_report_of_city(spark, sf):
     return reports.user_trip_report(b.trips(spark, sf), b.USER_PERIOD, CITY)
 
 
+def report_stats(spark, sf):
+    """Users, vehicles and the total from one scan."""
+    return trips.report_stats(b.trips(spark, sf), b.USER_PERIOD)
+
+
+def report_stats_of_city(spark, sf):
+    return trips.report_stats(b.trips(spark, sf), b.USER_PERIOD, CITY)
+
+
+def user_stats_by_period(spark, sf):
+    """Eight periods, of which some overlap, some leave gaps, and one spans a year."""
+    return periods.user_stats_by_period(b.trips(spark, sf), b.TRIP_PERIODS)
+
+
+def time_out_by_period(spark, sf):
+    """Seven periods of a few days each."""
+    return periods.time_out_by_period(b.transitions(spark, sf), b.STATE_PERIODS)
+
+
+def time_out_by_period_corrected(spark, sf):
+    return periods.time_out_by_period(b.transitions(spark, sf), b.STATE_PERIODS, semantics="corrected")
+
+
 def first_operational(spark, sf):
     return states.first_operational(b.transitions(spark, sf))
 
@@ -264,6 +287,11 @@ _QUERIES = [
     user_trip_report,
     user_trip_report_split,
     user_trip_report_of_city,
+    report_stats,
+    report_stats_of_city,
+    user_stats_by_period,
+    time_out_by_period,
+    time_out_by_period_corrected,
     first_operational,
     possible_days,
     state_category,
