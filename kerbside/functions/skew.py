@@ -2,96 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from kerbside.functions.columns import micros
-
-# A key is split when it has more rows than this ...
-SPLIT_ROWS = 1_000_000
-# ... and more than one row in this many. At most LARGEST_KEYS keys can qualify, whatever
-# the size of the data; that bound is what makes broadcasting them safe. A key that does
-# not qualify holds so small a part of all rows that one task can own it.
-LARGEST_KEYS = 100_000
-# Segments of a large key, about equally full whatever its times are.
-SEGMENTS = 256
-# Rank error of a segment's border: one row in this many.
-ACCURACY = 10_000
-# Equally wide parts of a segment per SPLIT_ROWS rows in it. Above one, as rows are not even.
-PARTS_PER_SPLIT = 8
-# More parts than any segment has.
-PARTS = 2**40
-LAST_CELL = 2**62
-
-
-def large_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS, *measures: Column) -> DataFrame:
-    """``keys, key_rows`` and ``measures`` of the keys too large for one task; NULL keys are left out.
-
-    Counting combines on the map side, so a large key costs one row per task. Measures
-    must be aggregates of fixed size, such as a minimum.
-    """
-    present = df.where(all_present(keys))
-    rows = F.count(F.lit(1)).alias("key_rows")
-    total = present.groupBy(*keys).agg(rows).agg(F.sum("key_rows")).scalar()
-    return (
-        present.groupBy(*keys)
-        .agg(rows, *measures)
-        .where((F.col("key_rows") > split_rows) & (F.col("key_rows") > total / F.lit(LARGEST_KEYS)))
-    )
+# A key's rows are cut in time after about this many, ...
+CELL_ROWS = 100_000
+# ... but into no more cells than this,
+CELLS_PER_KEY = 128
+# and only so many keys are cut, the largest. By the pigeonhole any other key holds at most
+# one in this many of all rows, whatever their number; one task can own it.
+CUT_KEYS = 512
+# Sampled rows to a cell.
+SAMPLED = 16
 
 
 def with_time_cells(
-    df: DataFrame, key: str, at: str, split_rows: int = SPLIT_ROWS, id_column: str | None = None
+    df: DataFrame, key: str, at: str, id_column: str, cell_rows: int = CELL_ROWS, basis: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``time_cell``: NULL for ordinary keys, a number that grows with ``at`` for large ones.
-
-    Quantiles of a large key's times part it into segments of about equally many rows, so
-    one row decades off changes nothing for the others; a segment is cut into equally wide
-    parts as its rows call for. Rows without a time come last, parted by ``id_column`` in
-    the same way, or all in the highest cell without one. Equal times always share a cell.
+    """Add ``time_cell``: NULL for a key without cuts, else a number that grows with ``at``.
+
+    One rule for all keys: a cut after every ``cell_rows`` rows of a key or so; short keys
+    have none. Rows without a time come last and are cut by ``id_column``. Equal times share
+    a cell. Cuts come from a sample of ``basis`` (default: ``df``; it may hold more rows)
+    that a hash of key, time and id chooses, so the same rows always give the same cuts.
+    Where they lie changes no result, only how rows spread. The sample reads three columns;
+    the cuts are at most ``CUT_KEYS`` rows of ``CELLS_PER_KEY`` places, which the planner
+    knows from the limit on them.
     """
-    if split_rows < 1:
-        raise ValueError(f"split_rows must be positive, got {split_rows}")
-    instant = micros(F.col(at))
-    fractions = F.lit([number / SEGMENTS for number in range(1, SEGMENTS)])
-    measures = [*_limits("time", instant, fractions)]
-    if id_column is not None:
-        measures += _limits("id", F.when(F.col(at).isNull(), F.col(id_column)), fractions)
-    large = large_keys(df, [key], split_rows)
-    extents = df.join(F.broadcast(large), key).groupBy(key, "key_rows").agg(*measures)
-    parts = F.ceil(F.col("key_rows") / F.lit(SEGMENTS * split_rows)) * F.lit(PARTS_PER_SPLIT)
-    cell = _cell("time", instant, parts)
-    undated = F.lit(LAST_CELL)
-    if id_column is not None:
-        undated = F.lit(SEGMENTS * PARTS) + F.coalesce(_cell("id", F.col(id_column), parts), F.lit(0))
-    return df.join(F.broadcast(extents), key, "left").select(
-        *[df[name] for name in df.columns],
-        F.when(F.col("key_rows").isNotNull(), F.coalesce(cell, undated)).alias("time_cell"),
+    return df.sparkSession.sql(
+        f"""
+        WITH {cuts_sql("{basis}", key, at, id_column, cell_rows)}
+        SELECT df.*, {cell_sql(at, id_column)} AS time_cell FROM {{df}} AS df LEFT JOIN cuts ON `{key}` = cut_key
+        """,
+        df=df,
+        basis=df if basis is None else basis,
     )
 
 
-def _limits(name: str, value: Column, fractions: Column) -> list[Column]:
-    """Aggregates of fixed size: the borders between segments, and the first and last value."""
-    return [
-        F.percentile_approx(value, fractions, ACCURACY).alias(f"{name}_borders"),
-        F.min(value).alias(f"{name}_first"),
-        F.max(value).alias(f"{name}_last"),
-    ]
-
-
-def _cell(name: str, value: Column, parts: Column) -> Column:
-    """Segment and part of a value, as a number that never falls as the value grows."""
-    borders = F.col(f"{name}_borders")
-    segment = F.size(F.filter(borders, lambda border: border < value))
-    low = F.coalesce(F.get(borders, segment - 1), F.col(f"{name}_first")).cast("double")
-    high = F.coalesce(F.get(borders, segment), F.col(f"{name}_last")).cast("double")
-    part = F.floor((value.cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * parts)
-    return F.when(value.isNotNull(), segment.cast("long") * F.lit(PARTS) + F.least(part, parts - 1))
-
-
-def all_present(keys: list[str]) -> Column:
-    """Whether none of the key columns is NULL."""
-    present = F.lit(True)
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    return present
+def cell_sql(at: str, id_column: str) -> str:
+    """SQL of a row's cell, where it meets its key's row of ``cuts``."""
+    return f"CASE WHEN cuts IS NOT NULL THEN size(filter(cuts, cut -> cut < {_place(at, id_column)})) END"
+
+
+def _place(at: str, id_column: str) -> str:
+    """SQL of a row's place in its key: dated rows by time, after them undated ones by id."""
+    value = f"coalesce(unix_micros(cast({at} AS timestamp)), cast({id_column} AS long), {-(2**63) + 1}L)"
+    return f"struct({at} IS NULL AS undated, {value} AS value)"
+
+
+def cuts_sql(basis: str, key: str, at: str, id_column: str, cell_rows: int) -> str:
+    """SQL of a common table ``cuts`` (``cut_key, cuts``): the places after which a key is cut, in order."""
+    if cell_rows < 1:
+        raise ValueError(f"cell_rows must be positive, got {cell_rows}")
+    rate = max(1, cell_rows // SAMPLED)
+    return f"""cut_places AS (
+          -- Rows of one place count together, however many they are.
+          SELECT cut_key, place, count(*) AS n FROM (
+            SELECT `{key}` AS cut_key, {_place(at, id_column)} AS place, xxhash64(`{key}`, `{at}`, `{id_column}`) AS hash
+            FROM {basis} WHERE `{key}` IS NOT NULL
+          )
+          WHERE pmod(hash, {rate}) = 0 GROUP BY cut_key, place
+        ),
+        cut_counts AS (
+          SELECT cut_key, place, n, through, whole, greatest({cell_rows / rate}D, whole / {CELLS_PER_KEY}D) AS step
+          FROM (SELECT *, sum(n) OVER (PARTITION BY cut_key ORDER BY place) AS through,
+                       sum(n) OVER (PARTITION BY cut_key) AS whole FROM cut_places)
+        ),
+        cuts AS (
+          SELECT cut_key, cuts FROM (
+            SELECT cut_key, max(whole) AS whole, array_sort(collect_list(place)) AS cuts FROM cut_counts
+            WHERE through < whole AND floor(through / step) > floor((through - n) / step) GROUP BY cut_key
+          ) ORDER BY whole DESC, cut_key LIMIT {CUT_KEYS}
+        )"""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import DAY_MICROS, days_between, local_time, micros
-from kerbside.functions.skew import SPLIT_ROWS, with_time_cells
+from kerbside.functions.skew import CELL_ROWS, cell_sql, cuts_sql
 from kerbside.operators.trips import of_system
 from kerbside.period import CORRECTED, ReportPeriod, check_semantics
 
@@ -156,81 +156,52 @@ def state_changes(
     period: ReportPeriod,
     semantics: str = "reference",
     kind: str = REPORTED_KIND,
-    split_rows: int = SPLIT_ROWS,
+    cell_rows: int = CELL_ROWS,
+    whole_log: DataFrame | None = None,
 ) -> DataFrame:
     """Each transition with its category and the category the vehicle had before.
 
     Open transitions end at ``period.as_of`` in their city's local time. The previous
     category looks across cities; ``corrected`` looks within one, like the period counter.
 
-    A vehicle with more than ``split_rows`` transitions is cut into time cells
-    (``time_cell``; NULL for all others). Windows run per cell, and what they need from
-    earlier cells comes from a summary with one row per cell and city: the category before
-    the cell, and per city the number of changes (``changes_before``) and that of all cells
-    (``changes_all``), which states without a start share.
+    A vehicle's log is cut in time after every ``cell_rows`` transitions or so (``time_cell``;
+    NULL where there is no cut; ``whole_log`` may give more rows than ``transitions`` to find
+    cuts in). Windows run per cell, and a summary with one row per cell and city is carried
+    over the cuts: the category before the cell, and per city the number of changes
+    (``changes_before``) and that of all cells (``changes_all``), which states without a
+    start share.
     """
     unit = _lag_unit(semantics)
-    celled = with_time_cells(transitions, "vehicle_id", "started_at", split_rows, "id")
-    zones = systems.select(F.col("id").alias("system_id"), "time_zone")
-    fleet = vehicles.where(F.col("vehicle_kind_name") == kind).select(F.col("id").alias("vehicle_id"))
-    now_there = F.convert_timezone(F.lit("UTC"), F.col("time_zone"), local_time(period.as_of))
-    # The one exchange all windows use. Stated, because a shuffled join on vehicle_id
-    # would satisfy the windows too and leave a large vehicle in one task.
-    placed = (
-        celled.join(zones, "system_id")
-        .join(fleet, "vehicle_id")
-        .select(
-            "id",
-            "vehicle_id",
-            "system_id",
-            "operationality",
-            "time_zone",
-            state_category(CHANGE_LABELS).alias("operationality_category"),
-            "started_at",
-            F.coalesce("ended_at", now_there).alias("ended_at"),
-            "time_cell",
-        )
-        .repartition(*unit, "time_cell")
+    u = ", ".join(unit)
+    whole_log = transitions if whole_log is None else whole_log
+    categories = transitions.select(
+        "id", "vehicle_id", "system_id", "operationality", "started_at", "ended_at", state_category(CHANGE_LABELS).alias("category")
     )
     # A total order up to equal rows: the summary and the windows must see the same one.
-    in_order = Window.partitionBy(*unit, "time_cell").orderBy(
-        F.asc_nulls_last("started_at"), "id", "operationality_category"
-    )
-    within = placed.select(
-        "*",
-        F.lag(F.lit(False), 1, True).over(in_order).alias("opens_cell"),
-        F.lag("operationality_category").over(in_order).alias("previous_category"),
-    )
-    previous = F.when(F.col("opens_cell"), F.col("category_before")).otherwise(F.col("previous_category"))
-    return within.join(_cell_summary(within, unit), [*unit, "time_cell"], "left").select(
-        "id",
-        "vehicle_id",
-        "system_id",
-        "operationality",
-        "time_zone",
-        "operationality_category",
-        F.coalesce(previous, F.lit(NEW_VEHICLE)).alias("last_operationality_category"),
-        "started_at",
-        "ended_at",
-        "time_cell",
-        "changes_before",
-        "changes_all",
-    )
-
-
-def _cell_summary(within: DataFrame, unit: list[str]) -> DataFrame:
-    """Per time cell of a large vehicle: ``category_before``; ``changes_before``, ``changes_all`` as maps by city."""
-    u = ", ".join(unit)
-    return within.sparkSession.sql(
+    in_order = f"(PARTITION BY {u}, time_cell ORDER BY started_at NULLS LAST, id, category)"
+    # One SQL text, as building it step by step takes longer than small inputs do.
+    return transitions.sparkSession.sql(
         f"""
-        WITH per_city AS (
+        WITH {cuts_sql("{whole_log}", "vehicle_id", "started_at", "id", cell_rows)},
+        placed AS (
+          -- The one exchange all windows use. Stated, because a shuffled join on vehicle_id
+          -- would satisfy the windows too and leave a large vehicle in one task.
+          SELECT /*+ REPARTITION({u}, time_cell) */ log.id, vehicle_id, log.system_id, operationality, time_zone, category, started_at,
+                 coalesce(ended_at, convert_timezone('UTC', time_zone, timestamp_ntz'{period.as_of}')) AS ended_at,
+                 {cell_sql("started_at", "log.id")} AS time_cell
+          FROM {{log}} AS log LEFT JOIN cuts ON vehicle_id = cut_key
+          JOIN (SELECT id, time_zone FROM {{systems}}) AS here ON log.system_id = here.id
+          JOIN (SELECT id FROM {{vehicles}} WHERE vehicle_kind_name = '{kind}') AS fleet ON vehicle_id = fleet.id
+        ),
+        within AS (
+          SELECT *, lag(false, 1, true) OVER {in_order} AS opens_cell, lag(category) OVER {in_order} AS previous_category FROM placed
+        ),
+        per_city AS (
           SELECT {u}, time_cell, system_id AS city,
-                 count_if(NOT opens_cell
-                          AND coalesce(previous_category, '{NEW_VEHICLE}') != operationality_category) AS changes,
-                 max(CASE WHEN opens_cell THEN struct(operationality_category AS category) END) AS opening,
-                 max(struct(started_at IS NULL AS undated, started_at, id,
-                            operationality_category AS category)) AS closing
-          FROM {{within}} WHERE time_cell IS NOT NULL
+                 count_if(NOT opens_cell AND coalesce(previous_category, '{NEW_VEHICLE}') != category) AS changes,
+                 max(CASE WHEN opens_cell THEN struct(category) END) AS opening,
+                 max(struct(started_at IS NULL AS undated, started_at, id, category)) AS closing
+          FROM within WHERE time_cell IS NOT NULL
           GROUP BY {u}, time_cell, system_id
         ),
         per_cell AS (
@@ -255,13 +226,23 @@ def _cell_summary(within: DataFrame, unit: list[str]) -> DataFrame:
                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
                  sum(changes) OVER (PARTITION BY vehicle_id, city) AS total
           FROM counted
+        ),
+        carried AS (
+          SELECT {u}, time_cell, first(category_before) AS category_before,
+                 map_from_entries(collect_list(struct(city, before))) AS changes_before,
+                 map_from_entries(collect_list(struct(city, total))) AS changes_all
+          FROM accumulated GROUP BY {u}, time_cell
         )
-        SELECT {u}, time_cell, first(category_before) AS category_before,
-               map_from_entries(collect_list(struct(city, before))) AS changes_before,
-               map_from_entries(collect_list(struct(city, total))) AS changes_all
-        FROM accumulated GROUP BY {u}, time_cell
+        SELECT id, vehicle_id, system_id, operationality, time_zone, category AS operationality_category,
+               coalesce(CASE WHEN opens_cell THEN category_before ELSE previous_category END, '{NEW_VEHICLE}')
+                 AS last_operationality_category,
+               started_at, ended_at, time_cell, changes_before, changes_all
+        FROM within LEFT JOIN carried USING ({u}, time_cell)
         """,
-        within=within,
+        log=categories,
+        whole_log=whole_log,
+        systems=systems,
+        vehicles=vehicles,
     )
 
 
@@ -270,23 +251,30 @@ def numbered_changes(changes: DataFrame) -> DataFrame:
 
     Transitions that start at one instant share the number.
     """
-    changed = F.coalesce(
-        (F.col("last_operationality_category") != F.col("operationality_category")).cast("long"), F.lit(0)
-    )
-    # The default RANGE frame, which includes all rows of the same instant.
-    so_far = Window.partitionBy("vehicle_id", "time_cell", "system_id").orderBy(F.asc_nulls_last("started_at"))
-    before = F.coalesce(F.try_element_at("changes_before", F.col("system_id")), F.lit(0))
-    number = F.sum(changed).over(so_far) + before
-    undated = F.coalesce(F.try_element_at("changes_all", F.col("system_id")), number)
-    return changes.select("*", F.when(F.col("started_at").isNull(), undated).otherwise(number).alias("period"))
+    return changes.sparkSession.sql(_NUMBERED, changes=changes)
+
+
+# The default RANGE frame, which includes all rows of the same instant.
+_NUMBERED = """
+  SELECT * EXCEPT (number),
+         CASE WHEN started_at IS NULL THEN coalesce(try_element_at(changes_all, system_id), number) ELSE number END AS period
+  FROM (
+    SELECT *, coalesce(try_element_at(changes_before, system_id), 0L)
+              + sum(CASE WHEN last_operationality_category != operationality_category THEN 1L ELSE 0L END)
+                OVER (PARTITION BY vehicle_id, time_cell, system_id ORDER BY started_at NULLS LAST) AS number
+    FROM {changes}
+  )"""
 
 
 def state_periods(changes: DataFrame) -> DataFrame:
     """Consecutive transitions of one category merged into one period with its first start and last end."""
-    return (
-        numbered_changes(changes)
-        .groupBy("vehicle_id", "system_id", "time_zone", "operationality_category", "period")
-        .agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"))
+    return changes.sparkSession.sql(
+        f"""
+        SELECT vehicle_id, system_id, time_zone, operationality_category, period,
+               min(started_at) AS started_at, max(ended_at) AS ended_at
+        FROM ({_NUMBERED}) GROUP BY vehicle_id, system_id, time_zone, operationality_category, period
+        """,
+        changes=changes,
     )
 
 
@@ -330,7 +318,7 @@ def blocked_periods(
     until = local_time(period.cutoff(semantics))
     early = F.col("started_at") < until if semantics == CORRECTED else F.col("started_at") <= until
     kept = transitions.where(early).join(asked, "vehicle_id", "left_semi")
-    periods = state_periods(state_changes(kept, systems, vehicles, period, semantics, **options))
+    periods = state_periods(state_changes(kept, systems, vehicles, period, semantics, whole_log=transitions, **options))
     return blocked_in_period(periods, period, system_id, semantics)
 
 

@@ -17,6 +17,7 @@ from kerbside.plans import reports
 from kerbside.schemas import INPUTS
 from kerbside.session import configure
 from kerbside.sinks.files import write_csv_report, write_feature_collection
+from kerbside.sinks.publication import Publication
 from kerbside.sources.tables import load_table
 
 
@@ -36,6 +37,8 @@ def write_monthly_reports(
 ) -> dict[str, str]:
     """Write the reports below ``path`` and return where each one is.
 
+    All of them replace those of an earlier run together; if one fails, the earlier ones stay.
+
     Impossible coordinates stop the job. With ``bad_coordinates="null"`` they are written as
     empty fields, and one more file, ``bad_coordinates``, counts them.
     """
@@ -66,22 +69,23 @@ def write_monthly_reports(
         tables["trips"], blocked, tables["constants"], period, system_id, semantics, stats
     )
     try:
-        written = {
-            "users": write_csv_report(users, path, period, "users"),
-            "vehicles": write_csv_report(reports.vehicle_rows(vehicles), path, period, "vehicles"),
-            "trips": write_csv_report(exported, path, period, "trips"),
-            "waypoints": write_csv_report(points, path, period, "waypoints"),
-            "summary": write_csv_report(summary, path, period, "summary", single_file=True),
-            "service_area": write_feature_collection(service_area(tables["systems"], system_id), path, period),
-            "safety": write_csv_report(
-                reports.incident_template(spark), path, period, "safety", single_file=True, index=True
-            ),
-        }
-        if bad_coordinates == "null":
-            counts = {**bad_trips.get, **{f"waypoint_{axis}": n for axis, n in bad_points.get.items()}}
-            row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
-            written["bad_coordinates"] = write_csv_report(row, path, period, "bad_coordinates", single_file=True)
-        return written
+        with Publication(spark, path, period.label, (f"{period.label}_bad_coordinates",)) as aside:
+            written = {
+                "users": write_csv_report(users, aside, period, "users"),
+                "vehicles": write_csv_report(reports.vehicle_rows(vehicles, semantics), aside, period, "vehicles"),
+                "trips": write_csv_report(exported, aside, period, "trips"),
+                "waypoints": write_csv_report(points, aside, period, "waypoints"),
+                "summary": write_csv_report(summary, aside, period, "summary", single_file=True),
+                "service_area": write_feature_collection(service_area(tables["systems"], system_id), aside, period),
+                "safety": write_csv_report(
+                    reports.incident_template(spark), aside, period, "safety", single_file=True, index=True
+                ),
+            }
+            if bad_coordinates == "null":
+                counts = {**bad_trips.get, **{f"waypoint_{axis}": n for axis, n in bad_points.get.items()}}
+                row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+                written["bad_coordinates"] = write_csv_report(row, aside, period, "bad_coordinates", single_file=True)
+        return {name: place.replace(aside, path.rstrip("/"), 1) for name, place in written.items()}
     finally:
         blocked.unpersist()
         stats.unpersist()

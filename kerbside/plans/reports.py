@@ -122,8 +122,13 @@ def vehicle_report(
     )
 
 
-def vehicle_rows(report: DataFrame) -> DataFrame:
-    """The vehicle report as written: ordered by internal id, which is not shown."""
+def vehicle_rows(report: DataFrame, semantics: str = "reference") -> DataFrame:
+    """The vehicle report as written: ordered by internal id, which is not shown.
+
+    The reference's counts of maintenance may be missing, which makes them fractions (4.0).
+    """
+    if check_semantics(semantics) != CORRECTED:
+        report = report.withColumn("maintenance", F.col("maintenance").cast("double"))
     return report.orderBy("fleet_id").drop("fleet_id")
 
 

@@ -1,8 +1,11 @@
 import csv
 import json
+import random
+import struct
 from datetime import date, datetime
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from frames import SEPTEMBER, at, spans, systems, telemetry, transitions, trips, vehicles
 from test_areas import POLYGON
@@ -12,6 +15,7 @@ from kerbside.operators import states
 from kerbside.plans.monthly import load_inputs, write_monthly_reports
 from kerbside.plans.reports import incident_template, monthly_summary
 from kerbside.sinks.files import write_csv_report, write_feature_collection
+from kerbside.sinks.publication import Publication
 from kerbside.sources.tables import JdbcSource, ParquetSource, load_table
 
 
@@ -43,6 +47,21 @@ def test_text_comes_back_as_it_was(spark, tmp_path):
     assert rows == [["id", "plate", "last"], *[[str(i), t or "", "end"] for i, t in enumerate(texts)]]
 
 
+def test_numbers_are_written_as_data_frames_write_them(spark, tmp_path):
+    rng = random.Random(1)
+    numbers = [4.0, 1e-05, 38.8, 12345678.9, 0.0005, 0.0001, 0.00012345, 9.999e-05, 1e15, 1e16, 123456789012345680.0, 2.3e-308]
+    numbers += [1.7976931348623157e308, 1e100, 1e-100, 0.0, -0.0, -1.5, -2e-7, 2e23, 9007199254740993.0, 1 / 3, 0.1 + 0.2, 100.0, 9999999.999]
+    numbers += [float("inf"), float("-inf"), float("nan"), None]
+    numbers += [rng.uniform(0, 60) for _ in range(300)] + [rng.uniform(0, 1) * 10.0 ** rng.randint(-20, 25) for _ in range(300)]
+    bits = [struct.unpack("d", rng.randbytes(8))[0] for _ in range(300)]
+    numbers += [n for n in bits if abs(n) > 2.3e-308]
+    df = spark.createDataFrame(list(enumerate(numbers)), "id int, n double")
+    path = write_csv_report(df, str(tmp_path), SEPTEMBER, "users", single_file=True)
+    assert "\n".join(lines(path)) + "\n" == pd.DataFrame({"id": range(len(numbers)), "n": numbers}).to_csv(index=False)
+    exact = spark.sql("SELECT 38.80000BD AS a, -77.03655BD AS b, cast(NULL AS decimal(8,5)) AS c, 180.00000BD AS d, 0.00001BD AS e, 7 AS f")
+    assert lines(write_csv_report(exact, str(tmp_path), SEPTEMBER, "trips", single_file=True))[1] == "38.8,-77.03655,,180.0,1e-05,7"
+
+
 def test_large_reports_stay_in_parts(spark, tmp_path):
     path = write_csv_report(spark.range(100).repartition(4), str(tmp_path), SEPTEMBER, "trips")
     assert len(list(Path(path).glob("part-*"))) == 4
@@ -115,12 +134,12 @@ def test_all_seven_reports(spark, stored, tmp_path):
     ]
     assert sorted(r["user_id"] for r in read("users")) == ["1", "2"]
     assert [(r["vehicle_id"], r["num_days_in_service"], r["maintenance"]) for r in read("vehicles")] == [
-        ("V1", "28.0", "1"),
+        ("V1", "28.0", "1.0"),
         ("V2", "29.0", ""),
     ]
     assert sorted(r["trip_id"] for r in read("trips")) == ["1", "2"]
     assert read("waypoints") == [
-        {"trip_id": "1", "lat": "38.90000", "lon": "-77.00000", "time": "2020-09-01 01:00:01+00:00"}
+        {"trip_id": "1", "lat": "38.9", "lon": "-77.0", "time": "2020-09-01 01:00:01+00:00"}
     ]
     summary = read("summary")[0]
     assert (summary["total_trips"], summary["nonoperational_M"], summary["total_vehicles"]) == ("2", "1", "407")
@@ -128,6 +147,56 @@ def test_all_seven_reports(spark, stored, tmp_path):
     assert not spark.catalog.listTables()
 
 
+def _files(root):
+    return {str(p.relative_to(root)): p.read_bytes() for p in sorted(Path(root).rglob("part-*"))}
+
+
+def test_a_failing_report_leaves_the_old_ones(spark, stored, tmp_path):
+    tables = load_inputs(spark, {"*": stored})
+    out = tmp_path / "out"
+    write_monthly_reports(spark, tables, SEPTEMBER, "city", str(out))
+    before = _files(out)
+    assert len({name.split("/")[0] for name in before}) == 7
+    broken = systems(spark, dict(geofence_geojson="{"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="(?i)malformed|json"):
+            write_monthly_reports(spark, tables | {"systems": broken}, SEPTEMBER, "city", str(out))
+        assert _files(out) == before
+    more = tables | {"trips": trips(spark, dict(id=9, user_id=5, start_point_lat=99.0))}
+    paths = write_monthly_reports(spark, more, SEPTEMBER, "city", str(out), bad_coordinates="null")
+    assert {line.split(",")[0] for line in lines(paths["users"])} == {"user_id", "5"}
+    assert Path(paths["bad_coordinates"]).is_dir()
+    write_monthly_reports(spark, tables, SEPTEMBER, "city", str(out))
+    assert {name.split("/")[0] for name in _files(out)} == {name.split("/")[0] for name in before}
+
+
+def test_an_interrupted_publication_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    def write(text, names="abc"):
+        with Publication(spark, str(tmp_path), "x") as aside:
+            for name in names:
+                spark.createDataFrame([(text,)], "t string").write.text(f"{aside}/{name}")
+
+    read = lambda name: spark.read.text(f"{tmp_path}/{name}").first()[0]
+    write("old")
+    calls = []
+
+    def failing(self, source, target, rename=Publication._rename):
+        calls.append(source)
+        if source.endswith("/b") and len(calls) < 4:
+            raise OSError("lost")
+        rename(self, source, target)
+
+    monkeypatch.setattr(Publication, "_rename", failing)
+    with pytest.raises(OSError, match="lost"):
+        write("new")
+    assert read("a") == "new" and read("c") == "old"
+    with Publication(spark, str(tmp_path), "x") as aside:
+        assert [read(name) for name in "abc"] == ["new"] * 3
+        spark.createDataFrame([("newest",)], "t string").write.text(f"{aside}/a")
+    assert [read(name) for name in "abc"] == ["newest", "new", "new"]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b", "c"]
+
+
 def test_coordinates_beyond_a_hundred_degrees_and_impossible_ones(spark, stored, tmp_path):
     tables = load_inputs(spark, {"*": stored})
     start = SEPTEMBER.start_ms + 3_600_000
@@ -137,8 +206,8 @@ def test_coordinates_beyond_a_hundred_degrees_and_impossible_ones(spark, stored,
     }
     read = lambda path: [row for part in sorted(Path(path).glob("part-*")) for row in csv.DictReader(part.open())]
     paths = write_monthly_reports(spark, tables | far, SEPTEMBER, "city", str(tmp_path / "far"))
-    assert [(r["start_lon"], r["end_lon"]) for r in read(paths["trips"])] == [("-122.40000", "180.00000")]
-    assert [(r["lat"], r["lon"]) for r in read(paths["waypoints"])] == [("37.70000", "-122.41000")]
+    assert [(r["start_lon"], r["end_lon"]) for r in read(paths["trips"])] == [("-122.4", "180.0")]
+    assert [(r["lat"], r["lon"]) for r in read(paths["waypoints"])] == [("37.7", "-122.41")]
     assert "bad_coordinates" not in paths
 
     bad = {
@@ -152,7 +221,7 @@ def test_coordinates_beyond_a_hundred_degrees_and_impossible_ones(spark, stored,
         spark, tables | bad, SEPTEMBER, "city", str(tmp_path / "null"), bad_coordinates="null"
     )
     assert [(r["start_lat"], r["end_lon"]) for r in read(paths["trips"])] == [("", "")]
-    assert [(r["lat"], r["lon"]) for r in read(paths["waypoints"])] == [("37.70000", "")]
+    assert [(r["lat"], r["lon"]) for r in read(paths["waypoints"])] == [("37.7", "")]
     assert read(paths["bad_coordinates"]) == [
         {"start_lat": "1", "start_lon": "0", "end_lat": "0", "end_lon": "1", "waypoint_lat": "0", "waypoint_lon": "1"}
     ]

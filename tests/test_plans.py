@@ -135,14 +135,25 @@ def test_large_groups_take_a_second_look_in_parts(spark, stored):
 
 
 def test_placing_states_never_shuffles_rows_by_their_large_key(spark, stored):
-    """Dimensions by their own key before the placement, the summary by cell after it."""
+    """Dimensions by their own key before the placement, the summary by cell after it.
+
+    The cuts meet the log by vehicle, but their limit makes them small to the planner, so that
+    they are broadcast at any threshold that broadcasts at all.
+    """
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        changes = states.state_changes(stored["transitions"], stored["systems"], stored["vehicles"], SEPTEMBER)
+        assert re.search(r"BroadcastHashJoin .*cut_key", plan(changes).replace("\n", " "))
+        assert not re.search(r"SortMergeJoin .{0,200}cut_key", plan(changes).replace("\n", " "))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         changes = states.state_changes(stored["transitions"], stored["systems"], stored["vehicles"], SEPTEMBER)
         text = plan(states.state_periods(changes)).split("===== Subqueries")[0]
         joins = re.findall(r"(?ms)^\(\d+\) SortMergeJoin.*?Left keys \[\d\]: \[(.*?)\]", text)
         assert sorted(re.sub(r"#\d+L?", "", keys) for keys in joins) == sorted(
-            ["vehicle_id, time_cell"] + ["system_id", "vehicle_id"] * 2
+            ["vehicle_id, time_cell"] + ["system_id", "vehicle_id", "vehicle_id"] * 2
         )
         assert text.count("REPARTITION_BY_COL") == 2
     finally:

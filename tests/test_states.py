@@ -6,6 +6,7 @@ import pytest
 from frames import SEPTEMBER, at, records, systems, transitions, vehicles
 from pyspark.sql import functions as F
 
+from kerbside.functions import skew
 from kerbside.functions.skew import with_time_cells
 from kerbside.operators import states
 from kerbside.period import ReportPeriod
@@ -119,12 +120,12 @@ def _changes(spark, rows, fleet=(1,), cities=({},), **options):
 SPLITS = [1, 2, 1_000_000]
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
-def test_equal_states_merge_into_periods(spark, split_rows):
+@pytest.mark.parametrize("cell_rows", SPLITS)
+def test_equal_states_merge_into_periods(spark, cell_rows):
     hours = lambda h: at("2020-09-10 00:00:00") + timedelta(hours=h)
     kinds = [{}, {}, BLOCKED, BLOCKED, DISCHARGED, BLOCKED, {}]
     rows = [dict(id=i, started_at=hours(i), ended_at=hours(i + 1), **kind) for i, kind in enumerate(kinds)]
-    periods = states.state_periods(_changes(spark, rows, split_rows=split_rows))
+    periods = states.state_periods(_changes(spark, rows, cell_rows=cell_rows))
     assert records(periods, "period", "operationality_category", "started_at", "ended_at") == [
         (1, "operational", hours(0), hours(2)),
         (2, "blocked", hours(2), hours(4)),
@@ -134,31 +135,31 @@ def test_equal_states_merge_into_periods(spark, split_rows):
     ]
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
-def test_open_state_ends_now_in_the_citys_time(spark, split_rows):
+@pytest.mark.parametrize("cell_rows", SPLITS)
+def test_open_state_ends_now_in_the_citys_time(spark, cell_rows):
     row = dict(id=1, started_at=at("2020-09-10 00:00:00"))
-    changes = _changes(spark, [row], split_rows=split_rows)
+    changes = _changes(spark, [row], cell_rows=cell_rows)
     assert records(changes, "last_operationality_category", "ended_at") == [("new vehicle", at("2020-10-04 20:00:00"))]
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
-def test_unknown_category_does_not_count_but_the_next_one_does(spark, split_rows):
+@pytest.mark.parametrize("cell_rows", SPLITS)
+def test_unknown_category_does_not_count_but_the_next_one_does(spark, cell_rows):
     rows = [
         dict(id=1, started_at=at("2020-09-10 01:00:00")),
         dict(id=2, started_at=at("2020-09-10 02:00:00"), operationality=None),
         dict(id=3, started_at=at("2020-09-10 03:00:00")),
     ]
-    numbered = states.numbered_changes(_changes(spark, rows, split_rows=split_rows))
+    numbered = states.numbered_changes(_changes(spark, rows, cell_rows=cell_rows))
     assert records(numbered, "id", "period", "last_operationality_category") == [
         (1, 1, "new vehicle"),
         (2, 1, "operational"),
         (3, 2, "new vehicle"),
     ]
-    assert len(records(states.state_periods(_changes(spark, rows, split_rows=split_rows)))) == 3
+    assert len(records(states.state_periods(_changes(spark, rows, cell_rows=cell_rows)))) == 3
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
-def test_states_that_start_together_share_a_number(spark, split_rows):
+@pytest.mark.parametrize("cell_rows", SPLITS)
+def test_states_that_start_together_share_a_number(spark, cell_rows):
     together = at("2020-09-10 02:00:00")
     rows = [
         dict(id=1, started_at=at("2020-09-10 01:00:00")),
@@ -166,14 +167,14 @@ def test_states_that_start_together_share_a_number(spark, split_rows):
         dict(id=2, started_at=together, **BLOCKED),
         dict(id=4, started_at=None, **BLOCKED),
     ]
-    numbered = states.numbered_changes(_changes(spark, rows, split_rows=split_rows))
+    numbered = states.numbered_changes(_changes(spark, rows, cell_rows=cell_rows))
     # By id within the instant: blocked (changed), operational (changed); both get 3.
     # No start sorts last.
     assert records(numbered, "id", "period") == [(1, 1), (2, 3), (3, 3), (4, 4)]
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
-def test_vehicle_that_moves_between_cities(spark, split_rows):
+@pytest.mark.parametrize("cell_rows", SPLITS)
+def test_vehicle_that_moves_between_cities(spark, cell_rows):
     rows = [
         dict(id=1, started_at=at("2020-09-10 01:00:00")),
         dict(id=2, started_at=at("2020-09-10 02:00:00"), system_id="other"),
@@ -183,7 +184,7 @@ def test_vehicle_that_moves_between_cities(spark, split_rows):
     cities = ({}, dict(id="other", time_zone="UTC"))
     numbers = lambda semantics: records(
         states.numbered_changes(
-            _changes(spark, rows, cities=cities, semantics=semantics, split_rows=split_rows)
+            _changes(spark, rows, cities=cities, semantics=semantics, cell_rows=cell_rows)
         ),
         "id",
         "period",
@@ -201,9 +202,9 @@ def test_only_known_cities_and_reported_vehicles_count(spark):
         dict(id=5, started_at=at("2020-09-10 01:00:00"), vehicle_id=None),
     ]
     fleet = vehicles(spark, dict(id=1), dict(id=2, vehicle_kind_name="Other"))
-    for split_rows in (1, 100):
+    for cell_rows in (1, 100):
         changes = states.state_changes(
-            transitions(spark, *rows), systems(spark), fleet, SEPTEMBER, split_rows=split_rows
+            transitions(spark, *rows), systems(spark), fleet, SEPTEMBER, cell_rows=cell_rows
         )
         assert records(changes, "id") == [(1,)]
 
@@ -286,14 +287,14 @@ def test_numbers_equal_brute_force_however_vehicles_are_split(spark, seed, seman
     rows = _random_log(seed)
     expected = sorted(_expected_numbers(rows, semantics == "corrected").items())
     periods = []
-    for split_rows in (10, 60, 1_000_000):
+    for cell_rows in (10, 60, 1_000_000):
         changes = _changes(
             spark,
             rows,
             fleet=range(1, 13),
             cities=({}, dict(id="other", time_zone="Asia/Tokyo")),
             semantics=semantics,
-            split_rows=split_rows,
+            cell_rows=cell_rows,
         )
         numbered = states.numbered_changes(changes)
         assert sorted((r.id, r.period) for r in numbered.select("id", "period").collect()) == expected
@@ -320,26 +321,33 @@ def test_a_large_vehicle_is_cut_into_small_cells(spark):
     start = at("2020-09-01 00:00:00")
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("vehicle_id"),
+        "id",
         (F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") % 20_000).cast("int"))).alias("at"),
     )
-    cells = with_time_cells(df, "vehicle_id", "at", split_rows=100)
+    cells = with_time_cells(df, "vehicle_id", "at", "id", cell_rows=100)
     per_cell = cells.where("vehicle_id = 0").groupBy("time_cell").count().collect()
     assert sum(r["count"] for r in per_cell) == 10_000
-    assert max(r["count"] for r in per_cell) <= 100
+    assert max(r["count"] for r in per_cell) <= 250
     assert cells.where("vehicle_id <> 0 AND time_cell IS NOT NULL").count() == 0
     assert cells.count() == 30_000
+    # However few rows a cell may hold, there are only so many cells.
+    cells = with_time_cells(df, "vehicle_id", "at", "id", cell_rows=1)
+    per_cell = cells.where("vehicle_id = 0").groupBy("time_cell").count().collect()
+    assert 100 <= len(per_cell) <= 129 and max(r["count"] for r in per_cell) <= 100
 
 
 def test_odd_times_do_not_fill_a_cell(spark):
-    """One state in 1970, one in 9999, and a tenth without a start."""
+    """One state in 1970, one in 9999, a tenth without a start, and a tenth at one moment."""
     start = at("2020-09-01 00:00:00")
     even = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") % 20_000).cast("int"))
     odd = F.when(F.col("id") == 0, F.lit("1970-01-01")).when(F.col("id") == 1, F.lit("9999-12-31"))
+    odd = odd.when(F.col("id") % 10 == 7, F.lit("2020-09-03"))
     moment = F.when(F.col("id") % 10 != 5, F.coalesce(odd.cast("timestamp_ntz"), even))
     df = spark.range(20_000).select(F.lit(0).alias("vehicle_id"), "id", moment.alias("at"))
-    cells = with_time_cells(df, "vehicle_id", "at", 100, "id")
-    sizes = [r["count"] for r in cells.groupBy("time_cell").count().collect()]
-    assert sum(sizes) == 20_000 and max(sizes) <= 200
+    cells = with_time_cells(df, "vehicle_id", "at", "id", 200)
+    sizes = sorted(r["count"] for r in cells.groupBy("time_cell").count().collect())
+    # What shares a moment shares a cell; the others stay small.
+    assert sum(sizes) == 20_000 and 2000 <= sizes[-1] <= 2500 and sizes[-2] <= 500
     # Cells follow each other in time, and rows without a start come after all others.
     spans = cells.groupBy("time_cell").agg(F.min("at").alias("a"), F.max("at").alias("b"), F.min("id").alias("c")).orderBy("time_cell")
     rows = spans.collect()
@@ -347,6 +355,14 @@ def test_odd_times_do_not_fill_a_cell(spark):
     assert [r.a is None for r in rows] == sorted(r.a is None for r in rows)
 
 
+def test_only_the_largest_keys_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(skew, "CUT_KEYS", 2)
+    rows = spark.range(900).select(F.when(F.col("id") < 500, 0).when(F.col("id") < 800, 1).otherwise(2).alias("vehicle_id"), "id")
+    df = rows.withColumn("at", F.timestamp_seconds("id").cast("timestamp_ntz"))
+    cells = with_time_cells(df, "vehicle_id", "at", "id", 10)
+    assert {r.vehicle_id for r in cells.where("time_cell IS NOT NULL").select("vehicle_id").distinct().collect()} == {0, 1}
+
+
 @pytest.mark.parametrize("semantics", ["reference", "corrected"])
 def test_states_without_a_start_share_a_number_when_split(spark, semantics):
     rng = random.Random(4)
@@ -361,9 +377,9 @@ def test_states_without_a_start_share_a_number_when_split(spark, semantics):
         for i in range(150)
     ]
     found = []
-    for split_rows in (4, 1_000_000):
+    for cell_rows in (4, 1_000_000):
         changes = _changes(
-            spark, rows, fleet=(1, 2), cities=({}, dict(id="other", time_zone="Asia/Tokyo")), semantics=semantics, split_rows=split_rows
+            spark, rows, fleet=(1, 2), cities=({}, dict(id="other", time_zone="Asia/Tokyo")), semantics=semantics, cell_rows=cell_rows
         )
         numbered = states.numbered_changes(changes).select("id", "last_operationality_category", "period")
         found.append(sorted(map(tuple, numbered.collect())))
@@ -377,7 +393,7 @@ def test_repeated_rows_with_one_id_give_the_same_numbers_when_split(spark):
         for i in range(90)
     ]
     found = [
-        Counter(tuple(r) for r in states.state_periods(_changes(spark, rows, split_rows=n)).collect())
+        Counter(tuple(r) for r in states.state_periods(_changes(spark, rows, cell_rows=n)).collect())
         for n in (1, 5, 1_000_000)
     ]
     assert found[0] == found[1] == found[2]

@@ -14,7 +14,7 @@ from kerbside.plans import reports
 from kerbside.session import configure
 from verification import bindings as b
 
-# Small enough to split the sample tables' keys, so that the oracle checks the split paths.
+# Small enough to cut the sample tables' keys, so that the oracle checks the split paths.
 SMALL_SPLIT = 40
 CITY = "S1"
 FAR_CITY = "S2"
@@ -174,7 +174,7 @@ def state_changes(spark, sf):
 
 
 def state_changes_split(spark, sf):
-    return _changes(spark, sf, split_rows=SMALL_SPLIT).drop("time_cell", "changes_before", "changes_all")
+    return _changes(spark, sf, cell_rows=SMALL_SPLIT).drop("time_cell", "changes_before", "changes_all")
 
 
 def state_periods(spark, sf):
@@ -183,7 +183,7 @@ def state_periods(spark, sf):
 
 def state_periods_split(spark, sf):
     """Vehicles above and below the split size in one result."""
-    return _periods(spark, sf, split_rows=SMALL_SPLIT)
+    return _periods(spark, sf, cell_rows=SMALL_SPLIT)
 
 
 def maintenance_counts(spark, sf):

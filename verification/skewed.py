@@ -4,8 +4,8 @@
 
 Writes an enlarged copy of the tables below the work folder, compares the results with
 DuckDB, and prints the longest task and the most shuffled rows any task read, from Spark's
-event log. Large keys are large enough to be split at the library's own settings if
-``copies`` brings them above kerbside.functions.skew.SPLIT_ROWS rows.
+event log. Large keys are cut at the library's own settings if ``copies`` brings
+them above kerbside.functions.skew.CELL_ROWS rows.
 """
 
 from __future__ import annotations
