@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import chain, count
 
 import numpy as np
@@ -62,6 +63,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def aside(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """As :func:`written`, compressed as far as it goes; the files are removed on leaving."""
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}.parquet"
+    df.write.option("compression", "zstd").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def crc_mod(id_col: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col
