@@ -13,7 +13,8 @@ one pass over the documents.
 Defined cases: a null or empty text has no words; an item without words has no windows, one
 with fewer than ``size`` words is one window; a null item id counts as the empty string; rows
 with the same item id are one item; repeated document rows are judged each; empty tables give
-no rows or no hits; other columns are ignored.
+no rows or no hits; other columns are ignored. A text longer than a part is a part of its own, held
+whole with the numbers of its words.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ are compared (positional filter), each by its exact number of common words.
 
 Defined cases: a null or empty text has no words, no labels and score 0; repeated rows are
 scanned each; a phrase at several places counts each; an empty table gives no rows; a null id is kept; other columns
-are ignored.
+are ignored. Of templates with equal shares the score is the same, and all labels count. A long text is
+one array of words; each place of a prefix word in it carries that array.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ border by more than ``SNAP`` of a shard.
 
 Defined cases: a null text has size 1 and checksum 0; equal rows get slots of their own, in
 any order among them; a null id sorts as any other; fewer rows than shards leave shards empty;
-an empty table gives no rows; other columns are ignored unless carried.
+an empty table gives no rows; other columns are ignored unless carried. A text of any length moves
+as one row.
 """
 
 from __future__ import annotations

@@ -15,6 +15,7 @@ forest of what they link, never all pairs.
 Defined cases: a null or empty text has fingerprint zero and links like any other; equal
 texts, also in rows with the same id, share a fingerprint; a null id belongs to a component
 but names it only if no other id does (then null); an empty table gives no rows; other columns are ignored.
+A text longer than a part is a part of its own, held whole with a hash per word.
 """
 
 from __future__ import annotations

@@ -121,3 +121,27 @@ def test_the_sample_holds_one_row_of_an_id(spark):
     x, y = labelled_sample(docs, labels, "quality", 100)
     ids = [i for i in range(3) if zlib.crc32(str(i).encode()) % 5]
     assert len(x) == len(y) == len(ids) and y.tolist() == [i % 2 for i in ids]
+
+
+def test_scores_as_a_walk_from_node_to_node():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(800, 4))
+    forest = train(x, (x[:, 0] * x[:, 1] > 0).astype(float), trees=12)
+    points = np.concatenate([x[:40], rng.normal(size=(40, 4)) * 9, np.zeros((1, 4))])
+    for point, score in zip(points, forest.score(points), strict=True):
+        margin = forest.base
+        for node in forest.roots:
+            while forest.left[node] != node:  # a leaf is its own child
+                node = forest.left[node] if point[forest.feature[node]] <= forest.threshold[node] else forest.right[node]
+            margin += forest.value[node]
+        assert score == pytest.approx(1 / (1 + np.exp(-margin)), rel=1e-12)
+
+
+def test_classify_takes_clashing_columns_and_long_texts(spark):
+    rows = [(i, t, 9.0, "x", 7) for i, t in enumerate(["a b c", None, "", "long word " * 200_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, held_out string, predicted int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    out = classify(docs, labels)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    assert sorted(r.doc_id for r in out.collect()) == [0, 1, 2, 3]
+    assert all(0 <= r.score <= 1 for r in out.collect())
