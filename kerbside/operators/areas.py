@@ -15,6 +15,8 @@ DEPTHS = {
     "MultiPolygon": 3,
 }
 COLLECTION = "GeometryCollection"
+# Collections within collections, the outermost included; deeper ones are refused.
+NESTED = 5
 
 
 def service_area(systems: DataFrame, system_id: str | None = None) -> DataFrame:
@@ -33,15 +35,19 @@ def service_area(systems: DataFrame, system_id: str | None = None) -> DataFrame:
     )
 
 
-def is_geometry(parsed: Column) -> Column:
+def is_geometry(parsed: Column, nested: int = NESTED) -> Column:
     """Whether a variant has a geometry's type and coordinates of that type's shape.
 
     Positions have two numbers or more, lines two positions or more, and rings four or more
-    of which the first and last are equal. The members of a collection are not looked into.
+    of which the first and last are equal. Every member of a collection must be a geometry,
+    which may be a collection again, up to ``nested`` of them within each other.
     """
     kind = F.try_variant_get(parsed, "$.type", "string")
-    members = F.try_variant_get(parsed, "$.geometries", "array<variant>")
-    fits = (kind == COLLECTION) & members.isNotNull()
+    fits = F.lit(False)
+    if nested:
+        members = F.try_variant_get(parsed, "$.geometries", "array<variant>")
+        whole = F.forall(members, lambda member: member.isNotNull() & is_geometry(member, nested - 1))
+        fits = (kind == COLLECTION) & members.isNotNull() & whole
     for name, depth in DEPTHS.items():
         shape = "array<" * (depth + 1) + "double" + ">" * (depth + 1)
         coordinates = F.try_variant_get(parsed, "$.coordinates", shape)

@@ -25,6 +25,13 @@ def test_one_feature_per_city_with_its_text_as_property(spark):
 RING = [[0, 0], [0, 1], [1, 1], [0, 0]]
 
 
+def collections(nested, member):
+    """``member`` beside a point, within so many collections."""
+    for _ in range(nested):
+        member = {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [0, 0]}, member]}
+    return member
+
+
 @pytest.mark.parametrize(
     "geometry",
     [
@@ -36,6 +43,9 @@ RING = [[0, 0], [0, 1], [1, 1], [0, 0]]
         {"type": "Polygon", "coordinates": []},
         {"type": "MultiPolygon", "coordinates": [[RING], [RING, RING]]},
         {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}]},
+        {"type": "GeometryCollection", "geometries": []},
+        collections(2, {"type": "Polygon", "coordinates": [RING]}),
+        collections(5, {"type": "Point", "coordinates": [1, 2]}),
     ],
 )
 def test_geometries(spark, geometry):
@@ -59,6 +69,11 @@ def test_geometries(spark, geometry):
         '{"type":"Point","coordinates":["x",2]}',
         '{"type":"Point","coordinates":[null,2]}',
         '{"type":"GeometryCollection"}',
+        '{"type":"GeometryCollection","geometries":[null]}',
+        json.dumps(collections(1, {"type": "Polygon", "coordinates": [RING[:3]]})),
+        json.dumps(collections(4, {"type": "Polygon", "coordinates": [RING[:3]]})),
+        json.dumps(collections(3, {"type": "GeometryCollection"})),
+        json.dumps(collections(6, {"type": "Point", "coordinates": [1, 2]})),  # deeper than supported
     ],
 )
 def test_text_that_is_no_geometry_fails(spark, text):

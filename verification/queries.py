@@ -267,6 +267,20 @@ def service_area_of_city(spark, sf):
     return _service_area(spark, sf, CITY)
 
 
+def geometry_collections(spark, sf):
+    """Every city's geofence within two collections; those of odd cities lack the last point of a ring."""
+    broken = F.regexp_replace("geofence_geojson", r",\[-7[78]\.\d+25,3[78]\.[58]\]\]", "]")
+    member = F.when(F.substring("id", 2, 1).cast("int") % 2 == 1, broken).otherwise(F.col("geofence_geojson"))
+    inner = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), member, F.lit("]}"))
+    outer = F.concat(F.lit('{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[1,2]},'), inner, F.lit("]}"))
+    cities = b.systems(spark, sf).select("id", F.parse_json(outer).alias("geometry"))
+    return cities.select(
+        F.col("id").alias("system_id"),
+        areas.is_geometry(F.col("geometry")).alias("is_geometry"),
+        F.try_variant_get("geometry", "$.geometries[1].geometries[0].type", "string").alias("member_type"),
+    )
+
+
 def _service_area(spark, sf, system_id=None):
     """The geometry's whole list of positions as text, without blanks."""
     geometry = F.col("geometry")
@@ -322,6 +336,7 @@ _QUERIES = [
     monthly_summary_of_city,
     service_area_features,
     service_area_of_city,
+    geometry_collections,
 ]
 
 
