@@ -13,8 +13,10 @@ from itertools import chain, count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: Bytes that separate words made of letters and digits, and those that are white space.
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
@@ -24,6 +26,8 @@ LOWER = bytes(range(256)).lower()
 LOWER_WORDS = bytes(0x20 if b in SEPARATORS else b for b in LOWER)
 #: Text handled at once inside a task.
 CHUNK_BYTES = 1 << 20
+#: Hashes of rows that a task keeps while it numbers copies.
+COUNTED_ROWS = 1_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,19 +68,61 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def aside(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """As :func:`written`, compressed as far as it goes; the files are removed on leaving."""
+def aside(df: DataFrame, name: str, rows_at_once: int = 8) -> Iterator[DataFrame]:
+    """As :func:`written`, compressed as far as it goes; the files are removed on leaving.
+
+    The rows may be large: a session of their own hands them to Python ``rows_at_once`` at a time.
+    """
     spark = df.sparkSession
     use_checkpoints(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}.parquet"
     df.write.option("compression", "zstd").parquet(path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        reader = spark.newSession()
+        reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_at_once))
+        reader.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+        yield reader.read.schema(df.schema).parquet(path)
     finally:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows, in partitions and an order that stay the same when they are computed again.
+
+    A scan, projected and filtered, has that already; the rows of any other plan are written first.
+    """
+    nodes, stable = [df._jdf.queryExecution().optimizedPlan()], {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation"}
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() not in stable:
+            return written(df, "rows")
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return df
+
+
+def copy_numbers(rows: DataFrame, hash_col: str) -> DataFrame:
+    """The rows and ``copy``: 0 for the first row of a hash in its partition, for each further one its own number.
+
+    Which numbers a partition gives depends on its rows, not on their order. Repeated rows can so be
+    dealt apart, and other rows' numbers are the same however the table is cut.
+    """
+
+    def run(batches):
+        task, seen = TaskContext.get().partitionId() << 32, {}
+        for batch in batches:
+            numbers = []
+            for own in batch.column(hash_col).to_pylist():
+                before = seen.get(own, 0)
+                seen[own] = before + 1
+                numbers.append(before and task + before)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "copy"])
+            if len(seen) > COUNTED_ROWS:
+                seen.clear()  # numbers begin anew: a few copies more share one
+
+    return rows.mapInArrow(trimmed(run), StructType([*rows.schema.fields, StructField("copy", LongType())]))
+
+
 def crc_mod(id_col: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col
