@@ -1,6 +1,7 @@
 """Sharding into near-equal bytes by a histogram sort.
 
-Rows are ordered by a key: the text's hash, then the id's, so equal texts stand together. The
+Rows are ordered by a key: the text's hash, then the id's, so equal texts stand together, then a
+hash of the row's place in the input, so that copies of one row can be parted. The
 splitters between shards, and between the finer bins that tasks sort, are searched all at
 once: each round counts the exact bytes and rows below a set of candidate keys, in every
 partition and then summed, and narrows each splitter's bracket to the two candidates around
@@ -12,6 +13,9 @@ sizes and checksums are those of the texts that arrive.
 A group of equal texts is cut by a shard's border only where keeping it whole would move the
 border by more than ``SNAP`` of a shard.
 
+The keys are found twice, to be counted and to be exchanged by, so input that is more than a scan
+is written first.
+
 Defined cases: a null text has size 1 and checksum 0; equal rows get slots of their own, in
 any order among them; a null id sorts as any other; fewer rows than shards leave shards empty;
 an empty table gives no rows; other columns are ignored unless carried. A text of any length moves
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from kerbside.llm.common import checkpointed, text_chunks
+from kerbside.llm.common import checkpointed, settled, text_chunks
 
 SHARDS = 16
 #: Share of a shard's bytes by which its borders may miss.
@@ -39,8 +43,9 @@ BIN_TOLERANCE = 0.1
 SNAP = 0.02
 #: Candidate keys for each open splitter and round.
 PROBES = 16
-#: Bits of the key that order rows of one text.
-ID_BITS = 23
+#: Bits of the key that order rows of one text, and those of them that part copies of one row.
+ID_BITS = 27
+COPY_BITS = 16
 KEY_END = 1 << 63
 
 
@@ -49,12 +54,13 @@ def sized(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame
     text, doc_id = docs[text_col].cast("string"), docs[id_col]
     known = F.coalesce(text, F.lit("")).cast("binary")
     high = F.shiftleft(F.shiftrightunsigned(F.xxhash64(known), 1 + ID_BITS), ID_BITS)
-    low = F.xxhash64(doc_id, F.lit(1)).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+    of_id = F.xxhash64(doc_id, F.lit(1)).bitwiseAND(F.lit((1 << ID_BITS) - (1 << COPY_BITS)))
+    of_place = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << COPY_BITS) - 1))
     columns = [
         doc_id.alias("doc_id"),
         (F.octet_length(known) + 1).cast("long").alias("size"),
         F.crc32(known).alias("text_crc32"),
-        high.bitwiseOR(low).alias("key"),
+        high.bitwiseOR(of_id).bitwiseOR(of_place).alias("key"),
     ]
     return docs.select(*columns, *([F.struct(*docs.columns).alias("row")] if carry else []))
 
@@ -150,7 +156,7 @@ def shard_by_bytes(
 ) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and, if ``carry``, the whole row as ``row``."""
     spark = docs.sparkSession
-    rows = sized(docs, id_col, text_col, carry)
+    rows = sized(settled(docs), id_col, text_col, carry)
     keys = checkpointed(rows.select("key", "size") if carry else rows)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bins = max(1, -(-4 * parts // shards))

@@ -52,6 +52,20 @@ def test_a_third_of_all_rows_is_one_text(spark):
     assert len({r.shard for r in found if r.text_crc32 == zlib.crc32(b"hot" * 10)}) > 3
 
 
+def test_a_third_of_all_rows_is_one_row(spark):
+    random.seed(4)
+    rows = [(7, "hot" * 10) if i % 3 == 0 else (i, f"{i} " * random.randrange(10)) for i in range(6000)]
+    totals, found = check(spark, rows)
+    assert max(abs(t - np.mean(totals)) for t in totals) <= 0.03 * np.mean(totals)
+    assert len({r.shard for r in found if r.doc_id == 7}) > 3
+    # Also of input that is more than a scan, whose rows may come in another order each time.
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    slots = defaultdict(list)
+    for r in shard_by_bytes(docs, carry=True).collect():
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and sum(map(len, slots.values())) == 6000
+
+
 def test_small_groups_stay_whole(spark):
     random.seed(3)
     rows = [(i, f"text {i // 3}") for i in range(6000)]
