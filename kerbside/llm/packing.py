@@ -6,6 +6,8 @@ are split, without loss, into full rows and a rest. A block is packed by itself,
 ``BLOCK_TOKENS`` tokens at a time: its segments, longest first, each go into the
 open row with the least room that still suffices, found in a segment tree over room sizes.
 So rows depend on the texts and not on the partitions, and what is held is bounded whatever the table holds.
+A row that is repeated within a partition goes, from its second copy on, to blocks by the copy's number, so one
+row in a third of the table fills all blocks alike.
 
 Defined cases: a null or empty text has no tokens and stands in no row; a null id is kept as
 null in ``doc_ids``; repeated rows are packed each; text that looks like a special token is
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.bpe import load_ranks
-from kerbside.llm.common import text_chunks, two_columns
+from kerbside.llm.common import copy_numbers, text_chunks, two_columns
 
 CAPACITY = 2048
 #: Text dealt to a block.
@@ -176,7 +178,9 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     name = rows.schema["doc_id"].dataType.simpleString()
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_BYTES))
-    keyed = rows.withColumn("place", F.xxhash64("doc_id", "text")).withColumn("block", F.pmod("place", F.lit(n_blocks)))
+    placed = copy_numbers(rows.withColumn("place", F.xxhash64("doc_id", "text")), "place")
+    own = F.when(F.col("copy") > 0, F.xxhash64("place", "copy")).otherwise(F.col("place"))
+    keyed = placed.withColumn("block", F.pmod(own, F.lit(n_blocks)))
     dealt = keyed.repartition("block").sortWithinPartitions("block", "place")
     return dealt.select("doc_id", "text", "block").mapInArrow(
         run,
