@@ -2,7 +2,7 @@
 
 Every window of ``size`` consecutive words of a benchmark item must occur whole, so the
 containment threshold is 1 and one token per window is the necessary prefix: its rarest, by
-the counts of all words in all documents. Where a document has that token, the window can
+the counts over all documents, made of the benchmark's words alone. Where a document has that token, the window can
 only stand at one place (positional bound), which must lie within the document (length
 bound); there the words are compared one by one.
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kerbside.llm.common import by_chunk, checkpointed, ragged, text_bytes, two_columns
+from kerbside.llm.common import by_chunk, checkpointed, ragged, text_bytes, two_columns, written
 from kerbside.llm.words import split_words, word_counts
 
 WINDOW_WORDS = 10
@@ -140,7 +140,9 @@ def decontaminate(
     rows = two_columns(docs, id_col, text_col, carry)
     carried = ("row",) if carry else ()
     windows = item_windows(two_columns(benchmark, item_col, item_text_col), size)
-    indexed = checkpointed(with_prefix(windows, word_counts(rows)))
+    # Written, so that Spark knows the size of what it may broadcast.
+    words = written(windows.select(F.explode(F.split("window", " ")).alias("word")).distinct(), "words")
+    indexed = checkpointed(with_prefix(windows, word_counts(rows, among=words)))
     n_blocks = max(1, -(-indexed.count() // BLOCK_ROWS))
     blocks = []
     for number in range(n_blocks):

@@ -20,8 +20,11 @@ def split_words(text: bytes) -> list[bytes]:
     return text.translate(LOWER_WORDS).split()
 
 
-def word_counts(rows: DataFrame, split: Callable[[bytes], list[bytes]] = split_words) -> DataFrame:
-    """(word, n) over all texts of ``rows``, which has a text column ``text``."""
+def word_counts(rows: DataFrame, split: Callable[[bytes], list[bytes]] = split_words, among: DataFrame | None = None) -> DataFrame:
+    """(word, n) over all texts of ``rows``, which has a text column ``text``; only of the words of ``among``, if given.
+
+    Where Spark broadcasts ``among``, other words are dropped before the exchange.
+    """
 
     def run(batches):
         counts: Counter = Counter()
@@ -40,5 +43,6 @@ def word_counts(rows: DataFrame, split: Callable[[bytes], list[bytes]] = split_w
         yield out()
 
     counted = rows.select("text").mapInArrow(run, "word string, n long")
-    # No word is null; said here, every use of the counts has one plan and can share its exchange.
-    return counted.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
+    if among is not None:
+        counted = counted.join(among, "word", "left_semi")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
