@@ -97,3 +97,14 @@ def test_rows_depend_on_the_texts_and_not_on_the_partitions(spark):
     assert one == many
     rows = pack(docs.repartition(64), RANKS, public_tokenizers.PATTERN).collect()
     assert sum(r.n_tokens for r in rows) > 0.95 * 2048 * (len(rows) - 1)
+
+
+def test_a_third_of_all_rows_is_one_row(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 500)
+    rows = [(i, f"text number {i}") for i in range(200)] + [(7, "one hot row")] * 100
+    found = pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), RANKS, public_tokenizers.PATTERN, capacity=8).collect()
+    hot = [r.row_id >> 32 for r in found for i in r.doc_ids if i == 7]
+    assert len(set(hot)) > 3 and max(map(hot.count, hot)) < 50
+    assert len({r.row_id for r in found}) == len(found)
+    held = [i for r in found for i, offset in zip(r.doc_ids, r.offsets, strict=True) if offset == 0]
+    assert sorted(held) == sorted(i for i, _ in rows)
