@@ -1,17 +1,24 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). A word's class is a hash of its
+P(word | history) = P(class | history) * P(word | class, history). A word's class is a hash of its
 last two bytes. The first factor is a softmax over ``CLASSES`` of weights summed over hashed features
 of the history: the last word, the word before it (a skip), both together, and both their
-classes. The second is the share of the word among the counts of its class, with one place
-for unseen words.
-
-Counts cover all training texts. The weights, of a fixed size, are trained in rounds. One in
+classes. The second is a maximum-entropy model of the words of a class: proportional to the
+word's count and one times the exponential of its weights, summed over features of the
+history and the word. The history's part is the last word, and both words together; the word's is its
+leaf, ``LEVELS`` digits of its hash, and features are hashed into rows whose number follows the training texts up to
+``MOST_WORD_ROWS``. All words of a class are summed over, by factoring the class as the
+vocabulary is: a softmax over the first digit, one over the second given the first, each with the
+counts of all words below as its default, and the word's share among the counts of its leaf. So
+without weights the factor is the word's share among the counts of its class. A class has one
+place for unseen words, spread evenly over its leaves.
+
+Counts cover all training texts. The weights of both factors are trained in rounds. One in
 ``MEASURED`` training texts is kept to measure the loss; the others are dealt by a hash into
 blocks of some ``BLOCK_BYTES``, ordered by the hash, once: their features are written to the
 shared folder and removed after training. In each round every block starts from the
 current weights and step sizes, makes its own gradient updates, batch by batch, and the results
-are averaged by tokens, in a tree of sums. Rounds end when one lowers the loss by less than
+are averaged by tokens, in a tree of sums. Rounds end when one lowers the loss of both factors by less than
 ``SETTLED`` of it, or after ``ROUNDS``; a last one goes over the texts kept for measuring. So
 what is learned depends on the texts alone, but for the order of sums, not on the partitions.
 
@@ -35,7 +42,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import groupby
 
@@ -58,6 +65,16 @@ CLASSES = 16
 #: Hashed values of each feature, a power of two; there are four features.
 ROWS = 4096
 FEATURES = 4
+#: Digits of a word's hash that make its leaf; a digit has as many values as there are classes.
+LEVELS = 2
+DIGIT = CLASSES.bit_length() - 1
+LEAVES = CLASSES**LEVELS
+LEAF = np.min_scalar_type(LEAVES - 1)
+#: Features of the history that the words of a class are weighed by: the last word, and both together.
+WORD_FEATURES = (0, 2)
+#: Rows of each of them in each level, powers of two: as many as fit training texts of ``BYTES_A_ROW`` times that size.
+LEAST_WORD_ROWS, MOST_WORD_ROWS = 1 << 10, 1 << 13
+BYTES_A_ROW = 1 << 12
 #: Rounds at most; the loss ends them.
 ROUNDS = 20
 SETTLED = 0.01
@@ -124,8 +141,18 @@ def _classes(last_two: np.ndarray) -> np.ndarray:
     return (last_two * np.uint64(0x9E3779B1) >> np.uint64(16) & np.uint64(CLASSES - 1)).astype(np.int64)
 
 
+def leaves_of(hashes: np.ndarray) -> np.ndarray:
+    """The leaves of words by their hashes."""
+    return (hashes >> np.uint64(64 - LEVELS * DIGIT)).astype(np.int64)
+
+
+def leaf_of(hashes: Column | str) -> Column:
+    """As :func:`leaves_of`, of a column of longs."""
+    return F.shiftrightunsigned(hashes, 64 - LEVELS * DIGIT)
+
+
 class Tokens:
-    """The tokens of some texts in turn: each one's place, hash, class and features."""
+    """The tokens of some texts in turn: each one's place, hash, class, leaf and features."""
 
     def __init__(self, texts: list[bytes]):
         self.data = b"\n".join([*texts, b""]).lower()
@@ -147,6 +174,7 @@ class Tokens:
         tail[at] = buffer[end - 1]
         tail[at] += np.where(end - start > 1, buffer[np.maximum(end - 2, 0)].astype(np.uint64) << np.uint64(8), np.uint64(0))
         self.classes = _classes(tail)
+        self.leaves = leaves_of(hashes)
 
         first = last - words
         one, kind = np.r_[np.uint64(0), hashes][:n], np.r_[0, self.classes][:n]
@@ -168,12 +196,18 @@ class Tokens:
         return [self.data[b:e] or END for b, e in places], number
 
 
-def _exponentials(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The sums of the weights less their largest, and their exponentials: one row per class, one column per token."""
-    by_class = weights.T  # contiguous, as the weights are kept in Fortran's order
-    z = by_class.take(rows[0], axis=1)
-    for more in rows[1:]:
-        z += by_class.take(more, axis=1)
+def _exponentials(weights: np.ndarray, rows: np.ndarray, default: np.ndarray | None = None, nodes: np.ndarray | None = None):
+    """The sums of the weights less their largest, and their exponentials: one row per class, one column per token.
+
+    ``default``, if given, has a row for each node, and is added by each token's node.
+    """
+    if default is None:
+        z, rows = weights.take(rows[0], axis=0), rows[1:]
+    else:
+        z = default.take(nodes, axis=0)
+    for more in rows:
+        z += weights.take(more, axis=0)
+    z = np.ascontiguousarray(z.T)
     z -= z.max(axis=0)
     return z, np.exp(z)
 
@@ -184,23 +218,69 @@ def class_log_probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray
     return (z - np.log(e.sum(axis=0))).T
 
 
-def update(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray) -> None:
+def update(
+    weights: np.ndarray,
+    squares: np.ndarray,
+    rows: np.ndarray,
+    classes: np.ndarray,
+    default: np.ndarray | None = None,
+    nodes: np.ndarray | None = None,
+) -> None:
     """One gradient step on a batch of tokens, with a step size per weight by its past gradients."""
-    _, grad = _exponentials(weights, rows)
+    _, grad = _exponentials(weights, rows, default, nodes)
     grad /= grad.sum(axis=0)
     grad[classes, np.arange(len(classes))] -= 1
-    used = (FEATURES - 1) * ROWS + CLASSES**2  # the last feature has no more values
-    every = rows.ravel()
-    slopes = np.empty((CLASSES, used), np.float32)
+    used = int(rows.max()) + 1  # the last feature may have few values
+    every, shared = rows.ravel(), np.empty(rows.shape, np.float32)
+    slopes = np.zeros((CLASSES, used), np.float32)
     for slope, own in zip(slopes, grad, strict=True):
-        slope[:] = np.bincount(every, np.tile(own, FEATURES), used)
-    past, kept = squares.T[:, :used], weights.T[:, :used]
+        shared[:] = own
+        np.add.at(slope, every, shared.ravel())
+    past = squares.T[:, :used]  # fast if the squares are kept in Fortran's order, and the weights row by row
     scratch = slopes * slopes
     past += scratch
     np.sqrt(np.add(past, 1e-6, out=scratch), out=scratch)
     slopes *= RATE
     slopes /= scratch
-    kept -= slopes
+    weights[:used] -= slopes.T
+
+
+def word_rows(n_bytes: int) -> int:
+    """Rows of a feature of the words, in each level, for ``n_bytes`` of training texts."""
+    return min(max(1 << (n_bytes // BYTES_A_ROW).bit_length(), LEAST_WORD_ROWS), MOST_WORD_ROWS)
+
+
+def factors(weights: np.ndarray, order: str = "C") -> list[np.ndarray]:
+    """The weights of the classes and of each level of the words, which stand one below the other, as arrays of their own."""
+    return [np.array(part, order=order) for part in (weights[: FEATURES * ROWS], *np.split(weights[FEATURES * ROWS :], LEVELS))]
+
+
+def defaults(mass: np.ndarray) -> list[np.ndarray]:
+    """For each level, logarithms of the counts below each digit, one row for each node; ``mass`` has the counts of all leaves."""
+    return [np.log(mass.reshape(CLASSES ** (level + 1), CLASSES, -1).sum(axis=2)).astype(np.float32) for level in range(LEVELS)]
+
+
+def steps(parts: list[np.ndarray], default: list[np.ndarray], rows: np.ndarray, classes: np.ndarray, leaves: np.ndarray) -> Iterator[tuple]:
+    """The softmaxes that choose these tokens, the class's first: (factor, rows, choice, default, nodes)."""
+    yield 0, rows, classes, None, None
+    seen = [(rows[i] - i * ROWS).astype(np.uint32) for i in WORD_FEATURES]
+    for level in range(LEVELS):
+        nodes = classes << DIGIT * level | leaves >> DIGIT * (LEVELS - level)
+        n = len(parts[level + 1]) // len(WORD_FEATURES)
+        own = np.empty((len(seen) if n else 0, len(nodes)), np.int64)
+        for i in range(len(own)):
+            key = (seen[i] << np.uint32(DIGIT * (level + 1)) | nodes.astype(np.uint32)) * np.uint32(0x9E3779B1)
+            own[i] = (key >> np.uint32(33 - n.bit_length())) + np.int64(i * n)
+        yield level + 1, own, leaves >> DIGIT * (LEVELS - 1 - level) & CLASSES - 1, default[level], nodes
+
+
+def log_probabilities(parts: list[np.ndarray], default: list[np.ndarray], rows: np.ndarray, classes: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+    """Natural logarithms of P(class and leaf | history) of these tokens."""
+    total, every = np.zeros(len(classes)), np.arange(len(classes))
+    for factor, own, choice, *usual in steps(parts, default, rows, classes, leaves):
+        z, e = _exponentials(parts[factor], own, *usual)
+        total += z[choice, every] - np.log(e.sum(axis=0))
+    return total
 
 
 def block_chunks(batches) -> Iterator[tuple[bool, int, list[bytes]]]:
@@ -225,39 +305,43 @@ def featurize(batches):
     for kept, block, texts in block_chunks(batches):
         tokens = Tokens(texts)
         columns = [pa.array([kept]), pa.array([block], pa.int64())]
-        columns += [pa.array([a.tobytes()], pa.binary()) for a in (tokens.rows.astype(np.uint16), tokens.classes.astype(np.uint8))]
-        yield pa.RecordBatch.from_arrays(columns, names=["kept", "block", "rows", "classes"])
+        made = tokens.rows.astype(np.uint16), tokens.classes.astype(np.uint8), tokens.leaves.astype(LEAF)
+        columns += [pa.array([a.tobytes()], pa.binary()) for a in made]
+        yield pa.RecordBatch.from_arrays(columns, names=["kept", "block", "rows", "classes", "leaves"])
 
 
-def featurized(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(block, features, classes) of the parts that :func:`featurize` made."""
+def featurized(batches, leaves: bool = False) -> Iterator[tuple]:
+    """(block, features, classes) of the parts that :func:`featurize` made, and, if asked for, the leaves."""
     for batch in batches:
         for i, block in enumerate(batch.column("block").to_pylist()):
             classes = np.frombuffer(batch.column("classes")[i].as_buffer(), np.uint8).astype(np.int64)
             rows = np.frombuffer(batch.column("rows")[i].as_buffer(), np.uint16).reshape(FEATURES, -1)
-            yield block, rows.astype(np.int64), classes
+            more = [np.frombuffer(batch.column("leaves")[i].as_buffer(), LEAF).astype(np.int64)] if leaves else []
+            yield block, rows.astype(np.int64), classes, *more
 
 
-def train_round(dealt: DataFrame, weights: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def train_round(dealt: DataFrame, weights: np.ndarray, squares: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The averages, by tokens, of the weights and squares that every block gets from its own texts.
 
-    ``dealt`` has the columns block, rows and classes; a block's parts stand together in one partition.
+    ``dealt`` has the columns block, rows, classes and leaves; a block's parts stand together in one partition.
     """
     spark = dealt.sparkSession
-    sent = spark.sparkContext.broadcast((weights, squares))
+    sent = spark.sparkContext.broadcast((weights, squares, defaults(mass)))
     size = 2 * weights.size
 
     def learn(batches):
         total, n = np.zeros(size), 0
-        for _, parts in groupby(featurized(batches), key=lambda part: part[0]):
-            own, past, seen = *(np.array(a, order="F") for a in sent.value), 0
-            for _, rows, classes in parts:
+        *before, default = sent.value
+        for _, parts in groupby(featurized(batches, leaves=True), key=lambda part: part[0]):
+            own, past, seen = factors(before[0]), factors(before[1], "F"), 0
+            for _, rows, classes, leaves in parts:
                 for at in range(0, len(classes), BATCH_TOKENS):
                     s = slice(at, at + BATCH_TOKENS)
-                    update(own, past, rows[:, s], classes[s])
+                    for factor, *step in steps(own, default, rows[:, s], classes[s], leaves[s]):
+                        update(own[factor], past[factor], *step)
                 seen += len(classes)
-            total[: own.size] += own.ravel() * np.float64(seen)
-            total[own.size :] += past.ravel() * np.float64(seen)
+            total[: size // 2] += np.concatenate(own).ravel() * np.float64(seen)
+            total[size // 2 :] += np.concatenate(past).ravel() * np.float64(seen)
             n += seen
         if n:
             yield pa.RecordBatch.from_arrays(
@@ -288,20 +372,21 @@ def train_round(dealt: DataFrame, weights: np.ndarray, squares: np.ndarray) -> t
     if not n:
         return weights, squares
     own, past = ((part / n).astype(np.float32).reshape(weights.shape) for part in np.split(total, 2))
-    return np.asfortranarray(own), np.asfortranarray(past)
+    return own, past
 
 
-def mean_loss(dealt: DataFrame, weights: np.ndarray) -> float:
-    """The mean over all tokens of -ln P(class | history); 0 without texts."""
-    sent = dealt.sparkSession.sparkContext.broadcast(weights)
+def mean_loss(dealt: DataFrame, weights: np.ndarray, mass: np.ndarray) -> float:
+    """The mean over all tokens of -ln P(class and leaf | history); 0 without texts."""
+    sent = dealt.sparkSession.sparkContext.broadcast((weights, defaults(mass)))
 
     def measure(batches):
         loss, n = 0.0, 0
-        for _, rows, classes in featurized(batches):
+        weights, default = sent.value
+        parts = factors(weights)
+        for _, rows, classes, leaves in featurized(batches, leaves=True):
             for at in range(0, len(classes), SCORED):
                 s = slice(at, at + SCORED)
-                z, e = _exponentials(sent.value, rows[:, s])
-                loss += float((np.log(e.sum(axis=0)) - z[classes[s], np.arange(z.shape[1])]).sum(dtype=np.float64))
+                loss -= float(log_probabilities(parts, default, rows[:, s], classes[s], leaves[s]).sum())
             n += len(classes)
         yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([n], pa.int64())], names=["loss", "n"])
 
@@ -310,9 +395,13 @@ def mean_loss(dealt: DataFrame, weights: np.ndarray) -> float:
     return loss / n if n else 0.0
 
 
-def train(rows: DataFrame, n_bytes: int, rounds: int = ROUNDS) -> np.ndarray:
-    """The weights when the loss has settled; ``rows`` holds the training texts, of ``n_bytes`` in all."""
-    weights = np.zeros((FEATURES * ROWS, CLASSES), np.float32, order="F")
+def train(rows: DataFrame, n_bytes: int, rounds: int, mass: np.ndarray) -> np.ndarray:
+    """The weights when the loss has settled: those of the classes, then those of each level of the words.
+
+    ``rows`` holds the training texts, of ``n_bytes`` in all; ``mass`` the counts of each class's leaves.
+    """
+    n_rows = FEATURES * ROWS + LEVELS * len(WORD_FEATURES) * word_rows(n_bytes)
+    weights = np.zeros((n_rows, CLASSES), np.float32)
     squares = np.zeros_like(weights)
     n_blocks = max(1, -(-n_bytes // BLOCK_BYTES))
     # Other bits of the hash than those that number the blocks.
@@ -325,20 +414,20 @@ def train(rows: DataFrame, n_bytes: int, rounds: int = ROUNDS) -> np.ndarray:
     placed = copy_numbers(rows.select("text", F.xxhash64("doc_id", "text").alias("place")), "place")
     keyed = placed.select("text", kept.alias("kept"), F.pmod(copy, F.lit(n_blocks)).alias("block"), "place")
     placed = keyed.repartition(-(-n_blocks // 4), "block").sortWithinPartitions("kept", "block", "place")
-    features = placed.select("text", "kept", "block").mapInArrow(trimmed(featurize), "kept boolean, block long, rows binary, classes binary")
-    with aside(features, "features") as dealt:
+    features = placed.select("text", "kept", "block").mapInArrow(trimmed(featurize), "kept boolean, block long, rows binary, classes binary, leaves binary")
+    with aside(features, "features", rows_at_once=2) as dealt:
         learned, measured = (dealt.where(which).drop("kept") for which in (~F.col("kept"), F.col("kept")))
-        loss = math.log(CLASSES)
+        loss = math.inf
         for _ in range(rounds):
-            weights, squares = train_round(learned, weights, squares)
-            before, loss = loss, mean_loss(measured, weights)
-            if before - loss < SETTLED * before or not loss:
+            weights, squares = train_round(learned, weights, squares, mass)
+            before, loss = loss, mean_loss(measured, weights, mass)
+            if not loss or before < math.inf and before - loss < SETTLED * before:
                 break
-        return train_round(measured, weights, squares)[0]
+        return train_round(measured, weights, squares, mass)[0]
 
 
-def in_blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """The rows, which have a text, and ``block``: the rows of each partition in turn, some ``block_bytes`` to a block."""
+def cutting(block_bytes: int) -> Callable:
+    """A function for mapInArrow that adds ``block``, as :func:`in_blocks` does."""
 
     def run(batches):
         first, begun = TaskContext.get().partitionId() << 31, 0
@@ -349,7 +438,12 @@ def in_blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
             begun = int(ends[-1]) if len(ends) else begun
             yield pa.RecordBatch.from_arrays([*batch.columns, block], names=[*batch.schema.names, "block"])
 
-    return rows.mapInArrow(trimmed(run), StructType([*rows.schema.fields, StructField("block", LongType())]))
+    return run
+
+
+def in_blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """The rows, which have a text, and ``block``: the rows of each partition in turn, some ``block_bytes`` to a block."""
+    return rows.mapInArrow(trimmed(cutting(block_bytes)), StructType([*rows.schema.fields, StructField("block", LongType())]))
 
 
 def vocabulary(batches):
@@ -377,12 +471,13 @@ def vocabulary(batches):
         yield out()
 
 
-def block_counts(blocks: DataFrame) -> DataFrame:
-    """(block, hash, n, class): the counts over all training texts of the words of each block.
+def block_counts(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """(block, hash, n, class): the counts over all training texts of the words of each block that :func:`in_blocks` cuts.
 
     ``class`` is null but in one row of each word.
     """
-    asked = blocks.select("text", "learned", "block").mapInArrow(trimmed(vocabulary), "block long, word binary, hash long, n long")
+    cut = cutting(block_bytes)  # in the same worker, so that texts go to Python once
+    asked = rows.select("text", "learned").mapInArrow(trimmed(lambda batches: vocabulary(cut(batches))), "block long, word binary, hash long, n long")
     of_word = Window.partitionBy("word").orderBy("block")
     whole = of_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = asked.select("block", "word", "hash", F.sum("n").over(whole).alias("n"), F.row_number().over(of_word).alias("turn"))
@@ -407,21 +502,22 @@ def score_texts(
     learned = crc_mod("doc_id", folds) != held_out
     size = F.octet_length("text").cast("long")
     n_bytes = rows.agg(F.coalesce(F.sum(F.when(learned, size)), F.lit(0))).first()[0]
-    model = spark.sparkContext.broadcast(train(rows.where(learned), n_bytes, rounds))
-
-    blocks = in_blocks(rows.withColumn("learned", learned), BLOCK_BYTES)
-    answers = written(block_counts(blocks), "counts")
-    by_class = answers.where(F.col("class").isNotNull() & (F.col("n") > 0)).groupBy("class").agg(F.sum("n"), F.count("*")).collect()
-    n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for k, tokens, words in by_class:  # at most ``CLASSES`` rows
-        n[k], v[k] = tokens, words
-    # log10 of each class's tokens and words and one, and of all.
-    in_class = np.log10(n + v + 1.0)
+
+    answers = written(block_counts(rows.withColumn("learned", learned), BLOCK_BYTES), "counts")
+    counted = answers.where(F.col("class").isNotNull() & (F.col("n") > 0)).groupBy("class", leaf_of("hash").alias("leaf"))
+    n, v = np.zeros((CLASSES, LEAVES), np.int64), np.zeros((CLASSES, LEAVES), np.int64)
+    for k, leaf, tokens, words in counted.agg(F.sum("n"), F.count("*")).collect():  # at most ``CLASSES * LEAVES`` rows
+        n[k, leaf], v[k, leaf] = tokens, words
+    # Tokens and words of each leaf and its part of the class's place for unseen words; log10 of that, and of all.
+    mass = n + v + 1.0 / LEAVES
+    in_leaf = np.log10(mass)
     in_all = math.log10(int(n.sum() + v.sum()) + 1)
+    model = spark.sparkContext.broadcast((train(rows.where(learned), n_bytes, rounds, mass), defaults(mass)))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        weights = model.value
+        weights, default = model.value
+        parts = factors(weights)
         hashes = known.column("hash").to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         hashes, n_of = hashes[order], known.column("n").to_numpy()[order]
@@ -433,21 +529,20 @@ def score_texts(
                 own = np.empty(len(c))
                 for at in range(0, len(c), SCORED):
                     s = slice(at, at + SCORED)
-                    z, e = _exponentials(weights, t.rows[:, s])
-                    own[s] = z[t.classes[s], np.arange(z.shape[1])] - np.log(e.sum(axis=0))
+                    own[s] = log_probabilities(parts, default, t.rows[:, s], t.classes[s], t.leaves[s])
                 first = np.cumsum(t.sizes) - t.sizes
                 plain = np.log10(c + 1.0)
                 columns[0].append(t.sizes)
                 columns[1].append(np.add.reduceat((c > 0).astype(np.int64), first))
                 columns[2].append(np.add.reduceat(plain, first) - t.sizes * in_all)
-                columns[3].append(np.add.reduceat(own / math.log(10) + plain - in_class[t.classes], first))
+                columns[3].append(np.add.reduceat(own / math.log(10) + plain - in_leaf[t.classes, t.leaves], first))
         arrays = [np.concatenate(c) if c else np.zeros(0) for c in columns]
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         made = [pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)]
         return pa.table([texts.column("doc_id"), *made], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     scored = (
-        blocks.select("doc_id", "text", "block")
+        in_blocks(rows, BLOCK_BYTES)
         .groupBy("block")
         .cogroup(answers.select("block", "hash", "n").groupBy("block"))
         .applyInArrow(score, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")

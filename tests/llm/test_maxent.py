@@ -19,8 +19,12 @@ from kerbside.llm.maxent import (
     Tokens,
     class_log_probabilities,
     class_of,
+    defaults,
+    factors,
     hashes_of,
     in_blocks,
+    leaf_of,
+    log_probabilities,
     look_up,
     score_texts,
     tokens_of,
@@ -174,3 +178,97 @@ def test_parts_of_a_block_come_back_as_they_were_dealt(spark, monkeypatch):
     whole = [Tokens(texts[:2]), Tokens(texts[2:3]), Tokens(texts[3:4]), Tokens(texts[4:])]
     for (_, rows, classes), tokens in zip(parts, whole, strict=True):
         assert (rows == tokens.rows).all() and (classes == tokens.classes).all()
+
+
+def test_history_chooses_among_the_words_of_a_class(spark):
+    """Both words are of one class and equally frequent; only P(word | class, history) can tell them apart."""
+    assert word_class(b"alphaing") == word_class(b"betaing")
+    random.seed(3)
+    pairs = ["north alphaing", "south betaing"]
+    texts = [" ".join(random.choice(pairs) for _ in range(40)) for _ in range(300)]
+    fold = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(400)]
+    train, held = ([i for i, h in enumerate(fold) if h == own] for own in (False, True))
+    rows = [*zip(train, texts, strict=False), (held[0], "north alphaing south betaing"), (held[1], "north betaing south alphaing")]
+    score = {r.doc_id: r.score for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").collect()}
+    assert score[held[0]] > score[held[1]] + 0.5
+
+
+def plain_hash(value, node, level, n):
+    return ((value << maxent.DIGIT * (level + 1) | node) * 0x9E3779B1 % (1 << 32)) >> (33 - n.bit_length())
+
+
+def test_a_texts_score_with_weights_of_both_factors(spark, monkeypatch):
+    """The words of a class by a sum over all of them: one term for each word, one for what is unseen in each leaf."""
+    n_rows = 256
+    below = maxent.LEVELS * len(maxent.WORD_FEATURES) * n_rows
+    weights = np.random.default_rng(4).normal(size=(FEATURES * ROWS + below, CLASSES)).astype(np.float32)
+    monkeypatch.setattr(maxent, "train", lambda *_: weights)
+    rows = [(i, t) for i, t in documents() if len(t or "") < 2000][:30]
+    found = score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    counts = Counter(w for i, t in rows for w in tokens_of((t or "").encode()) if zlib.crc32(str(i).encode()) % 7 != 2)
+    seen = list(counts)
+    leaf = {w: int(maxent.leaves_of(hashes_of([w]).view(np.uint64))[0]) for i, t in rows for w in tokens_of((t or "").encode())}
+    mass = Counter()
+    for w in seen:
+        mass[word_class(w), leaf[w]] += counts[w] + 1
+    parts = factors(weights)
+    usual = {(k, x): mass[k, x] + 1 / maxent.LEAVES for k in range(CLASSES) for x in range(maxent.LEAVES)}
+
+    def choice(level, k, x, features):
+        """The exponential of the weights of a leaf's digit, and its share among those of its node."""
+        node, size = k * CLASSES**level + x // CLASSES ** (maxent.LEVELS - level), CLASSES ** (maxent.LEVELS - level - 1)
+        at = [plain_hash(int(features[f]) - f * ROWS, node, level, n_rows) + i * n_rows for i, f in enumerate(maxent.WORD_FEATURES)]
+        first = x // (size * CLASSES) * size * CLASSES
+        z = [
+            math.exp(sum(float(parts[level + 1][row, d]) for row in at)) * sum(usual[k, first + d * size + j] for j in range(size))
+            for d in range(CLASSES)
+        ]
+        return z[x // size % CLASSES] / sum(z)
+
+    def of_leaf(k, x, features):
+        return math.prod(choice(level, k, x, features) for level in range(maxent.LEVELS))
+
+    expected = []
+    for i, text in rows:
+        words, total = tokens_of((text or "").encode()), 0.0
+        for word, features in zip(words, Tokens([(text or "").encode()]).rows.T, strict=True):
+            z = [sum(float(weights[row, k]) for row in features) for k in range(CLASSES)]
+            own, x = word_class(word), leaf[word]
+            total += z[own] / math.log(10) - math.log10(sum(map(math.exp, z)))
+            total += math.log10(of_leaf(own, x, features) * (counts[word] + 1) / usual[own, x])
+        expected.append((i, total))
+    got = sorted((r.doc_id, r.score) for r in found)
+    assert [i for i, _ in got] == [i for i, _ in sorted(expected)]
+    assert [s for _, s in got] == pytest.approx([s for _, s in sorted(expected)], rel=1e-5)
+
+
+def test_leaves_and_their_probabilities_sum_to_one(spark):
+    rng = np.random.default_rng(5)
+    mass = rng.integers(0, 9, (CLASSES, maxent.LEAVES)) + 1 / maxent.LEAVES
+    parts = factors(rng.normal(size=(FEATURES * ROWS + 4 * 512, CLASSES)).astype(np.float32))
+    history = Tokens([b"a b c"]).rows[:, 2:3]
+    kind, leaf = (a.ravel() for a in np.indices((CLASSES, maxent.LEAVES)))
+    every = log_probabilities(parts, defaults(mass), np.repeat(history, len(kind), axis=1), kind, leaf)
+    assert np.exp(every).sum() == pytest.approx(1, abs=1e-4)
+    hashes = np.array([0, 1 << 63, (1 << 64) - 1, 0xAB << 56], np.uint64)
+    table = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "hash long")
+    assert [r[0] for r in table.select(leaf_of("hash")).collect()] == maxent.leaves_of(hashes).tolist()
+
+
+def test_a_step_lowers_the_loss_of_every_factor():
+    rng = np.random.default_rng(6)
+    mass = np.ones((CLASSES, maxent.LEAVES))
+    parts = factors(rng.normal(size=(FEATURES * ROWS + 4 * 512, CLASSES)).astype(np.float32))
+    squares = factors(np.zeros((FEATURES * ROWS + 4 * 512, CLASSES), np.float32), "F")
+    t = Tokens([b"one two three four one two", b"five"])
+    for factor in range(maxent.LEVELS + 1):
+        before = log_probabilities(parts, defaults(mass), t.rows, t.classes, t.leaves).sum()
+        for own, *step in list(maxent.steps(parts, defaults(mass), t.rows, t.classes, t.leaves)):
+            if own == factor:
+                maxent.update(parts[own], squares[own], *step)
+        assert log_probabilities(parts, defaults(mass), t.rows, t.classes, t.leaves).sum() > before
+
+
+def test_rows_of_the_words_follow_the_training_texts():
+    made = [maxent.word_rows(n) for n in (0, 1 << 20, 6 << 20, 25 << 20, 1 << 40)]
+    assert made == [1 << 10, 1 << 10, 1 << 11, 1 << 13, 1 << 13]
