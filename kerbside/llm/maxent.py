@@ -274,13 +274,39 @@ def steps(parts: list[np.ndarray], default: list[np.ndarray], rows: np.ndarray,
         yield level + 1, own, leaves >> DIGIT * (LEVELS - 1 - level) & CLASSES - 1, default[level], nodes
 
 
-def log_probabilities(parts: list[np.ndarray], default: list[np.ndarray], rows: np.ndarray, classes: np.ndarray, leaves: np.ndarray) -> np.ndarray:
-    """Natural logarithms of P(class and leaf | history) of these tokens."""
-    total, every = np.zeros(len(classes)), np.arange(len(classes))
-    for factor, own, choice, *usual in steps(parts, default, rows, classes, leaves):
-        z, e = _exponentials(parts[factor], own, *usual)
-        total += z[choice, every] - np.log(e.sum(axis=0))
-    return total
+def scorer(parts: list[np.ndarray], default: list[np.ndarray]) -> Callable:
+    """A function that gives, for rows, classes and leaves of some tokens, natural logarithms of P(class and leaf | history).
+
+    Exponentials are taken of the weights once, and multiplied for each token.
+    """
+
+    def table(logs):
+        logs = logs - logs.max(axis=1, keepdims=True)  # no choice of a row gets likelier by that
+        return logs, np.exp(logs)
+
+    weights, usual, ones = [table(part) for part in parts], [None, *map(table, default)], np.ones(CLASSES, np.float32)
+
+    def run(rows: np.ndarray, classes: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        total, every = np.zeros(len(classes)), np.arange(len(classes)) * CLASSES
+        for factor, own, choice, _, nodes in steps(parts, default, rows, classes, leaves):
+            terms = [(*weights[factor], at) for at in own] + ([] if nodes is None else [(*usual[factor], nodes)])
+            product = None
+            for _, powers_of, at in terms:
+                more = powers_of.take(at, axis=0)
+                product = more if product is None else np.multiply(product, more, out=product)
+            share = product.ravel().take(every + choice)
+            few = np.flatnonzero(share < 1e-30)  # the product has run out of digits
+            share[few] = 1
+            sums = product @ ones
+            sums[few] = 1
+            total += np.log(share / sums)
+            if len(few):
+                z = sum(logs[at[few]].astype(np.float64) for logs, _, at in terms)
+                most = z.max(axis=1)
+                total[few] += z[np.arange(len(few)), choice[few]] - most - np.log(np.exp(z - most[:, None]).sum(axis=1))
+        return total
+
+    return run
 
 
 def block_chunks(batches) -> Iterator[tuple[bool, int, list[bytes]]]:
@@ -382,11 +408,11 @@ def mean_loss(dealt: DataFrame, weights: np.ndarray, mass: np.ndarray) -> float:
     def measure(batches):
         loss, n = 0.0, 0
         weights, default = sent.value
-        parts = factors(weights)
+        log_probabilities = scorer(factors(weights), default)
         for _, rows, classes, leaves in featurized(batches, leaves=True):
             for at in range(0, len(classes), SCORED):
                 s = slice(at, at + SCORED)
-                loss -= float(log_probabilities(parts, default, rows[:, s], classes[s], leaves[s]).sum())
+                loss -= float(log_probabilities(rows[:, s], classes[s], leaves[s]).sum())
             n += len(classes)
         yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([n], pa.int64())], names=["loss", "n"])
 
@@ -517,7 +543,7 @@ def score_texts(
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         weights, default = model.value
-        parts = factors(weights)
+        log_probabilities = scorer(factors(weights), default)
         hashes = known.column("hash").to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         hashes, n_of = hashes[order], known.column("n").to_numpy()[order]
@@ -529,7 +555,7 @@ def score_texts(
                 own = np.empty(len(c))
                 for at in range(0, len(c), SCORED):
                     s = slice(at, at + SCORED)
-                    own[s] = log_probabilities(parts, default, t.rows[:, s], t.classes[s], t.leaves[s])
+                    own[s] = log_probabilities(t.rows[:, s], t.classes[s], t.leaves[s])
                 first = np.cumsum(t.sizes) - t.sizes
                 plain = np.log10(c + 1.0)
                 columns[0].append(t.sizes)

@@ -24,9 +24,9 @@ from kerbside.llm.maxent import (
     hashes_of,
     in_blocks,
     leaf_of,
-    log_probabilities,
     look_up,
     score_texts,
+    scorer,
     tokens_of,
     update,
     word_class,
@@ -248,13 +248,25 @@ def test_leaves_and_their_probabilities_sum_to_one(spark):
     parts = factors(rng.normal(size=(FEATURES * ROWS + 4 * 512, CLASSES)).astype(np.float32))
     history = Tokens([b"a b c"]).rows[:, 2:3]
     kind, leaf = (a.ravel() for a in np.indices((CLASSES, maxent.LEAVES)))
-    every = log_probabilities(parts, defaults(mass), np.repeat(history, len(kind), axis=1), kind, leaf)
+    every = scorer(parts, defaults(mass))(np.repeat(history, len(kind), axis=1), kind, leaf)
     assert np.exp(every).sum() == pytest.approx(1, abs=1e-4)
     hashes = np.array([0, 1 << 63, (1 << 64) - 1, 0xAB << 56], np.uint64)
     table = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "hash long")
     assert [r[0] for r in table.select(leaf_of("hash")).collect()] == maxent.leaves_of(hashes).tolist()
 
 
+def test_weights_far_apart_do_not_lose_the_probabilities():
+    weights = np.zeros((FEATURES * ROWS + 4 * 512, CLASSES), np.float32)
+    t = Tokens([b"a b c"])
+    for feature, own in enumerate(t.rows[:, 2]):
+        weights[own] = -60.0
+        weights[own, feature % 2] = 60.0
+    found = scorer(factors(weights), defaults(np.ones((CLASSES, maxent.LEAVES))))(t.rows, t.classes, t.leaves)
+    z = np.array([sum(float(weights[own, k]) for own in t.rows[:, 2]) for k in range(CLASSES)])
+    of_class = z[t.classes[2]] - z.max() - math.log(np.exp(z - z.max()).sum())
+    assert found[2] == pytest.approx(of_class - math.log(maxent.LEAVES), rel=1e-6)
+
+
 def test_a_step_lowers_the_loss_of_every_factor():
     rng = np.random.default_rng(6)
     mass = np.ones((CLASSES, maxent.LEAVES))
@@ -262,11 +274,11 @@ def test_a_step_lowers_the_loss_of_every_factor():
     squares = factors(np.zeros((FEATURES * ROWS + 4 * 512, CLASSES), np.float32), "F")
     t = Tokens([b"one two three four one two", b"five"])
     for factor in range(maxent.LEVELS + 1):
-        before = log_probabilities(parts, defaults(mass), t.rows, t.classes, t.leaves).sum()
+        before = scorer(parts, defaults(mass))(t.rows, t.classes, t.leaves).sum()
         for own, *step in list(maxent.steps(parts, defaults(mass), t.rows, t.classes, t.leaves)):
             if own == factor:
                 maxent.update(parts[own], squares[own], *step)
-        assert log_probabilities(parts, defaults(mass), t.rows, t.classes, t.leaves).sum() > before
+        assert scorer(parts, defaults(mass))(t.rows, t.classes, t.leaves).sum() > before
 
 
 def test_rows_of_the_words_follow_the_training_texts():
